@@ -13,6 +13,16 @@ from pathlib import Path
 
 import duckdb
 
+TYPES = {
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "timestamp": "TIMESTAMP",
+}
+
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
@@ -38,6 +48,10 @@ def difference(frame, connection: duckdb.DuckDBPyConnection, sql: str) -> str |
     names = [column[0] for column in result.description]
     if sorted(frame.columns) != sorted(names):
         return f"columns {sorted(frame.columns)} != {sorted(names)}"
+    wanted = {column[0]: str(column[1]) for column in result.description}
+    kinds = {name: TYPES.get(kind, kind) for name, kind in frame.dtypes}
+    if wanted != kinds:
+        return f"types {sorted(set(kinds.items()) ^ set(wanted.items()))}"
     expected = _rows(names, result.fetchall())
     actual = _rows(frame.columns, frame.collect())
     if expected == actual:

@@ -241,11 +241,13 @@ def filter_between(spark, sf):
 
 
 def _alarms_near_readings(spark, sf, strategy):
+    """Both sides are written first, as the silver layer does, so counting them is a scan."""
     readings = _unique(spark, sf).select("_row_id", "machine_id", "timestamp_clean", "temperature_c")
     alarms = _scada(spark, sf).filter("etat = 'ALARME'")
+    alarms = alarms.select("machine_id", F.col("timestamp_clean").alias("scada_ts"), "event_id", "code_alarme")
     return joins.range_join(
-        readings,
-        alarms.select("machine_id", F.col("timestamp_clean").alias("scada_ts"), "event_id", "code_alarme"),
+        scratch.stage(readings, "readings"),
+        scratch.stage(alarms, "alarms"),
         by=["machine_id"],
         left_ts="timestamp_clean",
         right_ts="scada_ts",
@@ -536,7 +538,8 @@ def silver_maintenance(spark, sf):
 
 @query
 def sensors_enriched(spark, sf):
-    return silver.sensors_enriched(_sensors(spark, sf), _scada(spark, sf), SETTINGS)
+    sensors, scada = scratch.stage(_sensors(spark, sf), "sensors"), scratch.stage(_scada(spark, sf), "scada")
+    return silver.sensors_enriched(sensors, scada, SETTINGS)
 
 
 @query

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantmetrics.config import SizeLimits
-from plantmetrics.operators.sizing import GroupSizes, group_sizes
 
 _SLOT = "_slot"
 _SPREAD = 1 << 20
@@ -45,12 +44,21 @@ class _Sides:
         offset = F.lit(1 << 40)
         self.left_slotted = left.withColumn(_SLOT, F.when(usable, slot + offset).otherwise(no_match))
         own = F.floor(F.unix_timestamp(right_ts) / F.lit(width)) + offset
-        self.right_slotted = (
-            self.right.dropna(subset=[*self.right_by, right_ts])
-            .withColumn("_own", own)
-            .withColumn(f"_right{_SLOT}", F.explode(F.array(F.col("_own") - 1, F.col("_own"), F.col("_own") + 1)))
-            .drop("_own")
-        )
+        self.right_in_own = self.right.dropna(subset=[*self.right_by, right_ts]).withColumn("_own", own)
+        nearby = F.array(F.col("_own") - 1, F.col("_own"), F.col("_own") + 1)
+        self.right_slotted = self.right_in_own.withColumn(f"_right{_SLOT}", F.explode(nearby)).drop("_own")
+
+    def count_slots(self) -> tuple[int, int]:
+        """Rows to be joined, and a bound on the rows of either side in the fullest slot.
+
+        Right rows are counted where they are, not where they are copied to: three neighbours hold at
+        most three times the fullest.
+        """
+        left = self.left_slotted.select(*self.by, _SLOT, F.lit(1).alias("_copies"))
+        right = self.right_in_own.select(*self.right_by, "_own", F.lit(3).alias("_copies"))
+        per_slot = left.union(right).groupBy(*self.by, _SLOT, "_copies").agg(F.sum("_copies").alias("n"))
+        found = per_slot.agg(F.sum("n").alias("rows"), F.max("n").alias("largest")).first()
+        return found["rows"] or 0, found["largest"] or 0
 
     def same_key(self) -> Column:
         condition = F.lit(True)
@@ -99,17 +107,15 @@ def range_join(
     right_seconds = F.unix_timestamp(right_ts)
     if strategy == "naive":
         return sides.output(sides.left.join(sides.right, sides.same_key() & sides.close(right_seconds), how))
-    left_sizes = right_sizes = None
+    rows = 0
     if strategy != "slotted":
-        left_sizes = group_sizes(sides.left_slotted, [*sides.by, _SLOT])
-        right_sizes = group_sizes(sides.right_slotted, [*sides.right_by, f"_right{_SLOT}"])
+        rows, largest = sides.count_slots()
         if strategy == "auto":
-            hot = max(left_sizes.largest, right_sizes.largest) > limits.max_group_rows
-            strategy = "salted" if hot else "slotted"
+            strategy = "salted" if largest > limits.max_group_rows else "slotted"
     if strategy == "slotted":
         near = sides.same_slot() & sides.close(right_seconds)
         return sides.output(sides.left_slotted.join(sides.right_slotted, near, how))
-    return _salted_join(sides, left_id, right_id, how, limits, left_sizes, right_sizes)
+    return _salted_join(sides, left_id, right_id, how, limits, rows)
 
 
 def _salted_join(
@@ -118,8 +124,7 @@ def _salted_join(
     right_id: str,
     how: str,
     limits: SizeLimits,
-    left_sizes: GroupSizes,
-    right_sizes: GroupSizes,
+    rows: int,
 ) -> DataFrame:
     """Cut a slot of l left and r right rows into a grid of parts of at most about ``max_group_rows``.
 
@@ -142,7 +147,7 @@ def _salted_join(
         .join(bands(sides.right_slotted, right_keys, "_right_bands"), hot_keys, "full")
         .fillna({"_left_bands": 1, "_right_bands": 1})
     )
-    if (left_sizes.rows + right_sizes.rows) // size + 1 <= limits.broadcast_rows:
+    if rows // size + 1 <= limits.broadcast_rows:
         hot = F.broadcast(hot)
 
     def with_bands(df: DataFrame, keys: list[str]) -> DataFrame:

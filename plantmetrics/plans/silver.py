@@ -47,9 +47,9 @@ def _clean_events(bronze: DataFrame, keys: tuple[str, ...], settings: Settings,
         sizes = group_sizes(bronze, [MACHINE])
         if strategy == "auto":
             strategy = "window" if sizes.largest <= settings.limits.max_group_rows else "chunked"
-    if strategy == "window":
-        bronze = bronze.repartition(MACHINE)
     parsed = _parse(bronze, settings, timestamp_clean="timestamp")
+    if strategy == "window":
+        parsed = parsed.repartition(MACHINE)
     unique = keep_first(parsed, [MACHINE, instant, *keys], [ROW_ID])
     return order_rows(unique, [MACHINE], ["timestamp_clean", ROW_ID], strategy, settings.limits, sizes)
 
