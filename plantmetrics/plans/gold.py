@@ -48,10 +48,12 @@ def join_daily(sensors_day: DataFrame, states_day: DataFrame) -> DataFrame:
 
 
 def gold_kpis_machines(sensors: DataFrame, scada: DataFrame, kpi: KpiSettings = DEFAULT_KPI) -> DataFrame:
-    days = fill_defaults(
-        join_daily(daily_sensors(sensors, kpi), daily_states(scada, kpi)),
-        {"nb_alarmes": 0, "duree_arret_minutes": 0.0},
-    )
+    days = join_daily(daily_sensors(sensors, kpi), daily_states(scada, kpi))
+    return add_availability(fill_defaults(days, {"nb_alarmes": 0, "duree_arret_minutes": 0.0}), kpi)
+
+
+def add_availability(days: DataFrame, kpi: KpiSettings = DEFAULT_KPI) -> DataFrame:
+    """Share of the day not stopped, in percent; a stop outlasting the day counts as all of it."""
     day = F.lit(kpi.minutes_per_day)
     availability = (day - F.col("duree_arret_minutes")) / day * F.lit(100.0)
     return days.withColumn("taux_disponibilite_pct", clamp(availability, 0.0, 100.0))
