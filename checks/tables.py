@@ -98,25 +98,32 @@ def scada(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw production orders: one per order line."""
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
     started = F.col("o_orderdate").cast("timestamp")
 
     def text(ts: Column) -> Column:
         return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
-    return joined.select(
-        F.concat_ws("_", F.lit("ORD"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
-            "ordre_id"
-        ),
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"),
         F.concat(F.lit("PROD_"), F.substring("o_orderpriority", 1, 1)).alias("produit_id"),
-        F.concat(F.lit("M"), F.col("l_suppkey").cast("string")).alias("machine_id"),
         text(started).alias("date_debut"),
         text(started + F.expr("INTERVAL 30 DAYS")).alias("date_fin_prevue"),
-        F.when(F.col("l_linestatus") != "O", text(F.col("l_shipdate").cast("timestamp"))).alias("date_fin_reelle"),
-        F.col("l_quantity").cast("int").alias("quantite_prevue"),
-        F.floor(F.col("l_quantity") * (F.lit(1.0) - F.col("l_discount"))).cast("int").alias("quantite_produite"),
-        (F.col("l_tax") * 100.0).alias("taux_rebut_pct"),
+    )
+    return (
+        table(spark, sf_dir, "lineitem")
+        .join(orders, "l_orderkey")
+        .select(
+            F.concat_ws("_", F.lit("ORD"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+            .alias("ordre_id"),
+            "produit_id",
+            F.concat(F.lit("M"), F.col("l_suppkey").cast("string")).alias("machine_id"),
+            "date_debut",
+            "date_fin_prevue",
+            F.when(F.col("l_linestatus") != "O", text(F.col("l_shipdate").cast("timestamp"))).alias("date_fin_reelle"),
+            F.col("l_quantity").cast("int").alias("quantite_prevue"),
+            F.floor(F.col("l_quantity") * (F.lit(1.0) - F.col("l_discount"))).cast("int").alias("quantite_produite"),
+            (F.col("l_tax") * 100.0).alias("taux_rebut_pct"),
+        )
     )
 
 

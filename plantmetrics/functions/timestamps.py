@@ -29,10 +29,10 @@ def _positions(layout: str) -> tuple[str, dict[str, int]]:
 
 
 def _read(value: Column, layout: str) -> Column:
-    """Timestamp of a text known to fit the mask of ``layout``, NULL if it is no valid one."""
+    """Timestamp, to the second, of a text that fits the mask of ``layout``; NULL if it is no valid one."""
     mask, starts = _positions(layout)
     if not set(_DATE_PARTS) <= set(starts) or set(starts) - {*_DATE_PARTS, *_TIME_PARTS, "SSSSSS"}:
-        return F.try_to_timestamp(F.substring(value, 1, len(mask)), F.lit(layout))
+        return F.date_trunc("second", F.try_to_timestamp(F.substring(value, 1, len(mask)), F.lit(layout)))
     if layout.startswith("yyyy-MM-dd") and mask.endswith("__:__:__"):
         return F.substring(value, 1, 19).try_cast("timestamp")
     date = [F.substring(value, starts[part], len(part)) for part in _DATE_PARTS]
@@ -59,7 +59,7 @@ def parse_timestamp(
         mask, _ = _positions(layout)
         fits = value.like(mask + "%" if prefix else mask)
         tries.append(F.when(fits, _read(value, layout)))
-    return F.date_trunc("second", F.coalesce(*tries))
+    return F.coalesce(*tries)
 
 
 def date_label(day: Column | str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,7 +22,9 @@ def scratch_base(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     application = spark.sparkContext.applicationId
     if application not in _local_bases:
-        _local_bases[application] = tempfile.mkdtemp(prefix="plantmetrics-")
+        base = tempfile.mkdtemp(prefix="plantmetrics-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+        _local_bases[application] = base
     return _local_bases[application]
 
 

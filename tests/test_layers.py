@@ -55,7 +55,7 @@ def test_dedup_on_text_or_on_time(spark):
 
 def test_silver_plans_agree_with_a_hot_machine(spark, same_rows):
     i = F.col("id")
-    df = spark.range(1500, numPartitions=4).select(
+    df = spark.range(900, numPartitions=4).select(
         F.when(i % 3 == 0, F.date_format(F.timestamp_seconds(i * 60), "dd/MM/yyyy HH:mm"))
         .when(i % 50 == 1, "unreadable")
         .otherwise(F.date_format(F.timestamp_seconds(F.pmod(i * 7919, F.lit(5000))), "yyyy-MM-dd'T'HH:mm:ss"))
