@@ -44,15 +44,17 @@ FILLED_COLUMNS = {
 class SizeLimits:
     """Measured sizes beyond which an operator switches to its skew-proof form.
 
-    ``max_group_rows``  rows one task may hold for a single key
+    ``max_group_rows``  rows one task may walk in order for a single key
+    ``max_slot_rows``   rows of one side that one task may compare with those of the other
     ``chunk_rows``      target rows per chunk once a group is split
     ``max_chunks``      most chunks to cut; beyond it chunks get longer, never dropped
     ``broadcast_rows``  most rows (of a few narrow columns) sent to every executor
     ``pivot_columns``   most columns a pivot with discovered labels may produce
     """
 
-    max_group_rows: int = 5_000_000
-    chunk_rows: int = 2_000_000
+    max_group_rows: int = 2_000_000
+    max_slot_rows: int = 20_000
+    chunk_rows: int = 1_000_000
     max_chunks: int = 20_000
     broadcast_rows: int = 200_000
     pivot_columns: int = 1_000

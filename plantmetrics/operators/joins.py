@@ -48,17 +48,23 @@ class _Sides:
         nearby = F.array(F.col("_own") - 1, F.col("_own"), F.col("_own") + 1)
         self.right_slotted = self.right_in_own.withColumn(f"_right{_SLOT}", F.explode(nearby)).drop("_own")
 
-    def count_slots(self) -> tuple[int, int]:
-        """Rows to be joined, and a bound on the rows of either side in the fullest slot.
+    def band_size(self, limits: SizeLimits) -> int | None:
+        """Rows per band that the fullest slots call for; None if no slot exceeds ``max_slot_rows``.
 
         Right rows are counted where they are, not where they are copied to: three neighbours hold at
-        most three times the fullest.
+        most three times the fullest. Bands grow until the slots to be cut fit a broadcast. The slots
+        left whole by that are smaller than a band and too many to leave tasks idle.
         """
         left = self.left_slotted.select(*self.by, _SLOT, F.lit(1).alias("_copies"))
         right = self.right_in_own.select(*self.right_by, "_own", F.lit(3).alias("_copies"))
         per_slot = left.union(right).groupBy(*self.by, _SLOT, "_copies").agg(F.sum("_copies").alias("n"))
-        found = per_slot.agg(F.sum("n").alias("rows"), F.max("n").alias("largest")).first()
-        return found["rows"] or 0, found["largest"] or 0
+        sizes = [limits.max_slot_rows * 4**power for power in range(16)]
+        counts = per_slot.agg(
+            *[F.coalesce(F.sum(F.when(F.col("n") > size, F.col("_copies"))), F.lit(0)) for size in sizes]
+        ).first()
+        if counts[0] == 0:
+            return None
+        return next(size for size, slots in zip(sizes, counts) if slots <= limits.broadcast_rows)
 
     def same_key(self) -> Column:
         condition = F.lit(True)
@@ -96,7 +102,7 @@ def range_join(
 
     * ``naive``: join on ``by``, test the times afterwards. Compares all rows of a key.
     * ``slotted``: join on (``by``, time slot). Compares rows at most two tolerances apart.
-    * ``salted``: as slotted, with the slots above ``limits.max_group_rows`` cut into a grid of smaller joins.
+    * ``salted``: as slotted, with the slots above ``limits.max_slot_rows`` cut into a grid of smaller joins.
     * ``auto``: slotted, or salted if counting finds such a slot.
     """
     if how not in ("left", "inner"):
@@ -107,33 +113,23 @@ def range_join(
     right_seconds = F.unix_timestamp(right_ts)
     if strategy == "naive":
         return sides.output(sides.left.join(sides.right, sides.same_key() & sides.close(right_seconds), how))
-    rows = 0
-    if strategy != "slotted":
-        rows, largest = sides.count_slots()
-        if strategy == "auto":
-            strategy = "salted" if largest > limits.max_group_rows else "slotted"
+    size = None if strategy == "slotted" else sides.band_size(limits)
+    if strategy == "auto":
+        strategy = "slotted" if size is None else "salted"
     if strategy == "slotted":
         near = sides.same_slot() & sides.close(right_seconds)
         return sides.output(sides.left_slotted.join(sides.right_slotted, near, how))
-    return _salted_join(sides, left_id, right_id, how, limits, rows)
+    return _salted_join(sides, left_id, right_id, how, size or limits.max_slot_rows)
 
 
-def _salted_join(
-    sides: _Sides,
-    left_id: str,
-    right_id: str,
-    how: str,
-    limits: SizeLimits,
-    rows: int,
-) -> DataFrame:
-    """Cut a slot of l left and r right rows into a grid of parts of at most about ``max_group_rows``.
+def _salted_join(sides: _Sides, left_id: str, right_id: str, how: str, size: int) -> DataFrame:
+    """Cut the slots with more than ``size`` rows of a side into bands of about that many.
 
     A left row is in one band and copied across the right bands, a right row the other way round, so
     each pair meets in exactly one cell. Copies would repeat unmatched left rows, hence the cells are
     inner joins and unmatched rows come from an anti join against the distinct seconds of the right
     side, of which a slot has at most three tolerances' worth.
     """
-    size = limits.max_group_rows
     slot_keys = [*sides.by, _SLOT]
     right_keys = [*sides.right_by, f"_right{_SLOT}"]
 
@@ -147,8 +143,7 @@ def _salted_join(
         .join(bands(sides.right_slotted, right_keys, "_right_bands"), hot_keys, "full")
         .fillna({"_left_bands": 1, "_right_bands": 1})
     )
-    if rows // size + 1 <= limits.broadcast_rows:
-        hot = F.broadcast(hot)
+    hot = F.broadcast(hot)  # band_size() made sure that it is small
 
     def with_bands(df: DataFrame, keys: list[str]) -> DataFrame:
         same = [F.col(key) == F.col(h) for key, h in zip(keys, hot_keys)]

@@ -18,7 +18,7 @@ from plantmetrics.operators.cleaning import (
 )
 from plantmetrics.operators.joins import range_join
 from plantmetrics.operators.ordered import forward_fill, next_value, order_rows
-from plantmetrics.operators.sizing import group_sizes
+from plantmetrics.operators.sizing import GroupSizes, group_sizes
 
 MACHINE, ROW_ID = "machine_id", "_row_id"
 
@@ -33,6 +33,14 @@ def _parse(df: DataFrame, settings: Settings, **columns: str) -> DataFrame:
     )
 
 
+def _by_machine(df: DataFrame, sizes: GroupSizes | None, settings: Settings) -> DataFrame:
+    """Rows moved to their machine's partition; more partitions than configured if the counted rows call for it."""
+    wanted = -(-sizes.rows // settings.limits.chunk_rows) if sizes else 0
+    if wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(MACHINE)
+    return df.repartition(min(wanted, settings.limits.max_chunks), MACHINE)
+
+
 def _clean_events(bronze: DataFrame, keys: tuple[str, ...], settings: Settings, strategy: str):
     """Parse and deduplicate a machine feed, and order it per machine.
 
@@ -49,7 +57,7 @@ def _clean_events(bronze: DataFrame, keys: tuple[str, ...], settings: Settings,
             strategy = "window" if sizes.largest <= settings.limits.max_group_rows else "chunked"
     parsed = _parse(bronze, settings, timestamp_clean="timestamp")
     if strategy == "window":
-        parsed = parsed.repartition(MACHINE)
+        parsed = _by_machine(parsed, sizes, settings)
     unique = keep_first(parsed, [MACHINE, instant, *keys], [ROW_ID])
     return order_rows(unique, [MACHINE], ["timestamp_clean", ROW_ID], strategy, settings.limits, sizes)
 

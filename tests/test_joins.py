@@ -2,10 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantmetrics.config import SizeLimits
-from plantmetrics.operators.joins import range_join
+from plantmetrics.operators.joins import _Sides, range_join
 
 STRATEGIES = ("naive", "slotted", "salted", "auto")
-TINY = SizeLimits(max_group_rows=8)
+TINY = SizeLimits(max_slot_rows=8)
 
 
 def join(left, right, strategy, how="left", tolerance_s=300, limits=TINY):
@@ -63,10 +63,14 @@ def test_left_rows_are_preserved(spark):
     assert joined.select("id").distinct().count() == left.count()
 
 
-def test_hot_table_through_a_shuffle_join(spark, same_rows):
+def test_bands_grow_until_the_cut_slots_are_few(spark, same_rows):
     left, right = skewed(spark)
-    limits = SizeLimits(max_group_rows=8, broadcast_rows=0)
-    same_rows(join(left, right, "naive"), join(left, right, "salted", limits=limits))
+    sides = _Sides(left, right, ["m"], "ts", "event_ts", 300, "id")
+    assert sides.band_size(TINY) == 8
+    assert sides.band_size(SizeLimits(max_slot_rows=2, broadcast_rows=4)) > 2
+    assert sides.band_size(SizeLimits()) is None
+    few = SizeLimits(max_slot_rows=2, broadcast_rows=4)
+    same_rows(join(left, right, "naive"), join(left, right, "salted", limits=few))
 
 
 def test_no_pairwise_plan(spark):

@@ -77,6 +77,13 @@ def test_one_exchange_when_no_machine_is_hot(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_partitions_follow_the_counted_rows(spark):
+    df = readings(spark, [("2024-01-01T00:00:00", f"M{i}", 60.0, 1.0, 4.0, 5.0) for i in range(40)])
+    few = silver.silver_sensors(df, replace(DEFAULTS, limits=SizeLimits(chunk_rows=2)))
+    assert "hashpartitioning(machine_id" in few._jdf.queryExecution().executedPlan().toString()
+    assert ", 20), REPARTITION_BY_NUM" in few._jdf.queryExecution().executedPlan().toString()
+
+
 STATE_COLUMNS = "event_id string, timestamp string, machine_id string, etat string, code_alarme string, _row_id long"
 
 

@@ -5,6 +5,7 @@ from dataclasses import replace
 import pytest
 
 from checks import tables
+from plantmetrics.__main__ import main
 from plantmetrics.config import DEFAULTS, KpiSettings
 from plantmetrics.plans.run import Layout, run_layers
 from plantmetrics.sources import export_csv, read_table
@@ -41,3 +42,11 @@ def test_all_layers(spark, raw_dir, tmp_path):
 def test_first_failure_ends_the_run(spark, tmp_path):
     report = run_layers(spark, Layout(str(tmp_path / "nothing"), str(tmp_path))).collect()
     assert len(report) == 1 and report[0].status.startswith("FAILED") and report[0].rows is None
+
+
+def test_command_line(spark, raw_dir, tmp_path, capsys):
+    assert main([raw_dir, str(tmp_path / "out"), "--no-csv"]) == 0
+    printed = capsys.readouterr().out.splitlines()
+    assert len(printed) == 14 and all(line.endswith("OK") for line in printed)
+    assert not os.path.exists(tmp_path / "out" / "gold" / "csv")
+    assert main([str(tmp_path / "nothing"), str(tmp_path / "out2")]) == 1
