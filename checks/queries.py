@@ -493,7 +493,7 @@ def normalize_code(spark, sf):
 
 @query
 def bronze_ingest(spark, sf):
-    raw_dir = _write_feeds(spark, sf)
+    raw_dir = write_feeds(spark, sf)
     stored = []
     for source in bronze.SOURCES:
         path = scratch.scratch_path(spark, f"bronze_{source.table}")
@@ -562,7 +562,7 @@ def gold_production_summary(spark, sf):
     return gold.gold_production_summary(_mes(spark, sf), KPI)
 
 
-def _write_feeds(spark, sf):
+def write_feeds(spark, sf):
     """The four feeds as raw files, as the plant would deliver them."""
     raw_dir = scratch.scratch_path(spark, "raw")
     io.export_csv(tables.sensors(spark, sf).drop("_row_id"), f"{raw_dir}/sensors_data.csv")
@@ -574,6 +574,6 @@ def _write_feeds(spark, sf):
 
 @query
 def medallion_run(spark, sf):
-    layout = run.Layout(_write_feeds(spark, sf), scratch.scratch_path(spark, "layers"))
+    layout = run.Layout(write_feeds(spark, sf), scratch.scratch_path(spark, "layers"))
     report = run.run_layers(spark, layout, SETTINGS)
     return report.select("stage", "table", "rows", "status")
