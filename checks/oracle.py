@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # Doubles meet decimals and rounding through their shortest text, where both engines agree.
 
 
@@ -232,8 +234,6 @@ FROM known WHERE temperature_c IS NOT NULL AND vibration_mms IS NOT NULL"""
 
 def _needs(sql: str, found: list[str]) -> list[str]:
     """Names of the CTEs ``sql`` reads, directly or not, each after those it reads itself."""
-    import re
-
     for name in re.findall(r"(?:FROM|JOIN)\s+([a-z_]+)", sql):
         if name in CTES and name not in found:
             _needs(CTES[name], found)

@@ -198,3 +198,14 @@ def test_alarm_table_per_machine(spark):
     kpis = gold.gold_kpis_machines(*sensors_and_states(spark))
     rows = sorted(map(tuple, dashboards.alarm_table(kpis).collect()))
     assert rows == [("2024-01-01", 1, 0), ("2024-01-02", 0, 0)]
+
+
+def test_only_needed_columns_and_rows_are_scanned(spark, tmp_path):
+    rows = [("2024-01-01T00:00:00", "M1", 60.0, 1.0, 4.0, 5.0)]
+    silver.silver_sensors(readings(spark, rows)).write.parquet(str(tmp_path / "s"))
+    sensors = spark.read.parquet(str(tmp_path / "s"))
+    weekly = gold.weekly_sensors(sensors)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<machine_id:string,timestamp_clean:timestamp>" in weekly
+    plotted = dashboards.temperature_histogram(sensors)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(temperature_c,-10.0)" in plotted
+    assert "ReadSchema: struct<machine_id:string,temperature_c:double>" in plotted
