@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__
 from checks.compare import difference, duck
+from checks.oracle import ORACLE_SQL as SQL
+from checks.queries import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +22,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_entry_has_all_queries():
+    assert set(QUERIES) <= set(__spark_entry__.queries()) and set(SQL) <= set(__spark_entry__.oracle_sql())
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, connection, name):
     assert difference(QUERIES[name](spark, SF), connection, SQL[name]) is None
