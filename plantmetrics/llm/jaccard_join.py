@@ -48,8 +48,14 @@ class JoinSettings:
     max_list: int = 20_000
     #: Lists up to this length are compared pair by pair, longer ones by blocks and leaders.
     short_list: int = 8
+    #: Of the 64 parities of a sketch, how many may differ between a leader and a member. Unrelated sets
+    #: differ in 32; a pair that is not taken for leader and member is a candidate itself, so this decides
+    #: only how much work is skipped.
+    alike_bits: int = 18
     #: Rows in a block of a list.
     block: int = 128
+    #: Bits in the table that spares documents outside all candidate pairs the last pass.
+    bits: int = 1 << 22
 
 
 def _mix(values: np.ndarray) -> np.ndarray:
@@ -82,6 +88,17 @@ def _parity(shingles: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(counts.astype(np.uint8) & 1).view(np.int64)
 
 
+def _level(sizes):
+    """How often a set of this size is halved for its sketch: to 64 to 128 shingles."""
+    return np.maximum(np.frexp(np.asarray(sizes, np.float64))[1] - 7, 0)
+
+
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """64 parities of a part of the set that is chosen by hash."""
+    level = int(_level(len(shingles)))
+    return _parity(shingles[(shingles >> np.uint64(40)) & np.uint64((1 << level) - 1) == 0], 64)
+
+
 def _counter(shingles: np.ndarray, counters: int) -> np.ndarray:
     return (shingles & np.uint64(counters - 1)).astype(np.int64)
 
@@ -117,19 +134,19 @@ def _frequencies(scanned: DataFrame, settings: JoinSettings) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, frequencies, settings: JoinSettings, heavy_only: bool) -> DataFrame:
-    """``(token, place, parity, class)`` for the shingles in the prefix of each set, rarest first.
+    """``(token, place, parity, sketch, class)`` for the shingles in the prefix of each set, rarest first.
 
     ``place`` is the set's size and the position, in one integer that sorts by both. Copies of a set that a
     task meets again are left out. ``heavy_only`` keeps tokens that may be in more than ``max_list`` sets.
     """
-    kind = StructType.fromDDL("token long, place long, parity long, class binary")
+    kind = StructType.fromDDL("token long, place long, parity long, sketch long, class binary")
     arrow = to_arrow_schema(kind)
     percent, words, counters, most = settings.percent, settings.words, settings.counters, settings.max_list
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, met = frequencies.value, set()
         for batch in batches:
-            tokens, places, parities, classes = [], [], [], []
+            tokens, places, parities, sketches, classes = [], [], [], [], []
             for text in batch.column(0).to_pylist():
                 shingles = shingle_set(text, words)
                 name = _digest(shingles)
@@ -147,9 +164,11 @@ def _prefixes(docs: DataFrame, frequencies, settings: JoinSettings, heavy_only:
                 tokens.append(shingles[first].view(np.int64))
                 places.append((size << 32) + position)
                 parities.append(np.full(len(first), _parity(shingles, 64)[0]))
+                sketches.append(np.full(len(first), _sketch(shingles)[0]))
                 classes.extend([name] * len(first))
             if classes:
-                yield record_batch([*map(pa.array, map(np.concatenate, (tokens, places, parities))), classes], arrow)
+                numbers = map(np.concatenate, (tokens, places, parities, sketches))
+                yield record_batch([*map(pa.array, numbers), classes], arrow)
 
     return docs.select("text").mapInArrow(run, kind)
 
@@ -173,7 +192,8 @@ def _may_link(size, position, other_size, other_position, percent: int):
 class _List:
     """One shingle's list in the order (size, position), cut into blocks."""
 
-    def __init__(self, places: np.ndarray, parities: np.ndarray, settings: JoinSettings):
+    def __init__(self, places: np.ndarray, parities: np.ndarray, sketches: np.ndarray, settings: JoinSettings):
+        self.sketch, self.level, self.alike = sketches, _level(places >> 32), settings.alike_bits
         self.size, self.position, self.parity, self.percent = places >> 32, places & 0xFFFFFFFF, parities, settings.percent
         self.starts = np.arange(0, len(places), settings.block)
         self.least_size, self.most_size = self.size[self.starts], np.maximum.reduceat(self.size, self.starts)
@@ -197,11 +217,13 @@ class _List:
 
     def pairs(self) -> Iterator[tuple[int, np.ndarray, bool]]:
         """(row, partners, whether the row is their leader): every pair that passes the filters is there, or
-        both of the pair are members of one leader."""
+        both of the pair are members of one leader. Members are rows that look much like their leader."""
         free, leader_of = np.ones(len(self.size), bool), np.full(len(self.size), -1)
         for row in range(len(self.size)):
             if free[row]:
                 members = self.partners(row, free)
+                members = members[self.level[members] == self.level[row]]
+                members = members[_differing(self.sketch[members], self.sketch[row]) <= self.alike]
                 free[members] = False
                 leader_of[members] = leader_of[row] = row
                 if len(members):
@@ -219,13 +241,13 @@ def _candidates(entries: DataFrame, settings: JoinSettings) -> DataFrame:
     percent, short = settings.percent, settings.short_list
 
     def lists(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        token, cell, place, parity = (table.column(k).to_numpy() for k in range(4))
-        classes = table.column(4).combine_chunks().cast(pa.binary(16))
+        token, cell, place, parity, sketch = (table.column(k).to_numpy() for k in range(5))
+        classes = table.column(5).combine_chunks().cast(pa.binary(16))
         words = np.frombuffer(classes.buffers()[1], np.int64).reshape(-1, 2)[classes.offset : classes.offset + len(classes)]
         new_list = np.concatenate([[True], (token[1:] != token[:-1]) | (cell[1:] != cell[:-1])])
         copy = np.concatenate([[False], (words[1:] == words[:-1]).all(axis=1)]) & ~new_list
         kept = np.flatnonzero(~copy)  # a list begins with its first copy, so no list is lost
-        place, parity, starts = place[kept], parity[kept], np.flatnonzero(new_list[kept])
+        place, parity, sketch, starts = place[kept], parity[kept], sketch[kept], np.flatnonzero(new_list[kept])
         sizes = np.diff(np.append(starts, len(kept)))
         list_of, size, position = np.repeat(np.arange(len(starts)), sizes), place >> 32, place & 0xFFFFFFFF
 
@@ -243,7 +265,7 @@ def _candidates(entries: DataFrame, settings: JoinSettings) -> DataFrame:
                 yield batch(rows[good], other[good], np.zeros(good.sum(), bool))
         for k in np.flatnonzero(sizes > short):
             own, found, waiting = slice(starts[k], starts[k] + sizes[k]), [], 0
-            for row, partners, leading in _List(place[own], parity[own], settings).pairs():
+            for row, partners, leading in _List(place[own], parity[own], sketch[own], settings).pairs():
                 found.append((np.full(len(partners), row), partners, np.full(len(partners), leading)))
                 waiting += len(partners)
                 if waiting > 50_000:
@@ -268,7 +290,7 @@ def _candidates(entries: DataFrame, settings: JoinSettings) -> DataFrame:
         if rest is not None:
             yield from lists(rest)
 
-    return entries.select("token", "cell", "place", "parity", "class").mapInArrow(run, kind)
+    return entries.select("token", "cell", "place", "parity", "sketch", "class").mapInArrow(run, kind)
 
 
 def _split_lists(entries: DataFrame, heavy: DataFrame, settings: JoinSettings) -> DataFrame:
@@ -284,14 +306,14 @@ def _split_lists(entries: DataFrame, heavy: DataFrame, settings: JoinSettings) -
     other = F.expr("explode(sequence(0L, coalesce(blocks, 1L) - 1L))")
     return (
         entries.join(long_lists, "token", "left")
-        .select("token", "place", "parity", "class", "blocks", F.coalesce(block, F.lit(0)).alias("block"), other.alias("other"))
+        .select("token", "place", "parity", "sketch", "class", "blocks", F.coalesce(block, F.lit(0)).alias("block"), other.alias("other"))
         .withColumn(
             "cell",
             F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(
                 F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
             ),
         )
-        .select("token", F.col("cell").cast("long"), "place", "parity", "class")
+        .select("token", F.col("cell").cast("long"), "place", "parity", "sketch", "class")
     )
 
 
@@ -330,27 +352,38 @@ def _near(pairs: DataFrame, classes: DataFrame, settings: JoinSettings) -> DataF
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
         .where(f"100 * least(n_a, n_b) >= {settings.percent} * greatest(n_a, n_b) AND {differing} <= {most}")
-        .select(*pairs.columns)
+        .select(*pairs.columns, F.expr(differing).cast("int").alias("apart"))
     )
 
 
 def _needed_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, settings: JoinSettings) -> DataFrame:
-    """``(class, shingles)`` of the classes in ``pairs``, made anew from one document of each."""
-    names = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    wanted = classes.join(names, "class").select(F.col("first_id").alias("wanted_id"), "class")
+    """``(class, shingles)`` of the classes in ``pairs``, made anew from one document of each.
 
-    def work(name, texts):
-        return name, [shingle_set(text, settings.words).tobytes() for text in texts]
-
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("class", "text")
-    sets = map_columns(texts, work, "class binary, shingles binary")
+    A table of bits, of fixed size, lets tasks pass over documents that no class is made from, so that
+    neither their texts nor their sets are shuffled; the join decides.
+    """
+    names = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    wanted = stage(classes.join(names, "class").select("first_id", "class"), "wanted")
+    bit = F.pmod(F.xxhash64("first_id"), F.lit(settings.bits)).alias("bit")
+    marked = np.zeros(settings.bits, bool)
+    marked[wanted.select(bit).distinct().toPandas()["bit"].to_numpy(np.int64)] = True  # settings.bits rows at most
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))
+    kind = StructType.fromDDL("wanted_id long, found binary, shingles binary")
+    arrow = to_arrow_schema(kind)
 
-    # rows that share a doc_id with the wanted one but have another text fall out here
-    def check(name, shingles):
-        return name, shingles, [_digest(np.frombuffer(one, np.uint64)) == key for key, one in zip(name, shingles, strict=True)]
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(shared.value).view(bool)
+        for batch in batches:
+            marked = np.flatnonzero(bits[batch.column(2).to_numpy()])
+            ids, texts = (batch.column(k).take(pa.array(marked)).to_pylist() for k in (0, 1))
+            sets = [shingle_set(text, settings.words) for text in texts]
+            yield record_batch([ids, list(map(_digest, sets)), [one.tobytes() for one in sets]], arrow)
 
-    sets = map_columns(sets, check, "class binary, shingles binary, right boolean").where("right").drop("right")
-    return stage(sets.dropDuplicates(["class"]), "sets")
+    own_bit = F.pmod(F.xxhash64("doc_id"), F.lit(settings.bits))
+    found = docs.select("doc_id", "text", own_bit).mapInArrow(read, kind)
+    # rows that share a doc_id with the wanted one but have another set don't match its class
+    same = F.col("wanted_id").eqNullSafe(F.col("first_id")) & (F.col("found") == F.col("class"))
+    return stage(found.join(wanted, same).dropDuplicates(["class"]).select("class", "shingles"), "sets")
 
 
 def jaccard_components(
@@ -379,39 +412,64 @@ def jaccard_components(
         _prefixes(docs, frequencies, settings, False), _prefixes(docs, frequencies, settings, True), settings
     )
     lists = entries.repartition("token", "cell").sortWithinPartitions("token", "cell", "place", "class")
-    pairs = _candidates(lists, settings).groupBy("a", "b").agg(F.max("leads").alias("leads"))
-    pairs = stage(_near(stage(pairs, "pairs"), classes, settings), "near-pairs")
+    ordered = _candidates(lists, settings).select(
+        F.least("a", "b").alias("a"),
+        F.greatest("a", "b").alias("b"),
+        (F.col("leads") & (F.col("a") < F.col("b"))).alias("a_leads"),
+        (F.col("leads") & (F.col("a") > F.col("b"))).alias("b_leads"),
+    )
+    pairs = ordered.groupBy("a", "b").agg(F.max("a_leads").alias("a_leads"), F.max("b_leads").alias("b_leads"))
+    raw = stage(pairs, "pairs")
+    pairs = stage(_near(raw, classes, settings), "near-pairs")
     sets = _needed_sets(docs, classes, pairs, settings)
-    decided = stage(_verify(pairs, sets, settings).join(pairs, ["a", "b"]), "decided")
-    links = decided.where("linked").select("a", "b")
-    roots = stage(connected_components(links), "roots")
-    orphans = _orphan_candidates(decided, roots, classes, settings)
+    # the nearest pair of each class first: most other pairs are then within one component
+    nearest = stage(_nearest(pairs), "nearest")
+    decided = stage(_verify(nearest, sets, settings), "decided")
+    roots = stage(connected_components(decided.where("linked")), "roots")
+    open_pairs = _apart(pairs.join(nearest, ["a", "b"], "left_anti"), roots)
+    more = stage(_verify(open_pairs, sets, settings), "decided-later")
+    decided = decided.union(more)
+    roots = stage(connected_components(decided.where("linked")), "roots")
+    orphans = _orphan_candidates(raw, pairs, decided.where("NOT linked"), roots, classes, settings)
     if not orphans.isEmpty():
-        more = _verify(orphans, _needed_sets(docs, classes, orphans, settings), settings).where("linked")
-        roots = connected_components(links.union(more.select("a", "b")))
+        found = _verify(orphans, _needed_sets(docs, classes, orphans, settings), settings)
+        roots = connected_components(decided.union(found).where("linked"))
     return _label(rows, classes, roots)
 
 
-def _orphan_candidates(decided: DataFrame, roots: DataFrame, classes: DataFrame, settings: JoinSettings) -> DataFrame:
-    """``(a, b)``: an orphan with another member of its leader, where they are not yet connected."""
-    members = decided.where("leads").select(F.col("a").alias("leader"), F.col("b").alias("member"), "linked")
-    members = (
-        members.join(classes.select(F.col("class").alias("member"), "n_shingles"), "member")
-        .join(roots.withColumnRenamed("node", "member"), "member", "left")
-        .withColumn("root", F.coalesce("root", "member"))
-    )
-    orphans = members.where("NOT linked").select(
-        "leader", *(F.col(name).alias(f"o_{name}") for name in ("member", "n_shingles", "root"))
-    )
-    alike = f"100 * least(n_shingles, o_n_shingles) >= {settings.percent} * greatest(n_shingles, o_n_shingles)"
-    found = (
-        members.join(orphans, "leader")
-        .where(f"root != o_root AND {alike}")
-        .select(F.least("member", "o_member").alias("a"), F.greatest("member", "o_member").alias("b"))
-        .distinct()
-    )
-    known = decided.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return stage(_near(found.join(known, ["a", "b"], "left_anti"), classes, settings), "orphans")
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """For each class the pair whose parities differ least."""
+    both = pairs.select("a", "b", "apart").union(pairs.select("b", "a", "apart")).toDF("a", "b", "apart")
+    best = both.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best")).select("a", "best.b")
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs of classes that are not yet in one component."""
+    for side in ("a", "b"):
+        named = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        pairs = pairs.join(named, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    return pairs.where("root_a != root_b").drop("root_a", "root_b")
+
+
+def _orphan_candidates(
+    raw: DataFrame, pairs: DataFrame, failed: DataFrame, roots: DataFrame, classes: DataFrame, settings: JoinSettings
+) -> DataFrame:
+    """``(a, b)``: a member whose link with its leader proved false, with another member of the leader, where
+    they are not yet connected."""
+    leading = raw.where("a_leads OR b_leads")
+    too_far = leading.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    failed = leading.join(failed.select("a", "b"), ["a", "b"]).union(too_far)
+
+    def members(of: DataFrame) -> DataFrame:
+        sides = of.where("a_leads").select(F.col("a").alias("leader"), F.col("b").alias("member"))
+        return sides.union(of.where("b_leads").select("b", "a"))
+
+    orphans = members(failed).select("leader", F.col("member").alias("a"))
+    met = members(leading).select("leader", F.col("member").alias("b")).join(orphans, "leader").where("a != b")
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    unknown = _apart(met.join(raw.select("a", "b"), ["a", "b"], "left_anti"), roots)
+    return stage(_near(unknown, classes, settings).select("a", "b"), "orphans")
 
 
 def _label(rows: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
