@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,10 @@ from pyspark.sql import functions as F
 
 from plantmetrics.llm.arrow import map_columns
 
-#: Distinct pieces a worker remembers before it starts afresh.
-CACHE_PIECES = 200_000
+#: Distinct pieces a worker remembers; beyond, the older half is forgotten.
+CACHE_PIECES = 400_000
+#: Answers about neighbouring tokens that a worker remembers before it starts afresh.
+CACHE_PAIRS = 500_000
 
 
 class Vocabulary:
@@ -37,10 +40,11 @@ class Vocabulary:
             self.tokens[rank] = token
         self.split: list[tuple[int, int]] = [(rank, rank) for rank in range(len(self.tokens))]
         self.made_from: dict[tuple[int, int], int] = {}
-        #: Longest token by its last two bytes (or its only byte): bounds the search backwards.
+        self.met: dict[int, bool] = {}
+        #: Longest token by its last three bytes: bounds the search backwards.
         self.reach: dict[bytes, int] = {}
         for rank, token in enumerate(self.tokens):
-            end = token[-2:]
+            end = token[-3:]
             self.reach[end] = max(self.reach.get(end, 1), len(token))
             for cut in range(len(token) - 1, 0, -1):
                 left, right = ranks.get(token[:cut], rank), ranks.get(token[cut:], rank)
@@ -55,6 +59,16 @@ class Vocabulary:
         with open(path, "rb") as lines:
             return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
 
+    def may_meet(self, left: int, right: int) -> bool:
+        """``adjacent``, remembered."""
+        key = left << 32 | right
+        known = self.met.get(key)
+        if known is None:
+            if len(self.met) >= CACHE_PAIRS:
+                self.met.clear()
+            self.met[key] = known = self.adjacent(left, right)
+        return known
+
     def adjacent(self, left: int, right: int) -> bool:
         """Whether BPE leaves ``left`` and ``right`` as they are when they meet.
 
@@ -88,10 +102,8 @@ class PrefixTable:
 
     def append(self, more: bytes) -> None:
         """Add bytes at the end; entries so far stay as they are."""
-        start = len(self.data)
         self.data += more
-        for end in range(start + 1, len(self.data) + 1):
-            self.last.append(self._last_token(end))
+        self._fill(len(self.data))
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Put ``new`` in the place of bytes start to stop; returns how many entries were computed."""
@@ -100,20 +112,31 @@ class PrefixTable:
         self.last = old[:start]
         agreed, fixed = 0, start + len(new)
         for end in range(start + 1, len(self.data) + 1):
-            self.last.append(self._last_token(end))
+            self._fill(end)
             agreed = agreed + 1 if end > fixed and self.last[-1] == old[end - 1 - shift] else 0
             if agreed == self.vocabulary.longest:
                 self.last.extend(old[end - shift :])
                 return end - start
         return len(self.data) - start
 
-    def _last_token(self, end: int) -> int:
+    def _fill(self, stop: int) -> None:
+        """Add entries until there are ``stop``."""
         vocabulary, data, last = self.vocabulary, self.data, self.last
-        for length in range(min(end, vocabulary.reach.get(data[max(0, end - 2) : end], 1)), 0, -1):
-            token = vocabulary.ranks.get(data[end - length : end])
-            if token is not None and (length == end or vocabulary.adjacent(last[end - length - 1], token)):
-                return token
-        raise ValueError(f"byte {data[end - 1]} is not in the vocabulary")
+        rank_of, reach_of, known = vocabulary.ranks.get, vocabulary.reach.get, vocabulary.met.get
+        for end in range(len(last) + 1, stop + 1):
+            reach = reach_of(data[end - 3 if end > 3 else 0 : end], 2)
+            for start in range(end - reach if end > reach else 0, end):
+                token = rank_of(data[start:end])
+                if token is not None:
+                    if not start:
+                        break
+                    left = last[start - 1]
+                    fits = known(left << 32 | token)
+                    if fits or (fits is None and vocabulary.may_meet(left, token)):
+                        break
+            else:
+                raise ValueError(f"byte {data[end - 1]} is not in the vocabulary")
+            last.append(token)
 
     def tokens(self, size: int | None = None) -> list[int]:
         """The encoding of the first ``size`` bytes, all of them by default."""
@@ -132,7 +155,8 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_PIECES:
-            self.clear()
+            for old in list(islice(self, CACHE_PIECES // 2)):
+                del self[old]
         ids = PrefixTable(self.vocabulary, piece.encode()).tokens()
         self[piece] = packed = np.array(ids, dtype="<u4").tobytes()
         return packed
