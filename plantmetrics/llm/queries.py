@@ -50,7 +50,7 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         _held_out(),
         F.col("_score").alias("score"),
         (F.col("_score") >= 0.5).cast("int").alias("predicted"),
-        F.col("_toxic").alias("toxic"),
+        F.col("_toxic").alias("over_threshold"),
     )
 
 
