@@ -40,8 +40,7 @@ SELECT *,
        ELSE concat('n/a ', event_id) END AS "timestamp",
   CASE WHEN k < 40 THEN date_trunc('second', ts)
        WHEN k < 80 THEN date_trunc('minute', ts)
-       WHEN k < 92 THEN date_trunc('second', ts)
-       WHEN k < 98 THEN date_trunc('minute', ts) END AS timestamp_clean,
+       WHEN k < 98 THEN date_trunc('second', ts) END AS timestamp_clean,
   CASE WHEN k < 40 THEN date_trunc('second', ts)
        WHEN k < 80 THEN date_trunc('minute', ts)
        WHEN k < 98 THEN date_trunc('second', ts) END AS timestamp_exact
@@ -204,7 +203,7 @@ FROM (SELECT machine_id,
 CTES["near"] = """
 SELECT s._row_id, s.machine_id, s.timestamp_clean, s.temperature_c, c.timestamp_clean AS scada_ts, c.event_id,
   c.code_alarme
-FROM uniq s LEFT JOIN (SELECT * FROM scada WHERE etat = 'ALARME') c
+FROM uniq s LEFT JOIN scada c
   ON s.machine_id = c.machine_id AND abs(epoch(s.timestamp_clean) - epoch(c.timestamp_clean)) <= 300"""
 
 CTES["enriched"] = """
@@ -317,6 +316,10 @@ _SQL: dict[str, str] = {
     "scan_csv": f"SELECT {_RAW_SENSORS} FROM raw_sensors",
     "scan_json": f"SELECT {_RAW_SCADA} FROM raw_scada",
     "scan_json_lines": f"SELECT {_RAW_SCADA} FROM raw_scada",
+    "scan_csv_reordered": f"SELECT {_RAW_SENSORS} FROM raw_sensors",
+    "bronze_scada_lines": f"SELECT {_RAW_SCADA}, 'scada_logs.json' AS _source_file, 'SCADA' AS _source_system FROM raw_scada",
+    "parse_timestamps_with_zone_and_fraction": "SELECT event_id, date_trunc('second', ts) - INTERVAL 2 HOUR "
+    "AS timestamp_clean FROM events",
     "scan_layer_table": f"SELECT {_RAW_MES} FROM raw_mes",
     "sink_partitioned_roundtrip": "SELECT *, 'maintenance_logs.csv' AS _source_file, 'MAINTENANCE' AS _source_system "
     "FROM raw_maintenance",
@@ -369,7 +372,11 @@ _SQL: dict[str, str] = {
     "(SELECT COUNT(*) AS n_avant FROM raw_sensors)",
     "pivot_alarms": "SELECT strftime(timestamp_clean, '%Y-%m-%d') AS jour, "
     + ", ".join(f"COUNT(*) FILTER (code_alarme = 'ALM_{i}') AS \"ALM_{i}\"" for i in range(10))
-    + " FROM scada WHERE etat = 'ALARME' AND timestamp_clean IS NOT NULL GROUP BY 1",
+    + ", COUNT(*) FILTER (coalesce(code_alarme, '') NOT IN ("
+    + ", ".join(f"'ALM_{i}'" for i in range(10))
+    + ")) AS autres FROM scada WHERE etat = 'ALARME' AND timestamp_clean IS NOT NULL GROUP BY 1",
+    "pivot_alarms_by_machine": "SELECT strftime(date, '%Y-%m-%d') AS jour, machine_id, "
+    "CAST(SUM(nb_alarmes) AS BIGINT) AS nb_alarmes FROM kpis WHERE date IS NOT NULL GROUP BY ALL",
     "pivot_oee": "SELECT machine_id, "
     + ", ".join(f'{mean(f"CASE WHEN semaine = {w} THEN oee_pct END")} AS "{w}"' for w in range(1, 54))
     + " FROM oee GROUP BY 1",

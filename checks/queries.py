@@ -98,6 +98,30 @@ def scan_json_lines(spark, sf):
     return io.read_json(spark, path, schemas.SCADA, lines=True)
 
 
+@query
+def scan_csv_reordered(spark, sf):
+    """Columns in another order than the schema's, and one that it doesn't know."""
+    path = scratch.scratch_path(spark, "scan_csv_reordered")
+    feed = tables.sensors(spark, sf).withColumn("autre", F.lit("x"))
+    io.export_csv(feed.select("machine_id", "autre", *reversed(schemas.SENSORS.names[2:]), "timestamp"), path)
+    return io.read_csv(spark, path, schemas.SENSORS)
+
+
+@query
+def bronze_scada_lines(spark, sf):
+    folder = scratch.scratch_path(spark, "bronze_scada_lines")
+    tables.scada(spark, sf).drop("_row_id").write.json(f"{folder}/scada_logs.json")
+    (source,) = (s for s in bronze.sources(scada_lines=True) if s.table == "scada")
+    return bronze.ingest(spark, source, folder).select(*schemas.SCADA.names, "_source_file", "_source_system")
+
+
+@query
+def parse_timestamps_with_zone_and_fraction(spark, sf):
+    text = F.concat(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".25+02:00"))
+    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", text.alias("text"))
+    return events.select("event_id", timestamps.parse_timestamp("text").alias("timestamp_clean"))
+
+
 @query
 def scan_layer_table(spark, sf):
     path = scratch.scratch_path(spark, "scan_layer_table")
@@ -240,14 +264,13 @@ def filter_between(spark, sf):
 # Joins
 
 
-def _alarms_near_readings(spark, sf, strategy):
+def _states_near_readings(spark, sf, strategy, limits=SizeLimits()):
     """Both sides are written first, as the silver layer does, so counting them is a scan."""
     readings = _unique(spark, sf).select("_row_id", "machine_id", "timestamp_clean", "temperature_c")
-    alarms = _scada(spark, sf).filter("etat = 'ALARME'")
-    alarms = alarms.select("machine_id", F.col("timestamp_clean").alias("scada_ts"), "event_id", "code_alarme")
+    states = _scada(spark, sf).select("machine_id", F.col("timestamp_clean").alias("scada_ts"), "event_id", "code_alarme")
     return joins.range_join(
         scratch.stage(readings, "readings"),
-        scratch.stage(alarms, "alarms"),
+        scratch.stage(states, "states"),
         by=["machine_id"],
         left_ts="timestamp_clean",
         right_ts="scada_ts",
@@ -255,22 +278,24 @@ def _alarms_near_readings(spark, sf, strategy):
         left_id="_row_id",
         right_id="event_id",
         strategy=strategy,
+        limits=limits,
     )
 
 
 @query
 def range_join_left(spark, sf):
-    return _alarms_near_readings(spark, sf, "auto")
+    return _states_near_readings(spark, sf, "auto")
 
 
 @query
 def range_join_naive(spark, sf):
-    return _alarms_near_readings(spark, sf, "naive")
+    return _states_near_readings(spark, sf, "naive")
 
 
 @query
 def range_join_salted(spark, sf):
-    return _alarms_near_readings(spark, sf, "salted")
+    """Every slot with two rows of a side is cut."""
+    return _states_near_readings(spark, sf, "salted", SizeLimits(max_slot_rows=1))
 
 
 @query
@@ -350,6 +375,11 @@ def pivot_alarms(spark, sf):
     return dashboards.alarm_table(daily, "code_alarme", ALARM_CODES)
 
 
+@query
+def pivot_alarms_by_machine(spark, sf):
+    return dashboards.alarm_table(_kpis(spark, sf))
+
+
 @query
 def pivot_oee(spark, sf):
     return dashboards.oee_heatmap(_oee(spark, sf), kpi=KPI)

@@ -16,10 +16,11 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("base_dir", help="folder that receives bronze, silver, gold and summary")
     parser.add_argument("--format", default="parquet", help="table format of the layers (default: parquet)")
     parser.add_argument("--no-csv", action="store_true", help="do not export the gold tables as CSV")
+    parser.add_argument("--scada-lines", action="store_true", help="state events are JSON Lines, not an array")
     options = parser.parse_args(arguments)
 
     spark = build_session()
-    layout = Layout(options.raw_dir, options.base_dir, options.format, not options.no_csv)
+    layout = Layout(options.raw_dir, options.base_dir, options.format, not options.no_csv, options.scada_lines)
     report = run_layers(spark, layout).collect()
     clear_scratch(spark)
     for row in report:

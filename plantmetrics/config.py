@@ -49,7 +49,6 @@ class SizeLimits:
     ``chunk_rows``      target rows per chunk once a group is split
     ``max_chunks``      most chunks to cut; beyond it chunks get longer, never dropped
     ``broadcast_rows``  most rows (of a few narrow columns) sent to every executor
-    ``pivot_columns``   most columns a pivot with discovered labels may produce
     """
 
     max_group_rows: int = 2_000_000
@@ -57,12 +56,11 @@ class SizeLimits:
     chunk_rows: int = 1_000_000
     max_chunks: int = 20_000
     broadcast_rows: int = 200_000
-    pivot_columns: int = 1_000
 
 
 @dataclass(frozen=True)
 class KpiSettings:
-    """Constants of the KPI formulas.
+    """Constants of the KPI formulas (fixed values).
 
     ``sum_scale`` None sums doubles as they are. A number sums them as decimals of that
     scale, which makes totals independent of partitioning and task retries.
@@ -87,7 +85,7 @@ class Settings:
     """Everything a layer job needs besides its input frames."""
 
     timestamp_formats: tuple[str, ...] = TIMESTAMP_FORMATS
-    timestamp_prefix: bool = True
+    timestamp_prefix: bool = False
     range_rules: tuple[RangeRule, ...] = RANGE_RULES
     filled_columns: dict[str, str] = field(default_factory=lambda: dict(FILLED_COLUMNS))
     exclude_invalid_from_fill: bool = False

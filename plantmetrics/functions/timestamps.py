@@ -14,6 +14,8 @@ from plantmetrics.config import TIMESTAMP_FORMATS
 _PART = re.compile(r"'[^']*'|([A-Za-z])\1*|[^A-Za-z']")
 _DATE_PARTS = ("yyyy", "MM", "dd")
 _TIME_PARTS = ("HH", "mm", "ss")
+#: What may follow the seconds: a fraction and a zone.
+_SUFFIX = r"^(.*?:\d\d)(\.\d+)?(Z|[+-]\d\d:?\d\d)?$"
 
 
 def _positions(layout: str) -> tuple[str, dict[str, int]]:
@@ -28,37 +30,45 @@ def _positions(layout: str) -> tuple[str, dict[str, int]]:
     return mask, starts
 
 
-def _read(value: Column, layout: str) -> Column:
+def _read(value: Column, layout: str, zone: Column) -> Column:
     """Timestamp, to the second, of a text that fits the mask of ``layout``; NULL if it is no valid one."""
     mask, starts = _positions(layout)
     if not set(_DATE_PARTS) <= set(starts) or set(starts) - {*_DATE_PARTS, *_TIME_PARTS, "SSSSSS"}:
         return F.date_trunc("second", F.try_to_timestamp(F.substring(value, 1, len(mask)), F.lit(layout)))
-    if layout.startswith("yyyy-MM-dd") and mask.endswith("__:__:__"):
-        return F.substring(value, 1, 19).try_cast("timestamp")
     date = [F.substring(value, starts[part], len(part)) for part in _DATE_PARTS]
     time = [F.substring(value, starts[part], 2) if part in starts else F.lit("00") for part in _TIME_PARTS]
-    return F.concat(F.concat_ws("-", *date), F.lit(" "), F.concat_ws(":", *time)).try_cast("timestamp")
+    return F.concat(F.concat_ws("-", *date), F.lit(" "), F.concat_ws(":", *time), zone).try_cast("timestamp")
 
 
 def parse_timestamp(
-    text: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS, prefix: bool = True
+    text: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS, prefix: bool = False
 ) -> Column:
-    """Timestamp, to the second, from the first layout that fits; NULL when none does.
+    """Timestamp, to the second, from the first layout that the whole text fits; NULL when none does.
 
-    With ``prefix`` a layout also fits a longer text that begins with it, so
-    ``2024-01-31T11:04:39.668033`` is read as ``11:04:39`` and a short layout hides a longer one
-    listed after it. With ``prefix=False`` the whole text must fit.
+    A layout that ends in seconds also takes a fraction of any length, which is cut off, and a zone
+    (``Z``, ``+02:00``, ``+0200``), which is heeded; without one the session's zone holds.
+
+    With ``prefix`` (the legacy reading) a layout fits any longer text that begins with it: fractions and
+    zones are ignored, and a short layout hides a longer one listed after it.
 
     Masks and casts rather than pattern parsing: a failed parse throws inside the task, once per
     layout and row of a mixed feed, and a cast to timestamp is several times faster than a
     successful one.
     """
     value = (F.col(text) if isinstance(text, str) else text).cast("string")
+    none = F.lit("")
+    if prefix:
+        tries = [F.when(value.like(_positions(x)[0] + "%"), _read(value, x, none)) for x in formats]
+        return F.coalesce(*tries)
+    plain = F.regexp_extract(value, _SUFFIX, 1)
+    zone = F.regexp_replace(F.regexp_extract(value, _SUFFIX, 3), r"^([+-]\d\d)(\d\d)$", "$1:$2")
     tries = []
     for layout in formats:
-        mask, _ = _positions(layout)
-        fits = value.like(mask + "%" if prefix else mask)
-        tries.append(F.when(fits, _read(value, layout)))
+        seconds = layout.removesuffix(".SSSSSS")
+        if seconds.endswith("ss"):
+            tries.append(F.when(plain.like(_positions(seconds)[0]), _read(plain, seconds, zone)))
+        else:
+            tries.append(F.when(value.like(_positions(layout)[0]), _read(value, layout, none)))
     return F.coalesce(*tries)
 
 

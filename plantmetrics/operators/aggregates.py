@@ -22,22 +22,21 @@ def pivot_table(
     index: str,
     columns: str,
     value: Column,
-    labels: Sequence | None = None,
+    labels: Sequence,
     fill: float | int | None = None,
-    limits: SizeLimits = SizeLimits(),
+    other: str | None = None,
 ) -> DataFrame:
     """One row per ``index``, one column per label of ``columns``, ``value`` aggregated in each cell.
 
-    Give ``labels`` to fix the schema. Otherwise they are read from the data, and more than
-    ``limits.pivot_columns`` of them is an error: such a table belongs in long form.
+    With ``other``, rows whose label is not listed (NULL included) go to a column of that name. Without it
+    they have no cell; give it wherever the labels may not be all there are.
     """
-    if labels is None:
-        most = limits.pivot_columns
-        found = df.select(columns).distinct().dropna().orderBy(columns).limit(most + 1).collect()
-        if len(found) > most:
-            raise ValueError(f"{columns} has more than {most} labels; keep the table long")
-        labels = [row[0] for row in found]
-    wide = df.groupBy(index).pivot(columns, list(labels)).agg(value)
+    shown, names = columns, list(labels)
+    if other is not None:
+        listed = F.coalesce(F.col(columns).isin(names), F.lit(False))
+        df = df.withColumn("_label", F.when(listed, F.col(columns).cast("string")).otherwise(F.lit(other)))
+        shown, names = "_label", [*map(str, names), other]
+    wide = df.groupBy(index).pivot(shown, names).agg(value)
     return wide if fill is None else wide.fillna(fill, subset=[c for c in wide.columns if c != index])
 
 

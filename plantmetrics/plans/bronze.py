@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantmetrics import schemas
@@ -23,7 +25,7 @@ class Source:
 
 
 # File and system names of the four plant feeds.
-SOURCES = (
+SOURCES: tuple[Source, ...] = (
     Source("sensors", "sensors_data.csv", "IOT", schemas.SENSORS, read_csv),
     Source("scada", "scada_logs.json", "SCADA", schemas.SCADA, read_json),
     Source("mes", "mes_orders.csv", "MES", schemas.MES, read_csv),
@@ -31,10 +33,27 @@ SOURCES = (
 )
 
 
+def sources(scada_lines: bool = False) -> tuple[Source, ...]:
+    """The feeds, with the state events as one JSON array per file or, splittable, as JSON Lines."""
+    lines = partial(read_json, lines=True)
+    return tuple(replace(s, read=lines) if scada_lines and s.table == "scada" else s for s in SOURCES)
+
+
 def ingest(spark: SparkSession, source: Source, raw_dir: str) -> DataFrame:
-    """Rows of one feed with lineage; the feed may be one file or a folder of part files."""
-    rows = source.read(spark, f"{raw_dir}/{source.file}", source.schema)
-    return add_lineage(rows, source.file, source.system)
+    """Rows of one feed with lineage; the feed may be one file or a folder of part files.
+
+    ``_row_id`` grows in feed order: by file path, place in the file, and row, whatever order Spark packs the
+    files in. A task holds whole pieces of files, one after the other, so its own row numbers tell the order
+    within a piece; the pieces are numbered in one small table, joined by path and offset.
+    """
+    rows = add_lineage(source.read(spark, f"{raw_dir}/{source.file}", source.schema), source.file, source.system)
+    named = rows.withColumns({"_path": F.col("_metadata.file_path"), "_offset": F.col("_metadata.file_block_start")})
+    pieces = named.groupBy("_path", "_offset").agg(F.count(F.lit(1)).alias("_rows"))
+    order = Window.orderBy("_path", "_offset")  # a row per piece of a file
+    pieces = pieces.select("_path", "_offset", F.row_number().over(order).alias("_piece"))
+    within = F.col("_row_id").bitwiseAND(F.lit((1 << 33) - 1))
+    joined = named.join(pieces, ["_path", "_offset"])
+    return joined.withColumn("_row_id", F.shiftleft(F.col("_piece").cast("long"), 33) + within).select(*rows.columns)
 
 
 def write_bronze(df: DataFrame, path: str, fmt: str = "parquet") -> None:

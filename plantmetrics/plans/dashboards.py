@@ -39,9 +39,15 @@ def hottest_day(kpis: DataFrame) -> DataFrame:
 def alarm_table(
     daily: DataFrame, columns: str = MACHINE, labels: Sequence | None = None, value: str = "nb_alarmes"
 ) -> DataFrame:
-    """Alarms per day (labelled row) and machine (column), 0 where there were none."""
+    """Alarms per day and machine: a row each, or with ``labels`` a row per day and a column per label.
+
+    The long form holds any number of machines. In the wide one 0 stands where there were none, and alarms of
+    labels that aren't listed are summed in ``autres``.
+    """
     dated = daily.dropna(subset=["date"]).withColumn("jour", date_label("date"))
-    return pivot_table(dated, "jour", columns, F.sum(value), labels, fill=0)
+    if labels is None:
+        return dated.groupBy("jour", columns).agg(F.sum(value).alias(value))
+    return pivot_table(dated, "jour", columns, F.sum(value), labels, fill=0, other="autres")
 
 
 def oee_heatmap(oee: DataFrame, weeks: Sequence[int] = tuple(range(1, 54)), kpi: KpiSettings = DEFAULT_KPI) -> DataFrame:

@@ -16,12 +16,13 @@ from plantmetrics.sources.tables import export_csv, read_table, write_table
 
 @dataclass(frozen=True)
 class Layout:
-    """Folders of the layers; ``raw_dir`` holds the four feeds."""
+    """Folders of the layers; ``raw_dir`` holds the four feeds. ``scada_lines``: state events come as JSON Lines."""
 
     raw_dir: str
     base_dir: str
     fmt: str = "parquet"
     export_gold_csv: bool = True
+    scada_lines: bool = False
 
     def table(self, layer: str, name: str) -> str:
         return f"{self.base_dir}/{layer}/{name}"
@@ -51,7 +52,8 @@ def _jobs(spark: SparkSession, layout: Layout, settings: Settings) -> Iterator[J
     def maintenance() -> DataFrame:
         return load("silver", "maintenance_silver")
 
-    for source in bronze.SOURCES:
+    feeds = bronze.sources(layout.scada_lines)
+    for source in feeds:
         yield "bronze", source.table, lambda source=source: bronze.ingest(spark, source, layout.raw_dir)
 
     yield "silver", "sensors_silver", lambda: silver.silver_sensors(load("bronze", "sensors"), settings)

@@ -5,7 +5,6 @@ from plantmetrics.sources.tables import (
     read_csv,
     read_json,
     read_table,
-    record_count,
     write_table,
 )
 
@@ -16,7 +15,6 @@ __all__ = [
     "read_csv",
     "read_json",
     "read_table",
-    "record_count",
     "scratch_path",
     "stage",
     "write_table",

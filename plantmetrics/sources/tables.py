@@ -9,26 +9,40 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, sampling_ratio: float = 1.0
 ) -> DataFrame:
-    """CSV with a header line. Without a schema the types are inferred, at the price of one more pass."""
+    """CSV with a header line. Without a schema the types are inferred, at the price of one more pass.
+
+    With a schema, columns are found by the names in the header, in any order; columns it doesn't name are
+    left out, and a column that the header lacks is an error. All files of a folder must have the same
+    header, else the read fails.
+    """
     reader = spark.read.option("header", True).option("escape", '"')
     if schema is None:
-        reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
-    else:
-        reader = reader.schema(schema).option("mode", "PERMISSIVE")
-    return reader.csv(path)
+        return reader.option("inferSchema", True).option("samplingRatio", sampling_ratio).csv(path)
+    kinds = {field.name: field for field in schema}
+    names = reader.csv(path).columns
+    if missing := [name for name in kinds if name not in names]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(names)}")
+    ordered = T.StructType([kinds.get(name, T.StructField(name, T.StringType())) for name in names])
+    return reader.schema(ordered).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path).select(*kinds)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None, lines: bool = False) -> DataFrame:
-    """JSON array files, or JSON Lines with ``lines=True``.
+    """JSON array files, or JSON Lines with ``lines=True``; the other form is an error, not a shorter table.
 
     One array file is one task, however large; feeds that grow should come as JSON Lines.
     """
+    begins = F.substring(F.ltrim("value"), 1, 1)
+    files = spark.read.text(path).where("trim(value) != ''").groupBy(F.col("_metadata.file_path").alias("file"))
+    arrays = files.agg(F.max(begins == "[").alias("array")).where(F.col("array") == F.lit(lines))
+    if (wrong := arrays.first()) is not None:
+        raise ValueError(f"{wrong['file']} is not {'JSON Lines' if lines else 'a JSON array'}")
     reader = spark.read.option("multiLine", not lines)
     if schema is not None:
         reader = reader.schema(schema)
@@ -57,7 +71,3 @@ def export_csv(df: DataFrame, path: str) -> None:
 def preview(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows in a stated order (a distributed top-n, not a full sort)."""
     return df.orderBy(*order_by).limit(n)
-
-
-def record_count(df: DataFrame) -> int:
-    return df.count()

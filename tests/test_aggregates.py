@@ -12,11 +12,9 @@ def test_pivot_fixed_and_discovered_labels(spark):
     df = spark.createDataFrame([("d1", "a", 1), ("d1", "a", 2), ("d2", "b", 5), ("d2", None, 7)], "d string, c string, n long")
     fixed = aggregates.pivot_table(df, "d", "c", F.sum("n"), ["a", "b", "z"], fill=0)
     assert sorted(map(tuple, fixed.collect())) == [("d1", 3, 0, 0), ("d2", 0, 5, 0)]
-    found = aggregates.pivot_table(df, "d", "c", F.sum("n"))
-    assert found.columns == ["d", "a", "b"]
-    assert sorted(map(tuple, found.collect())) == [("d1", 3, None), ("d2", None, 5)]
-    with pytest.raises(ValueError):
-        aggregates.pivot_table(df, "d", "c", F.sum("n"), limits=SizeLimits(pivot_columns=1))
+    rest = aggregates.pivot_table(df, "d", "c", F.sum("n"), ["a"], fill=0, other="autres")
+    assert rest.columns == ["d", "a", "autres"]
+    assert rest.agg(F.sum(F.col("a") + F.col("autres"))).first() == df.agg(F.sum("n")).first()
 
 
 def test_arg_max_takes_the_first_peak_and_skips_null(spark):

@@ -24,8 +24,12 @@ TEXTS = {
     "31/01/2024 23:55": (datetime(2024, 1, 31, 23, 55), datetime(2024, 1, 31, 23, 55)),
     # A prefix match stops at the minute, since the shorter layout is listed first.
     "31/01/2024 23:55:10": (datetime(2024, 1, 31, 23, 55), datetime(2024, 1, 31, 23, 55, 10)),
-    "2024-01-31T11:04:39.668": (datetime(2024, 1, 31, 11, 4, 39), None),
-    "2024-01-31T11:04:39Z": (datetime(2024, 1, 31, 11, 4, 39), None),
+    "2024-01-31T11:04:39.668": (datetime(2024, 1, 31, 11, 4, 39), datetime(2024, 1, 31, 11, 4, 39)),
+    "2024-01-31T11:04:39Z": (datetime(2024, 1, 31, 11, 4, 39), datetime(2024, 1, 31, 11, 4, 39)),
+    "2024-01-31T11:04:39+02:00": (datetime(2024, 1, 31, 11, 4, 39), datetime(2024, 1, 31, 9, 4, 39)),
+    "2024-01-31 11:04:39.5-0130": (datetime(2024, 1, 31, 11, 4, 39), datetime(2024, 1, 31, 12, 34, 39)),
+    "2024-01-31T11:04:39garbage": (datetime(2024, 1, 31, 11, 4, 39), None),
+    "31/01/2024 23:55Z": (datetime(2024, 1, 31, 23, 55), None),
     "2024-02-30T00:00:00": (None, None),
     "32/01/2024 23:55": (None, None),
     "2024-01-31T25:00:00": (None, None),

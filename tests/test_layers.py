@@ -196,8 +196,12 @@ def test_anomaly_points_from_text_measures(spark):
 
 def test_alarm_table_per_machine(spark):
     kpis = gold.gold_kpis_machines(*sensors_and_states(spark))
-    rows = sorted(map(tuple, dashboards.alarm_table(kpis).collect()))
-    assert rows == [("2024-01-01", 1, 0), ("2024-01-02", 0, 0)]
+    wide = dashboards.alarm_table(kpis, labels=["M1", "M2"])
+    assert sorted(map(tuple, wide.collect())) == [("2024-01-01", 1, 0, 0), ("2024-01-02", 0, 0, 0)]
+    unlisted = dashboards.alarm_table(kpis, labels=["M2"]).filter("jour = '2024-01-01'").first()
+    assert (unlisted.M2, unlisted.autres) == (0, 1)
+    long = {(r.jour, r.machine_id): r.nb_alarmes for r in dashboards.alarm_table(kpis).collect()}
+    assert long["2024-01-01", "M1"] == 1 and sum(long.values()) == 1
 
 
 def test_only_needed_columns_and_rows_are_scanned(spark, tmp_path):

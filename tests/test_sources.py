@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantmetrics import schemas
+from plantmetrics.operators.cleaning import keep_first
 from plantmetrics.plans import bronze
 from plantmetrics.sources import (
     clear_scratch,
@@ -13,7 +14,6 @@ from plantmetrics.sources import (
     read_csv,
     read_json,
     read_table,
-    record_count,
     scratch_path,
     stage,
     write_table,
@@ -39,11 +39,47 @@ def test_json_array_and_lines(spark, tmp_path):
     (tmp_path / "l.json").write_text("\n".join(json.dumps(e) for e in events), encoding="utf-8")
     array = read_json(spark, str(tmp_path / "a.json"), schemas.SCADA)
     lines = read_json(spark, str(tmp_path / "l.json"), schemas.SCADA, lines=True)
-    assert array.schema == schemas.SCADA and record_count(array) == 2
+    assert array.schema == schemas.SCADA and array.count() == 2
     assert array.exceptAll(lines).count() == 0
     assert "etat" in read_json(spark, str(tmp_path / "a.json")).columns
 
 
+def test_json_of_the_other_form_is_an_error(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"event_id": "E1"},\n {"event_id": "E2"}]')
+    (tmp_path / "l.json").write_text('{"event_id": "E1"}\n{"event_id": "E2"}\n')
+    for name, lines in (("a.json", True), ("l.json", False)):
+        with pytest.raises(ValueError, match=name):
+            read_json(spark, str(tmp_path / name), schemas.SCADA, lines=lines)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "f.csv").write_text(
+        "machine_id,extra,timestamp,vibration_mms,temperature_c,courant_a,pression_bar,statut_capteur\n"
+        "M1,x,2024-01-01T00:00:00,1.5,60,3,4,OK\n"
+    )
+    row = read_csv(spark, str(tmp_path / "f.csv"), schemas.SENSORS).first()
+    assert (row.machine_id, row.temperature_c, row.vibration_mms, row.courant_a) == ("M1", 60.0, 1.5, 3.0)
+    (tmp_path / "g.csv").write_text("machine_id,timestamp\nM1,x\n")
+    with pytest.raises(ValueError, match="vibration_mms"):
+        read_csv(spark, str(tmp_path / "g.csv"), schemas.SENSORS)
+
+
+def test_first_copy_of_part_files_stays(spark, tmp_path):
+    """The later file is larger, so Spark reads it first."""
+    folder = tmp_path / "sensors_data.csv"
+    folder.mkdir()
+    header = "timestamp,machine_id,temperature_c,vibration_mms,pression_bar,courant_a,statut_capteur\n"
+    (folder / "part-0.csv").write_text(header + "2024-01-01T00:00:00,M1,1.0,1,1,1,OK\n")
+    more = "".join(f"2024-01-01T00:{k // 60:02}:{k % 60:02},M2,5.0,1,1,1,OK\n" for k in range(3000))
+    (folder / "part-1.csv").write_text(header + "2024-01-01T00:00:00,M1,999.0,1,1,1,OK\n" + more)
+    path = str(tmp_path / "bronze")
+    write_table(bronze.ingest(spark, bronze.SOURCES[0], str(tmp_path)), path)
+    rows = read_table(spark, path)
+    kept = keep_first(rows, ["machine_id", "timestamp"], ["_row_id"]).filter("machine_id = 'M1'")
+    assert [r.temperature_c for r in kept.collect()] == [1.0]
+    assert rows.select("_row_id").distinct().count() == rows.count() == 3002
+
+
 def test_overwrite_replaces_rows_and_schema(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(spark.range(5), path)
