@@ -37,6 +37,8 @@ HTTP_HEAD = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}{
 
 INDEX_COLUMNS = "page_id long, record_type string, refers_to long, payload_digest string, payload_bytes long"
 PIECE = 1 << 20
+#: Compression of normalised members: little larger than at level 6, in under half of the time.
+LEVEL = 2
 
 
 def sha1_base32(payload: Column) -> Column:
@@ -177,7 +179,7 @@ def normalise_archives(spark: SparkSession, folder: str, target: str) -> DataFra
         ) as out, system.open_output_stream(f"{trial}.idx", compression=None) as index:
             stream = _Inflated(raw)
             for head, headers in _records(stream):
-                deflater, start = zlib.compressobj(6, zlib.DEFLATED, 31), offset
+                deflater, start = zlib.compressobj(LEVEL, zlib.DEFLATED, 31), offset
                 offset += out.write(deflater.compress(head))
                 for piece in stream.pieces(int(headers["content-length"])):
                     offset += out.write(deflater.compress(piece))
