@@ -329,10 +329,14 @@ def _verify(pairs: DataFrame, sets: DataFrame, settings: JoinSettings) -> DataFr
             linked.append(100 * shared >= percent * (len(x) + len(y) - shared))
         return a, b, linked
 
+    pairs = pairs.select("a", "b")
+    # a small table of names is sent to the sets; a large one meets them in a shuffle like the pairs themselves
+    names = stage(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "names")
+    sets = sets.join(names, "class", "left_semi")
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b"))
     return map_columns(
-        pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"),
+        pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"),
         work,
         "a binary, b binary, linked boolean",
     )
@@ -368,22 +372,21 @@ def _needed_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, settings
     marked = np.zeros(settings.bits, bool)
     marked[wanted.select(bit).distinct().toPandas()["bit"].to_numpy(np.int64)] = True  # settings.bits rows at most
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))
-    kind = StructType.fromDDL("wanted_id long, found binary, shingles binary")
+    kind = StructType.fromDDL("class binary, shingles binary")
     arrow = to_arrow_schema(kind)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value).view(bool)
         for batch in batches:
-            marked = np.flatnonzero(bits[batch.column(2).to_numpy()])
-            ids, texts = (batch.column(k).take(pa.array(marked)).to_pylist() for k in (0, 1))
+            marked = np.flatnonzero(bits[batch.column(1).to_numpy()])
+            texts = batch.column(0).take(pa.array(marked)).to_pylist()
             sets = [shingle_set(text, settings.words) for text in texts]
-            yield record_batch([ids, list(map(_digest, sets)), [one.tobytes() for one in sets]], arrow)
+            yield record_batch([list(map(_digest, sets)), [one.tobytes() for one in sets]], arrow)
 
     own_bit = F.pmod(F.xxhash64("doc_id"), F.lit(settings.bits))
-    found = docs.select("doc_id", "text", own_bit).mapInArrow(read, kind)
-    # rows that share a doc_id with the wanted one but have another set don't match its class
-    same = F.col("wanted_id").eqNullSafe(F.col("first_id")) & (F.col("found") == F.col("class"))
-    return stage(found.join(wanted, same).dropDuplicates(["class"]).select("class", "shingles"), "sets")
+    found = docs.select("text", own_bit).mapInArrow(read, kind)
+    # joined and made distinct by class alone, so the sets are shuffled once
+    return stage(found.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]), "sets")
 
 
 def jaccard_components(
@@ -426,7 +429,7 @@ def jaccard_components(
     nearest = stage(_nearest(pairs), "nearest")
     decided = stage(_verify(nearest, sets, settings), "decided")
     roots = stage(connected_components(decided.where("linked")), "roots")
-    open_pairs = _apart(pairs.join(nearest, ["a", "b"], "left_anti"), roots)
+    open_pairs = stage(_apart(pairs.join(nearest, ["a", "b"], "left_anti"), roots).select("a", "b"), "open-pairs")
     more = stage(_verify(open_pairs, sets, settings), "decided-later")
     decided = decided.union(more)
     roots = stage(connected_components(decided.where("linked")), "roots")
