@@ -7,7 +7,7 @@
 * Answers are derived from a similar set's answers: the first set of a list becomes a leader, sets that pass
   the filters with it are its members and are compared with it alone, not with one another. Two members
   whose links with the leader hold are connected through it. Only where such a link proves false (an orphan)
-  are the leader's other members looked up as the orphan's candidates.
+  is the orphan held against the leader's other members, by their parities and within a task.
 * Every candidate pair is decided on the whole sets.
 
 Lists longer than ``max_list`` are cut into a grid of smaller lists that together meet every pair. Shingles
@@ -88,6 +88,11 @@ def _parity(shingles: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(counts.astype(np.uint8) & 1).view(np.int64)
 
 
+def _parity_bits(size: int) -> int:
+    """A power of two, at least 512 and the set's size: unrelated sets then differ in near half of the bits."""
+    return max(512, 1 << (size - 1).bit_length()) if size else 512
+
+
 def _level(sizes):
     """How often a set of this size is halved for its sketch: to 64 to 128 shingles."""
     return np.maximum(np.frexp(np.asarray(sizes, np.float64))[1] - 7, 0)
@@ -116,7 +121,7 @@ def _scan(docs: DataFrame, settings: JoinSettings) -> DataFrame:
             if sets:
                 counts += np.bincount(_counter(np.concatenate(sets), settings.counters), minlength=settings.counters)
             none = [None] * len(ids)
-            parity = [_parity(one, 512) for one in sets]
+            parity = [_parity(one, _parity_bits(len(one))) for one in sets]
             yield record_batch([ids, list(map(len, sets)), list(map(_digest, sets)), parity, none, none], arrow)
         seen = np.flatnonzero(counts)
         none = [None] * len(seen)
@@ -277,24 +282,31 @@ def _candidates(entries: DataFrame, settings: JoinSettings) -> DataFrame:
                 yield batch(starts[k] + first, starts[k] + second, leads)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None  # rows of the list that goes on in the next batch; a cell's rows are bounded
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]) if rest is not None else table
-            token, cell = table.column(0).to_numpy(), table.column(1).to_numpy()
-            tail = np.flatnonzero((token != token[-1]) | (cell != cell[-1]))
-            cut = int(tail[-1]) + 1 if len(tail) else 0
-            if cut:
-                yield from lists(table.slice(0, cut))
-            rest = table.slice(cut)
-        if rest is not None:
-            yield from lists(rest)
+        for table in _whole_lists(batches):
+            yield from lists(table)
 
     return entries.select("token", "cell", "place", "parity", "sketch", "class").mapInArrow(run, kind)
 
 
+def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of ``batches``, which begin with (token, cell) and come sorted by them, with no list cut apart."""
+    rest = None  # rows of the list that goes on in the next batch; a cell's rows are bounded
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        token, cell = table.column(0).to_numpy(), table.column(1).to_numpy()
+        tail = np.flatnonzero((token != token[-1]) | (cell != cell[-1]))
+        cut = int(tail[-1]) + 1 if len(tail) else 0
+        if cut:
+            yield table.slice(0, cut)
+        rest = table.slice(cut)
+    if rest is not None:
+        yield rest
+
+
 def _split_lists(entries: DataFrame, heavy: DataFrame, settings: JoinSettings) -> DataFrame:
-    """``entries`` with a cell: 0, or for long lists one row per cell of a triangular grid of blocks."""
+    """``entries`` with a cell: 0, or for long lists one row per cell of a triangular grid of blocks. ``heavy``
+    holds the entries of all lists that may be long."""
     long_lists = stage(
         heavy.groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -302,18 +314,19 @@ def _split_lists(entries: DataFrame, heavy: DataFrame, settings: JoinSettings) -
         .select("token", F.ceil(F.col("n") * 2 / settings.max_list).alias("blocks")),
         "long-lists",
     )
+    kept = [name for name in entries.columns if name != "token"]
     block = F.pmod(F.xxhash64("class"), F.col("blocks"))
     other = F.expr("explode(sequence(0L, coalesce(blocks, 1L) - 1L))")
     return (
         entries.join(long_lists, "token", "left")
-        .select("token", "place", "parity", "sketch", "class", "blocks", F.coalesce(block, F.lit(0)).alias("block"), other.alias("other"))
+        .select("token", *kept, "blocks", F.coalesce(block, F.lit(0)).alias("block"), other.alias("other"))
         .withColumn(
             "cell",
             F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(
                 F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
             ),
         )
-        .select("token", F.col("cell").cast("long"), "place", "parity", "sketch", "class")
+        .select("token", F.col("cell").cast("long"), *kept)
     )
 
 
@@ -343,20 +356,29 @@ def _verify(pairs: DataFrame, sets: DataFrame, settings: JoinSettings) -> DataFr
 
 
 def _near(pairs: DataFrame, classes: DataFrame, settings: JoinSettings) -> DataFrame:
-    """Pairs whose 512 parities leave a link possible."""
+    """Pairs whose whole parities leave a link possible, with ``apart``, the bits they differ in."""
 
     def side(name):
         return classes.select(
             F.col("class").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("parity").alias(f"parity_{name}")
         )
 
-    differing = " + ".join(f"bit_count(parity_a[{k}] ^ parity_b[{k}])" for k in range(8))
+    def folded(name, other):  # a parity of twice the bits is brought to the other's; the halves' parities add up
+        half = f"cast(size({name}) / 2 AS int)"
+        halves = f"zip_with(slice({name}, 1, {half}), slice({name}, {half} + 1, {half}), (x, y) -> x ^ y)"
+        return f"CASE WHEN size({name}) > size({other}) THEN {halves} ELSE {name} END"
+
+    both = f"{folded('parity_a', 'parity_b')}, {folded('parity_b', 'parity_a')}"
+    # lengths further apart than twofold say nothing: their sum is null
+    apart = f"coalesce(aggregate(zip_with({both}, (x, y) -> bit_count(x ^ y)), 0, (total, x) -> total + x), 0)"
     most = f"floor((n_a + n_b) * {100 - settings.percent} / {100 + settings.percent})"
     return (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
-        .where(f"100 * least(n_a, n_b) >= {settings.percent} * greatest(n_a, n_b) AND {differing} <= {most}")
-        .select(*pairs.columns, F.expr(differing).cast("int").alias("apart"))
+        .where(f"100 * least(n_a, n_b) >= {settings.percent} * greatest(n_a, n_b)")
+        .withColumn("apart", F.expr(apart))
+        .where(f"apart <= {most}")
+        .select(*pairs.columns, "apart")
     )
 
 
@@ -468,13 +490,75 @@ def _orphan_candidates(
         sides = of.where("a_leads").select(F.col("a").alias("leader"), F.col("b").alias("member"))
         return sides.union(of.where("b_leads").select("b", "a"))
 
-    orphans = members(failed).select("leader", F.col("member").alias("a"))
-    met = members(leading).select("leader", F.col("member").alias("b")).join(orphans, "leader").where("a != b")
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    unknown = _apart(met.join(raw.select("a", "b"), ["a", "b"], "left_anti"), roots)
+    led = members(leading).join(members(failed).withColumn("orphan", F.lit(True)), ["leader", "member"], "left")
+    led = led.join(members(failed).select("leader").distinct(), "leader", "left_semi")
+    entries = (
+        led.withColumnRenamed("member", "class")
+        .join(classes, "class")
+        .join(roots.withColumnRenamed("node", "class"), "class", "left")
+        .select(
+            F.xxhash64("leader").alias("token"),
+            "n_shingles",
+            F.expr(
+                "transform(sequence(0, 7), k -> aggregate(sequence(k, size(parity) - 1, 8), 0L, (x, i) -> x ^ parity[i]))"
+            ).alias("parity"),
+            F.coalesce("root", "class").alias("root"),
+            F.coalesce("orphan", F.lit(False)).alias("orphan"),
+            "class",
+        )
+    )
+    entries = stage(entries, "led")
+    lists = _split_lists(entries, entries, settings).repartition("token", "cell").sortWithinPartitions("token", "cell")
+    met = _meet(lists, settings).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    unknown = met.join(raw.select("a", "b"), ["a", "b"], "left_anti")
     return stage(_near(unknown, classes, settings).select("a", "b"), "orphans")
 
 
+def _meet(entries: DataFrame, settings: JoinSettings) -> DataFrame:
+    """``(a, b)``: orphans with those of their leader's members, in other components, that sizes and 512
+    parities leave possible; other pairs never leave the task."""
+    kind = StructType.fromDDL("a binary, b binary")
+    arrow = to_arrow_schema(kind)
+
+    def lists(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        token, cell, size = (table.column(k).to_numpy() for k in range(3))
+        parity = table.column(3).combine_chunks().flatten().to_numpy().reshape(-1, 8)
+        root = table.column(4).combine_chunks().dictionary_encode().indices.to_numpy()
+        orphan, classes = table.column(5).to_numpy(), table.column(6).combine_chunks()
+        starts = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (cell[1:] != cell[:-1])]))
+        first, second, waiting = [], [], 0
+
+        def batch():
+            sides = (classes.take(pa.array(np.concatenate(rows))) for rows in (first, second))
+            return record_batch([*sides], arrow)
+
+        for start, stop in zip(starts, [*starts[1:], len(token)], strict=True):
+            order = start + np.argsort(size[start:stop])
+            sizes = size[order]
+            for row in order[orphan[order]]:
+                low = np.searchsorted(100 * sizes, settings.percent * size[row])
+                high = np.searchsorted(settings.percent * sizes, 100 * size[row], side="right")
+                rows = order[low:high]
+                rows = rows[root[rows] != root[row]]
+                differing = BYTE_ONES[(parity[rows] ^ parity[row]).view(np.uint8)].sum(axis=1)
+                rows = rows[differing <= _gap(size[row], size[rows], settings.percent)]
+                if len(rows):
+                    first.append(np.full(len(rows), row))
+                    second.append(rows)
+                    waiting += len(rows)
+                if waiting > 50_000:
+                    yield batch()
+                    first, second, waiting = [], [], 0
+        if waiting:
+            yield batch()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_lists(batches):
+            yield from lists(table)
+
+    return entries.select("token", "cell", "n_shingles", "parity", "root", "orphan", "class").mapInArrow(run, kind)
+
+
 def _label(rows: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
     """Documents with the least doc_id of their component; groups are reduced to classes before any join."""
     grouped = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
