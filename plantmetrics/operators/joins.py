@@ -11,6 +11,8 @@ from plantmetrics.config import SizeLimits
 
 _SLOT = "_slot"
 _SPREAD = 1 << 20
+#: Slots that are counted together before single ones.
+_STRETCH = 64
 
 
 class _Sides:
@@ -48,23 +50,22 @@ class _Sides:
         nearby = F.array(F.col("_own") - 1, F.col("_own"), F.col("_own") + 1)
         self.right_slotted = self.right_in_own.withColumn(f"_right{_SLOT}", F.explode(nearby)).drop("_own")
 
-    def band_size(self, limits: SizeLimits) -> int | None:
-        """Rows per band that the fullest slots call for; None if no slot exceeds ``max_slot_rows``.
+    def hot_slots(self, limits: SizeLimits) -> int:
+        """At most how many slots hold more than ``max_slot_rows`` rows of a side; 0 if none does.
 
         Right rows are counted where they are, not where they are copied to: three neighbours hold at
-        most three times the fullest. Bands grow until the slots to be cut fit a broadcast. The slots
-        left whole by that are smaller than a band and too many to leave tasks idle.
+        most three times the fullest. Stretches of many slots are counted first, which combines well before
+        the shuffle; where none of them is over the limit, no slot can be.
         """
         left = self.left_slotted.select(*self.by, _SLOT, F.lit(1).alias("_copies"))
         right = self.right_in_own.select(*self.right_by, "_own", F.lit(3).alias("_copies"))
-        per_slot = left.union(right).groupBy(*self.by, _SLOT, "_copies").agg(F.sum("_copies").alias("n"))
-        sizes = [limits.max_slot_rows * 4**power for power in range(16)]
-        counts = per_slot.agg(
-            *[F.coalesce(F.sum(F.when(F.col("n") > size, F.col("_copies"))), F.lit(0)) for size in sizes]
-        ).first()
-        if counts[0] == 0:
-            return None
-        return next(size for size, slots in zip(sizes, counts) if slots <= limits.broadcast_rows)
+        both = left.union(right)
+        stretch = F.floor(F.col(_SLOT) / F.lit(_STRETCH)).alias("_stretch")
+        per_stretch = both.groupBy(*self.by, stretch, "_copies").agg(F.sum("_copies").alias("n"))
+        if (per_stretch.agg(F.max("n")).first()[0] or 0) <= limits.max_slot_rows:
+            return 0
+        per_slot = both.groupBy(*self.by, _SLOT, "_copies").agg(F.sum("_copies").alias("n"))
+        return per_slot.where(F.col("n") > limits.max_slot_rows).agg(F.sum("_copies")).first()[0] or 0
 
     def same_key(self) -> Column:
         condition = F.lit(True)
@@ -113,22 +114,24 @@ def range_join(
     right_seconds = F.unix_timestamp(right_ts)
     if strategy == "naive":
         return sides.output(sides.left.join(sides.right, sides.same_key() & sides.close(right_seconds), how))
-    size = None if strategy == "slotted" else sides.band_size(limits)
+    hot = 0 if strategy == "slotted" else sides.hot_slots(limits)
     if strategy == "auto":
-        strategy = "slotted" if size is None else "salted"
+        strategy = "salted" if hot else "slotted"
     if strategy == "slotted":
         near = sides.same_slot() & sides.close(right_seconds)
         return sides.output(sides.left_slotted.join(sides.right_slotted, near, how))
-    return _salted_join(sides, left_id, right_id, how, size or limits.max_slot_rows)
+    return _salted_join(sides, left_id, right_id, how, limits.max_slot_rows, hot <= limits.broadcast_rows)
 
 
-def _salted_join(sides: _Sides, left_id: str, right_id: str, how: str, size: int) -> DataFrame:
+def _salted_join(sides: _Sides, left_id: str, right_id: str, how: str, size: int, few: bool) -> DataFrame:
     """Cut the slots with more than ``size`` rows of a side into bands of about that many.
 
     A left row is in one band and copied across the right bands, a right row the other way round, so
     each pair meets in exactly one cell. Copies would repeat unmatched left rows, hence the cells are
     inner joins and unmatched rows come from an anti join against the distinct seconds of the right
-    side, of which a slot has at most three tolerances' worth.
+    side, of which a slot has at most three tolerances' worth. The table of bands is broadcast if the
+    slots to be cut are ``few``; otherwise it meets the rows in a shuffle, where adaptive execution splits
+    the partitions of hot slots.
     """
     slot_keys = [*sides.by, _SLOT]
     right_keys = [*sides.right_by, f"_right{_SLOT}"]
@@ -143,7 +146,8 @@ def _salted_join(sides: _Sides, left_id: str, right_id: str, how: str, size: int
         .join(bands(sides.right_slotted, right_keys, "_right_bands"), hot_keys, "full")
         .fillna({"_left_bands": 1, "_right_bands": 1})
     )
-    hot = F.broadcast(hot)  # band_size() made sure that it is small
+    if few:
+        hot = F.broadcast(hot)
 
     def with_bands(df: DataFrame, keys: list[str]) -> DataFrame:
         same = [F.col(key) == F.col(h) for key, h in zip(keys, hot_keys)]

@@ -63,16 +63,22 @@ def test_left_rows_are_preserved(spark):
     assert joined.select("id").distinct().count() == left.count()
 
 
-def test_bands_grow_until_the_cut_slots_are_few(spark, same_rows):
+def test_every_hot_slot_is_cut_however_many(spark, same_rows):
     left, right = skewed(spark)
     sides = _Sides(left, right, ["m"], "ts", "event_ts", 300, "id")
-    assert sides.band_size(TINY) == 8
-    assert sides.band_size(SizeLimits(max_slot_rows=2, broadcast_rows=4)) > 2
-    assert sides.band_size(SizeLimits()) is None
+    assert sides.hot_slots(SizeLimits()) == 0
+    assert 0 < sides.hot_slots(TINY) < sides.hot_slots(SizeLimits(max_slot_rows=2))
     few = SizeLimits(max_slot_rows=2, broadcast_rows=4)
+    assert sides.hot_slots(few) > few.broadcast_rows
     same_rows(join(left, right, "naive"), join(left, right, "salted", limits=few))
 
 
+def test_a_hot_slot_is_found_at_the_limit(spark):
+    left, right = frames(spark, [(k, "a", 900) for k in range(5)], [(1, "a", 90000)])
+    sides = _Sides(left, right, ["m"], "ts", "event_ts", 300, "id")
+    assert [sides.hot_slots(SizeLimits(max_slot_rows=n)) for n in (4, 5)] == [1, 0]
+
+
 def test_no_pairwise_plan(spark):
     left, right = skewed(spark)
     for strategy in ("slotted", "salted"):
