@@ -58,6 +58,23 @@ def test_equals_brute_force(documents, settings):
     assert sorted(map(tuple, got), key=str) == brute(rows, settings.words, settings.percent)
 
 
+def test_long_sets_of_sizes_about_a_power_of_two(documents):
+    """Parities of 512, 1,024 and 2,048 bits meet; some pairs link and some just don't."""
+    rng, rows = random.Random(5), []
+    for length in (512, 1020, 1030):
+        base = [f"w{rng.randint(0, 5000)}" for _ in range(length)]
+        for changed in (0, 0, 3, 9, 16, 17, 18, 19, 40):
+            copy = base + [f"e{rng.randint(0, 9)}" for _ in range(changed)]
+            for place in rng.sample(range(length), changed):
+                copy[place] = f"x{rng.randint(0, 10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    settings = JoinSettings(words=3, percent=90)
+    got = jaccard_components(documents(rows), settings).collect()
+    expected = brute(rows, 3, 90)
+    assert sorted(map(tuple, got), key=str) == expected
+    assert 3 < len({component for _, _, component in expected}) < len(rows)
+
+
 def test_empty_table(documents):
     assert jaccard_components(documents([])).count() == 0
 
