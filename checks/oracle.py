@@ -304,6 +304,30 @@ _STAGES = [
     ("gold", "gold_oee", "oee"),
     ("gold", "gold_maintenance_cost", "costs"),
     ("gold", "gold_production_summary", "(SELECT DISTINCT month(date_debut_clean), produit_id FROM mes)"),
+    ("dashboards", "sensor_series", "kpis"),
+    ("dashboards", "hottest_day", "(SELECT DISTINCT machine_id FROM kpis)"),
+    ("dashboards", "alarm_table", "(SELECT DISTINCT date, machine_id FROM kpis WHERE date IS NOT NULL)"),
+    ("dashboards", "oee_heatmap", "(SELECT DISTINCT machine_id FROM oee)"),
+    ("dashboards", "oee_components", "(SELECT DISTINCT machine_id FROM oee)"),
+    ("dashboards", "oee_targets", "oee"),
+    (
+        "dashboards",
+        "anomaly_points",
+        "(SELECT 1 FROM sensors WHERE temperature_c IS NOT NULL AND vibration_mms IS NOT NULL LIMIT 5000)",
+    ),
+    (
+        "dashboards",
+        "temperature_quartiles",
+        "(SELECT DISTINCT machine_id FROM sensors WHERE temperature_c BETWEEN -1e1 AND 13e1)",
+    ),
+    (
+        "dashboards",
+        "temperature_histogram",
+        "(SELECT DISTINCT machine_id, floor(temperature_c / 5e0) FROM sensors WHERE temperature_c BETWEEN -1e1 AND 13e1)",
+    ),
+    ("dashboards", "cost_split", "(SELECT 1)"),
+    ("dashboards", "mtbf_ranking", "(SELECT 1 FROM costs WHERE mtbf_heures IS NOT NULL)"),
+    ("dashboards", "quality_report", "(SELECT 1)"),
     ("summary", "run_summary", "(SELECT 1)"),
 ]
 
@@ -420,6 +444,13 @@ _SQL: dict[str, str] = {
             _bronze("MAINTENANCE", "maintenance_logs.csv", "raw_maintenance", _MAINTENANCE),
         ]
     ),
+    "bronze_sensors": f"SELECT {_RAW_SENSORS} FROM raw_sensors",
+    "bronze_scada": f"SELECT {_RAW_SCADA} FROM raw_scada",
+    "bronze_mes": f"SELECT {_RAW_MES} FROM raw_mes",
+    "bronze_maintenance": f"SELECT {_MAINTENANCE} FROM raw_maintenance",
+    "silver_sensors_from_part_files": f"SELECT {_SENSOR_COLUMNS.replace('_row_id, ', '')} FROM sensors",
+    "medallion_gold_oee": "SELECT * FROM oee",
+    "medallion_gold_kpis": "SELECT * FROM kpis",
     "silver_sensors": f"SELECT {_SENSOR_COLUMNS} FROM sensors",
     "silver_sensors_chunked": f"SELECT {_SENSOR_COLUMNS} FROM sensors",
     "silver_scada": f"SELECT {_RAW_SCADA}, _row_id, timestamp_clean, next_timestamp, duree_etat_minutes FROM scada",

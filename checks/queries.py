@@ -328,12 +328,10 @@ def dedup_three_keys(spark, sf):
 
 @query
 def category_counts(spark, sf):
-    counts = [
-        aggregates.category_counts(_sensors(spark, sf), "qualite_donnee").toDF("label", "n"),
-        aggregates.category_counts(_scada(spark, sf), "etat").toDF("label", "n"),
-        aggregates.category_counts(_mes(spark, sf), "ordre_statut").toDF("label", "n"),
-    ]
-    return counts[0].union(counts[1]).union(counts[2])
+    """The three feeds have no label in common."""
+    labels = _sensors(spark, sf).select(F.col("qualite_donnee").alias("label"))
+    labels = labels.union(_scada(spark, sf).select("etat")).union(_mes(spark, sf).select("ordre_statut"))
+    return aggregates.category_counts(labels, "label", "n")
 
 
 @query
@@ -541,6 +539,47 @@ def bronze_ingest(spark, sf):
     return stored[0].union(stored[1]).union(stored[2]).union(stored[3])
 
 
+def _bronze_values(spark, sf, table):
+    """One feed through raw file and bronze table, every column of it."""
+    (source,) = (s for s in bronze.SOURCES if s.table == table)
+    path = scratch.scratch_path(spark, f"bronze_{table}")
+    bronze.write_bronze(bronze.ingest(spark, source, write_feeds(spark, sf)), path)
+    return io.read_table(spark, path).select(*source.schema.names)
+
+
+@query
+def bronze_sensors(spark, sf):
+    return _bronze_values(spark, sf, "sensors")
+
+
+@query
+def bronze_scada(spark, sf):
+    return _bronze_values(spark, sf, "scada")
+
+
+@query
+def bronze_mes(spark, sf):
+    return _bronze_values(spark, sf, "mes")
+
+
+@query
+def bronze_maintenance(spark, sf):
+    return _bronze_values(spark, sf, "maintenance")
+
+
+@query
+def silver_sensors_from_part_files(spark, sf):
+    """Part files of unequal size; copies come in the last one, after the readings they repeat."""
+    folder, path = (scratch.scratch_path(spark, f"part_files_{name}") for name in ("raw", "bronze"))
+    row = F.col("_row_id")
+    piece = F.when(row % 2 == 1, F.lit(64)).otherwise(F.floor(F.log2(row + 1)))
+    parts = tables.sensors(spark, sf).withColumn("_piece", piece).repartitionByRange(8, "_piece")
+    io.export_csv(parts.sortWithinPartitions("_piece", "_row_id").drop("_piece", "_row_id"), f"{folder}/sensors_data.csv")
+    (source,) = (s for s in bronze.SOURCES if s.table == "sensors")
+    bronze.write_bronze(bronze.ingest(spark, source, folder), path)
+    return silver.silver_sensors(io.read_table(spark, path), SETTINGS).drop(*tables.LINEAGE)
+
+
 @query
 def silver_sensors(spark, sf):
     return _sensors(spark, sf)
@@ -604,6 +643,22 @@ def write_feeds(spark, sf):
 
 @query
 def medallion_run(spark, sf):
-    layout = run.Layout(write_feeds(spark, sf), scratch.scratch_path(spark, "layers"))
-    report = run.run_layers(spark, layout, SETTINGS)
+    _, report = _all_layers(spark, sf)
     return report.select("stage", "table", "rows", "status")
+
+
+def _all_layers(spark, sf):
+    layout = run.Layout(write_feeds(spark, sf), scratch.scratch_path(spark, "layers"))
+    return layout, run.run_layers(spark, layout, SETTINGS)
+
+
+@query
+def medallion_gold_oee(spark, sf):
+    layout, _ = _all_layers(spark, sf)
+    return io.read_table(spark, layout.table("gold", "gold_oee"))
+
+
+@query
+def medallion_gold_kpis(spark, sf):
+    layout, _ = _all_layers(spark, sf)
+    return io.read_table(spark, layout.table("gold", "gold_kpis_machines"))

@@ -58,10 +58,11 @@ def count_if(condition: Column) -> Column:
 
 
 def stable_sum(value: ColumnLike, scale: int | None) -> Column:
-    """Sum of doubles; with a ``scale``, summed as decimals so the row order cannot change the result."""
+    """Sum of doubles; with a ``scale``, each is rounded to it and summed as a decimal, so the row order
+    cannot change the result."""
     if scale is None:
         return F.sum(_col(value))
-    return F.sum(_col(value).cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(_col(value).cast(f"decimal(28,{scale})")).cast("double")
 
 
 def stable_avg(value: ColumnLike, scale: int | None) -> Column:

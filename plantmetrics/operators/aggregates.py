@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from plantmetrics.config import SizeLimits
 from plantmetrics.functions.numeric import stable_avg
 from plantmetrics.operators.ordered import order_rows, running_total
+from plantmetrics.operators.sizing import group_sizes
 
 
 def category_counts(df: DataFrame, category: str, name: str = "count") -> DataFrame:
@@ -73,10 +74,12 @@ def quantiles(
     Equal values are counted before any shuffle, so ranks are found on distinct values with a running
     count; no group is collected and a hot one is walked in chunks.
     """
-    counted = (
-        df.select(by, value).dropna(subset=[value]).groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ranked = running_total(order_rows(counted, [by], [value], strategy, limits), "_n", "_end", "_rows")
+    known = df.select(by, value).dropna(subset=[value])
+    counted = known.groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
+    # rows per group bound its distinct values and are counted before the shuffle
+    sizes = None if strategy == "window" else group_sizes(known, [by])
+    ordered = order_rows(counted, [by], [value], strategy, limits, sizes)
+    ranked = running_total(ordered, "_n", "_end", "_rows")
     start = F.col("_end") - F.col("_n")
 
     def at_rank(rank: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plantmetrics import schemas
 from plantmetrics.config import DEFAULTS, Settings
 from plantmetrics.plans import bronze, dashboards, gold, silver
+from plantmetrics.sources import scratch
 from plantmetrics.sources.tables import export_csv, read_table, write_table
 
 
@@ -68,6 +69,9 @@ def _jobs(spark: SparkSession, layout: Layout, settings: Settings) -> Iterator[J
     yield "gold", "gold_maintenance_cost", lambda: gold.gold_maintenance_cost(maintenance(), kpi)
     yield "gold", "gold_production_summary", lambda: gold.gold_production_summary(mes(), kpi)
 
+    for name, build in _dashboards(load, settings).items():
+        yield "dashboards", name, build
+
     yield "summary", "run_summary", lambda: dashboards.run_summary(
         *[load("bronze", source.table) for source in bronze.SOURCES],
         load("gold", "gold_oee"),
@@ -76,12 +80,49 @@ def _jobs(spark: SparkSession, layout: Layout, settings: Settings) -> Iterator[J
     )
 
 
+def _dashboards(load: Callable[[str, str], DataFrame], settings: Settings) -> dict[str, Callable[[], DataFrame]]:
+    """The tables behind the charts, from silver and gold."""
+    kpi, plotted = settings.kpi, ("temperature_c", "vibration_mms")
+    rules = [rule for rule in settings.range_rules if rule.column in plotted]
+
+    def sensors() -> DataFrame:
+        return load("silver", "sensors_silver")
+
+    def days() -> DataFrame:
+        return load("gold", "gold_kpis_machines")
+
+    def weeks() -> DataFrame:
+        return load("gold", "gold_oee")
+
+    def costs() -> DataFrame:
+        return load("gold", "gold_maintenance_cost")
+
+    measures = ["temp_moyenne", "vibration_moyenne", "taux_disponibilite_pct"]
+    return {
+        "sensor_series": lambda: dashboards.series(days(), "date", measures),
+        "hottest_day": lambda: dashboards.hottest_day(days()),
+        "alarm_table": lambda: dashboards.alarm_table(days()),
+        "oee_heatmap": lambda: dashboards.oee_heatmap(weeks(), kpi=kpi),
+        "oee_components": lambda: dashboards.oee_components(weeks(), kpi),
+        "oee_targets": lambda: dashboards.oee_targets(weeks(), kpi),
+        "anomaly_points": lambda: dashboards.anomaly_points(sensors(), silver.ROW_ID, rules, kpi),
+        "temperature_quartiles": lambda: dashboards.temperature_quartiles(sensors(), kpi, limits=settings.limits),
+        "temperature_histogram": lambda: dashboards.temperature_histogram(sensors(), kpi=kpi),
+        "cost_split": lambda: dashboards.cost_split(costs(), kpi),
+        "mtbf_ranking": lambda: dashboards.mtbf_ranking(costs(), kpi),
+        "quality_report": lambda: dashboards.quality_report(load("bronze", "sensors"), sensors()),
+    }
+
+
 def run_layers(spark: SparkSession, layout: Layout, settings: Settings = DEFAULTS) -> DataFrame:
-    """Build every table and report rows, seconds and status of each; the first failure ends the run."""
+    """Build every table and report rows, seconds and status of each; the first failure ends the run.
+
+    What a table's plan staged on the way is deleted once the table is written.
+    """
     report = []
     for stage, table, build in _jobs(spark, layout, settings):
         start = time.monotonic()
-        path = layout.table(stage, table)
+        path, before = layout.table(stage, table), scratch.written(spark)
         try:
             frame = build()
             if stage == "bronze":
@@ -95,4 +136,6 @@ def run_layers(spark: SparkSession, layout: Layout, settings: Settings = DEFAULT
         except Exception as error:
             report.append((stage, table, None, time.monotonic() - start, f"FAILED: {error}"))
             break
+        finally:
+            scratch.clear_scratch(spark, keep=before)
     return spark.createDataFrame(report, schemas.STAGE_REPORT)

@@ -47,11 +47,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Delete the scratch tables this application wrote; call once their readers are done."""
+def written(spark: SparkSession) -> int:
+    """How many scratch tables this application has and hasn't cleared."""
+    return len(_written.get(spark.sparkContext.applicationId, []))
+
+
+def clear_scratch(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the scratch tables this application wrote, but for the first ``keep``; call once their readers
+    are done."""
     jvm = spark.sparkContext._jvm
     hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
-    paths = _written.pop(spark.sparkContext.applicationId, [])
+    mine = _written.get(spark.sparkContext.applicationId, [])
+    paths = mine[keep:]
+    del mine[keep:]
     for path in paths:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(hadoop_conf).delete(target, True)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plantmetrics import schemas
 from plantmetrics.config import DEFAULTS, SizeLimits
+from plantmetrics.functions.numeric import stable_sum
 from plantmetrics.plans import dashboards, gold, silver
 
 SENSOR_COLUMNS = "timestamp string, machine_id string, temperature_c double, vibration_mms double, pression_bar double, courant_a double, _row_id long"
@@ -213,3 +214,29 @@ def test_only_needed_columns_and_rows_are_scanned(spark, tmp_path):
     plotted = dashboards.temperature_histogram(sensors)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(temperature_c,-10.0)" in plotted
     assert "ReadSchema: struct<machine_id:string,temperature_c:double>" in plotted
+
+
+def test_charts_are_in_plotting_order(spark):
+    rows = [(3, "M2", 90.0), (1, "M2", 80.0), (2, "M1", None), (1, "M1", 85.0), (2, "M2", 84.9)]
+    weeks = spark.createDataFrame(rows, "semaine int, machine_id string, oee_pct double").repartition(3)
+    found = [tuple(r) for r in dashboards.oee_targets(weeks).collect()]
+    assert found == [
+        ("M1", 1, 85.0, "OK"),
+        ("M1", 2, None, None),
+        ("M2", 1, 80.0, "KO"),
+        ("M2", 2, 84.9, "KO"),
+        ("M2", 3, 90.0, "OK"),
+    ]
+
+
+def test_least_reliable_machine_comes_first(spark):
+    rows = [("M1", 240.0), ("M2", 80.0), ("M3", None), ("M4", 200.0), ("M0", 80.0)]
+    costs = spark.createDataFrame(rows, "machine_id string, mtbf_heures double").repartition(3)
+    found = [tuple(r) for r in dashboards.mtbf_ranking(costs).collect()]
+    assert found == [("M0", 80.0, "KO"), ("M2", 80.0, "KO"), ("M4", 200.0, "OK"), ("M1", 240.0, "OK")]
+
+
+def test_large_costs_have_a_total(spark):
+    rows = [("M1", 5e12), ("M2", 0.25)]
+    total = spark.createDataFrame(rows, "machine_id string, cout double").agg(stable_sum("cout", 6)).first()[0]
+    assert total == 5e12 + 0.25

@@ -6,9 +6,9 @@ import pytest
 
 from checks import tables
 from plantmetrics.__main__ import main
-from plantmetrics.config import DEFAULTS, KpiSettings
+from plantmetrics.config import DEFAULTS, KpiSettings, SizeLimits
 from plantmetrics.plans.run import Layout, run_layers
-from plantmetrics.sources import export_csv, read_table
+from plantmetrics.sources import export_csv, read_table, scratch, stage
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -29,7 +29,7 @@ def test_all_layers(spark, raw_dir, tmp_path):
     settings = replace(DEFAULTS, kpi=KpiSettings(sum_scale=6))
     layout = Layout(raw_dir, str(tmp_path))
     report = {r.table: r for r in run_layers(spark, layout, settings).collect()}
-    assert len(report) == 14 and {r.status for r in report.values()} == {"OK"}
+    assert len(report) == 26 and {r.status for r in report.values()} == {"OK"}
     assert report["sensors"].rows == tables.sensors(spark, SF).count()
     assert report["sensors_silver"].rows < report["sensors"].rows
     assert report["sensors_enriched"].rows >= report["sensors_silver"].rows
@@ -39,6 +39,15 @@ def test_all_layers(spark, raw_dir, tmp_path):
         assert file.readline().startswith("semaine,machine_id,nb_mesures_semaine,")
 
 
+def test_staged_tables_go_with_their_job(spark, raw_dir, tmp_path):
+    mine = stage(spark.range(3).toDF("n"), "mine")
+    before = scratch.written(spark)
+    limits = SizeLimits(max_group_rows=5, chunk_rows=50)
+    report = run_layers(spark, Layout(raw_dir, str(tmp_path)), replace(DEFAULTS, limits=limits)).collect()
+    assert {r.status for r in report} == {"OK"}
+    assert scratch.written(spark) == before and mine.count() == 3
+
+
 def test_first_failure_ends_the_run(spark, tmp_path):
     report = run_layers(spark, Layout(str(tmp_path / "nothing"), str(tmp_path))).collect()
     assert len(report) == 1 and report[0].status.startswith("FAILED") and report[0].rows is None
@@ -47,6 +56,6 @@ def test_first_failure_ends_the_run(spark, tmp_path):
 def test_command_line(spark, raw_dir, tmp_path, capsys):
     assert main([raw_dir, str(tmp_path / "out"), "--no-csv"]) == 0
     printed = capsys.readouterr().out.splitlines()
-    assert len(printed) == 14 and all(line.endswith("OK") for line in printed)
+    assert len(printed) == 26 and all(line.endswith("OK") for line in printed)
     assert not os.path.exists(tmp_path / "out" / "gold" / "csv")
     assert main([str(tmp_path / "nothing"), str(tmp_path / "out2")]) == 1
