@@ -2,8 +2,9 @@
 
 Both sides are read as templates: numbers, units and names become typed placeholders (slots). Windows of the
 templates are hashed and joined. A document holds an item if windows of at least half of the item are found in
-it, and the slots are consistent there: each value of the item stands for one value of the document and the
-other way round. So a verbatim copy is found, and a question with its parameters exchanged as well.
+one occurrence, and the slots are consistent there: each value of the item stands for one value of the occurrence
+and the other way round. So a verbatim copy is found, and a question with its parameters exchanged as well, also
+side by side.
 
 A table of bits made from the benchmark's windows, of fixed size, lets tasks pass over windows that no item
 has; what remains is decided by the join.
@@ -12,6 +13,8 @@ has; what remains is decided by the join.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from plantmetrics.llm.arrow import record_batch
+from plantmetrics.llm.arrow import map_columns, record_batch
 from plantmetrics.sources import stage
 
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%$€£°]|[.!?\n]+")
@@ -48,6 +51,8 @@ class LeakSettings:
     min_literal_percent: int = 60
     #: Windows of an item that a document must hold, in percent.
     min_percent: int = 50
+    #: Tokens that an occurrence may have more or fewer than the item, up to any place in it.
+    max_shift: int = 32
     #: Bits in the table that spares documents' windows the join.
     bits: int = 1 << 22
 
@@ -130,6 +135,44 @@ def benchmark_windows(benchmark: DataFrame, settings: LeakSettings) -> DataFrame
     return found.join(counts, "item_id")
 
 
+def held_percent(hits: list[tuple[int, int, list, list]], n_windows: int, settings: LeakSettings) -> float:
+    """Percent of an item's windows that its best occurrence in a document holds with consistent slots.
+
+    ``hits`` are (item_at, doc_at, item's slots, document's slots). An occurrence is what lies at one alignment
+    doc_at - item_at, that with what lies up to ``max_shift`` beside it, each place used once, or the whole document.
+    """
+    by = defaultdict(list)
+    for hit in hits:
+        by[hit[1] - hit[0]].append(hit)
+    order, best = sorted(by), _consistent(hits)
+    for at in sorted(by, key=lambda one: (-len(by[one]), one)):
+        if best >= n_windows:
+            break
+        beside = order[bisect_left(order, at - settings.max_shift) : bisect_right(order, at + settings.max_shift)]
+        if len({hit[0] for one in beside for hit in by[one]}) <= best:
+            continue
+        near, ours, theirs = [], set(), set()
+        for one in sorted(beside, key=lambda one: abs(one - at)):
+            for hit in by[one]:
+                if hit[0] not in ours and hit[1] not in theirs:
+                    near.append(hit)
+                    ours.add(hit[0])
+                    theirs.add(hit[1])
+        best = max(best, _consistent(by[at]), _consistent(near))
+    return 100 * best / n_windows
+
+
+def _consistent(hits) -> int:
+    """The number of item windows without a value that stands for several others among these hits."""
+    partners = defaultdict(set), defaultdict(set)
+    for _, _, ours, theirs in hits:
+        for one, other in zip(ours, theirs, strict=True):
+            partners[0][one].add(other)
+            partners[1][other].add(one)
+    torn = [{one for one, others in table.items() if len(others) > 1} for table in partners]
+    return len({hit[0] for hit in hits if torn[0].isdisjoint(hit[2]) and torn[1].isdisjoint(hit[3])})
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = LeakSettings()) -> DataFrame:
     """``(name, item_id, percent)``: documents (named by a hash of doc_id and text) that hold an item."""
     spark = docs.sparkSession
@@ -158,32 +201,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = L
             yield record_batch(columns, arrow)
 
     found = docs.select(F.xxhash64("doc_id", "text").alias("name"), "text").mapInArrow(read, kind)
-    hits = found.join(items, "window").select("name", "item_id", "item_at", "item_slots", "doc_slots", "n_windows")
-    # rows of copies, and of passages a document has twice, count once
-    hits = stage(hits.distinct(), "window-hits")
-    pairs = hits.select(
-        "name", "item_id", F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("slot")
-    ).select("name", "item_id", F.col("slot.item_slots").alias("ours"), F.col("slot.doc_slots").alias("theirs"))
-    # a value that stands for several others, on either side, is inconsistent
-    torn = [
-        pairs.groupBy("name", "item_id", one).agg(F.countDistinct(other).alias("n")).where("n > 1").drop("n")
-        for one, other in (("ours", "theirs"), ("theirs", "ours"))
-    ]
-    bad = {}
-    for one, table in zip(("ours", "theirs"), torn, strict=True):
-        bad[one] = table.groupBy("name", "item_id").agg(F.collect_set(one).alias(f"bad_{one}"))
-    none = F.array().cast("array<string>")
-    checked = hits.join(bad["ours"], ["name", "item_id"], "left").join(bad["theirs"], ["name", "item_id"], "left")
-    consistent = ~F.arrays_overlap("item_slots", F.coalesce("bad_ours", none)) & ~F.arrays_overlap(
-        "doc_slots", F.coalesce("bad_theirs", none)
-    )
-    share = F.countDistinct("item_at") * 100 / F.first("n_windows")
-    return (
-        checked.where(consistent)
-        .groupBy("name", "item_id")
-        .agg(share.alias("percent"))
-        .where(F.col("percent") >= settings.min_percent)
-    )
+    hit = F.struct("item_at", "doc_at", "item_slots", "doc_slots")
+    # one row per pair; rows of copies count once
+    pairs = found.join(items, "window").groupBy("name", "item_id")
+    pairs = pairs.agg(F.collect_set(hit).alias("hits"), F.first("n_windows").alias("n_windows"))
+    found_at = F.size(F.array_distinct("hits.item_at"))
+    pairs = pairs.where(found_at * 100 >= F.col("n_windows") * settings.min_percent)
+
+    def judge(names, item_ids, all_hits, counts):
+        percent = [held_percent([tuple(hit.values()) for hit in hits], n, settings) for hits, n in zip(all_hits, counts, strict=True)]
+        return names, item_ids, percent
+
+    judged = map_columns(pairs, judge, "name long, item_id long, percent double")
+    return judged.where(F.col("percent") >= settings.min_percent)
 
 
 def mark_leaks(docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = LeakSettings()) -> DataFrame:

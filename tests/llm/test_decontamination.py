@@ -32,6 +32,20 @@ def test_verbatim_reparameterised_and_inconsistent(spark, documents):
     assert mark_leaks(documents([]), benchmark).count() == 0
 
 
+def test_each_occurrence_is_judged_by_itself(spark, documents):
+    other = QUESTION.replace("Alice", "Carol").replace("Bob", "Dave").replace("12", "340").replace("5 kg", "7 tons")
+    third = QUESTION.replace("Alice", "Erin").replace("Bob", "Alice").replace("12", "5").replace("5 kg", "12 g")
+    twin = "we know that Tom has 3 red pens in a box, we know that Ann has 9 red pens in a box, who has more?"
+    wordy = other.replace("neighbour", "very old and friendly neighbour").replace("apples and", "apples in a big basket and")
+    torn = QUESTION.replace("Alice has", "Carol has").replace("does Alice", "does Erin")
+    rows = [(1, f"So: {QUESTION} Or: {other}"), (2, f"So: {other} Or: {third} Or: {QUESTION}"), (3, f"Now {twin}")]
+    rows += [(4, f"So: {wordy} Or: {third}"), (5, f"So: {torn} Or: {torn}")]
+    rows += [(6, " ".join([f"So: {other}", *["He gives 8 kg of them to her neighbour Max, how many?"] * 3]))]
+    benchmark = spark.createDataFrame([(1, QUESTION), (2, twin)], "item_id long, text string")
+    got = {r.doc_id: r._leaked_items for r in mark_leaks(documents(rows), benchmark).collect()}
+    assert got == {1: [1], 2: [1], 3: [2], 4: [1], 5: [], 6: [1]}
+
+
 def test_verbatim_items_of_the_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
