@@ -4,7 +4,8 @@ Both sides are read as templates: numbers, units and names become typed placehol
 templates are hashed and joined. A document holds an item if windows of at least half of the item are found in
 one occurrence, and the slots are consistent there: each value of the item stands for one value of the occurrence
 and the other way round. So a verbatim copy is found, and a question with its parameters exchanged as well, also
-side by side.
+side by side. Windows of the words themselves are joined as well: they find verbatim copies in any case, also of
+items that are little but slots, in lower or upper case, and behind any character.
 
 A table of bits made from the benchmark's windows, of fixed size, lets tasks pass over windows that no item
 has; what remains is decided by the join.
@@ -29,6 +30,10 @@ from pyspark.sql.types import StructType
 from plantmetrics.llm.arrow import map_columns, record_batch
 from plantmetrics.sources import stage
 
+# Readings of a text: templates with first words as words or as names, and the words themselves, whose windows
+# are told apart by another seed.
+PLAIN, NAMED, EXACT = range(3)
+WORDS_SEED = 1 << 32
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%$€£°]|[.!?\n]+")
 # Words for numbers, and units.
 NUMBERS = set(
@@ -62,57 +67,101 @@ def template(text: str | None) -> tuple[list[str], list[str | None]]:
 
     A capitalised word is a name unless it begins the text, a sentence or a line. A unit is one after a number.
     """
-    tokens, values, begins = [], [], True
+    tokens, values, _, _ = _read(text)
+    return tokens, values
+
+
+def _read(text: str | None) -> tuple[list[str], list[str | None], list[str], list[int]]:
+    """``template``, all words in lower case, and the places of capitalised words that begin something: these
+    may be names or not.
+    """
+    tokens, values, words, either, begins = [], [], [], [], True
     for word in TOKEN.findall(text or ""):
         if word[0] in ".!?\n":
             begins = True
             continue
         low = word.lower()
+        words.append(low)
         if word[0].isdigit() or low in NUMBERS:
             tokens.append("<number>")
             values.append(low)
         elif low in UNITS and ((tokens and tokens[-1] == "<number>") or not low.isalpha()):
             tokens.append("<unit>")
             values.append(low)
-        elif not begins and len(word) > 1 and word[0].isupper() and word[1:].islower():
-            tokens.append("<name>")
-            values.append(low)
+        elif len(word) > 1 and word[0].isupper() and word[1:].islower():
+            if begins:
+                either.append(len(tokens))
+            tokens.append(low if begins else "<name>")
+            values.append(None if begins else low)
         else:
             tokens.append(low)
             values.append(None)
         begins = False
-    return tokens, values
+    return tokens, values, words, either
 
 
-def windows(text: str | None, lengths, min_literal_percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
-    """(hash, position, length) of windows with enough literals, for each of ``lengths``; and slot values."""
-    tokens, values = template(text)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
-    slots = np.concatenate([[0], np.cumsum([value is not None for value in values])]).astype(np.int64)
+def windows(text: str | None, lengths, settings: LeakSettings) -> list[tuple[np.ndarray, np.ndarray, int, list, int]]:
+    """(hashes, positions, length, slot values, kind of reading) of the windows of a text, for each of ``lengths`` and reading.
+
+    Templates need enough literals, and are read with the first words of sentences as words and, where that makes
+    a difference, as names. Windows of the words themselves, which have no slots, need none.
+    """
+    tokens, values, words, either = _read(text)
+    digest = xxhash.xxh3_64_intdigest
+    plain = np.fromiter(map(digest, tokens), np.uint64, len(tokens))
+    named, names = plain, values
+    if either:
+        named, names = plain.copy(), list(values)
+        named[either] = digest("<name>")
+        for k in either:
+            names[k] = words[k]
+    exact = plain.copy()
+    for k, value in enumerate(values):
+        if value is not None:
+            exact[k] = digest(words[k])
     found = []
     for length in lengths:
         count = len(tokens) - length + 1
         if count < 1:
             continue
-        rolled = np.full(count, length, np.uint64)
-        for k in range(length):
-            rolled = (rolled ^ hashes[k : k + count]) * np.uint64(0x9E3779B97F4A7C15)
-            rolled ^= rolled >> np.uint64(29)
-        literal = length - (slots[length : length + count] - slots[:count])
-        good = np.flatnonzero(100 * literal >= min_literal_percent * length)
-        found.append((rolled[good], good, np.full(len(good), length)))
-    if not found:
-        found = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
-    return *map(np.concatenate, zip(*found, strict=True)), values
+        begun = np.zeros(len(tokens), bool)
+        begun[either] = True
+        differs = _count(begun, length) > 0
+        for hashes, own, some, kind in ((plain, values, None, PLAIN), (named, names, differs, NAMED)):
+            if some is None or some.any():
+                literal = length - _count(np.array([value is not None for value in own]), length)
+                good = 100 * literal >= settings.min_literal_percent * length
+                good = np.flatnonzero(good if some is None else good & some)
+                found.append((_rolled(hashes, length, length)[good], good, length, own, kind))
+        found.append((_rolled(exact, length, length + WORDS_SEED), np.arange(count), length, [None] * len(tokens), EXACT))
+    return found
+
+
+def _rolled(hashes: np.ndarray, length: int, seed: int) -> np.ndarray:
+    count = len(hashes) - length + 1
+    rolled = np.full(count, seed, np.uint64)
+    for k in range(length):
+        rolled = (rolled ^ hashes[k : k + count]) * np.uint64(0x9E3779B97F4A7C15)
+        rolled ^= rolled >> np.uint64(29)
+    return rolled
+
+
+def _count(flags: np.ndarray, length: int) -> np.ndarray:
+    """How many flags each window of ``length`` has."""
+    total = np.concatenate([[0], np.cumsum(flags)])
+    return total[length:] - total[:-length]
 
 
 def benchmark_windows(benchmark: DataFrame, settings: LeakSettings) -> DataFrame:
-    """``(window, item_id, item_at, item_slots, length, n_windows)``, one row per window of each item text.
+    """``(window, item_id, exact, named, item_at, item_slots, length, n_windows)``: the windows of each item text as
+    templates and, where ``exact``, word for word; ``n_windows`` are the places of that kind.
 
     Null ids and texts, and items of fewer than ``min_item`` tokens, have no windows. Rows that share an id are
     read as one item with the windows of all.
     """
-    kind = StructType.fromDDL("window long, item_id long, item_at int, item_slots array<string>, length int")
+    kind = StructType.fromDDL(
+        "window long, item_id long, exact boolean, named boolean, item_at int, item_slots array<string>, length int"
+    )
     arrow = to_arrow_schema(kind)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,17 +171,17 @@ def benchmark_windows(benchmark: DataFrame, settings: LeakSettings) -> DataFrame
                 size = min(settings.window, len(template(text)[0]))
                 if key is None or size < settings.min_item:
                     continue
-                hashes, positions, lengths, values = windows(text, [size], settings.min_literal_percent)
-                rows = zip(hashes.view(np.int64).tolist(), positions.tolist(), lengths.tolist(), strict=True)
-                for window, at, length in rows:
-                    own = [value for value in values[at : at + length] if value is not None]
-                    for column, value in zip(columns, (window, key, at, own, length), strict=True):
-                        column.append(value)
+                for hashes, positions, length, values, reading in windows(text, [size], settings):
+                    for window, at in zip(hashes.view(np.int64).tolist(), positions.tolist(), strict=True):
+                        own = [value for value in values[at : at + length] if value is not None]
+                        row = (window, key, reading == EXACT, reading == NAMED, at, own, length)
+                        for column, value in zip(columns, row, strict=True):
+                            column.append(value)
             yield record_batch(columns, arrow)
 
     found = benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(read, kind)
-    counts = found.groupBy("item_id").agg(F.countDistinct("item_at").alias("n_windows"))
-    return found.join(counts, "item_id")
+    counts = found.groupBy("item_id", "exact").agg(F.countDistinct("item_at").alias("n_windows"))
+    return found.join(counts, ["item_id", "exact"])
 
 
 def held_percent(hits: list[tuple[int, int, list, list]], n_windows: int, settings: LeakSettings) -> float:
@@ -182,7 +231,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = L
     marked = items.select(F.pmod("window", F.lit(settings.bits)).alias("bit")).distinct()
     bits[marked.toPandas()["bit"].to_numpy(np.int64)] = True  # settings.bits rows at most
     shared = spark.sparkContext.broadcast((np.packbits(bits), lengths))
-    kind = StructType.fromDDL("window long, name long, doc_at int, doc_slots array<string>")
+    kind = StructType.fromDDL("window long, name long, doc_named boolean, doc_at int, doc_slots array<string>")
     arrow = to_arrow_schema(kind)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,29 +240,34 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = L
         for batch in batches:
             columns = [[] for _ in kind]
             for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                hashes, positions, spans, values = windows(text, sizes, settings.min_literal_percent)
-                hashes = hashes.view(np.int64)
-                for k in np.flatnonzero(table[hashes % settings.bits]):
-                    at = int(positions[k])
-                    own = [value for value in values[at : at + spans[k]] if value is not None]
-                    for column, value in zip(columns, (int(hashes[k]), name, at, own), strict=True):
-                        column.append(value)
+                for hashes, positions, length, values, reading in windows(text, sizes, settings):
+                    hashes = hashes.view(np.int64)
+                    for k in np.flatnonzero(table[hashes % settings.bits]):
+                        at = int(positions[k])
+                        own = [value for value in values[at : at + length] if value is not None]
+                        for column, value in zip(columns, (int(hashes[k]), name, reading == NAMED, at, own), strict=True):
+                            column.append(value)
             yield record_batch(columns, arrow)
 
     found = docs.select(F.xxhash64("doc_id", "text").alias("name"), "text").mapInArrow(read, kind)
-    hit = F.struct("item_at", "doc_at", "item_slots", "doc_slots")
-    # one row per pair; rows of copies count once
-    pairs = found.join(items, "window").groupBy("name", "item_id")
+    hit = F.struct("item_at", "doc_at", "item_slots", "doc_slots", (F.col("named") | F.col("doc_named")).alias("named"))
+    # one row per pair and kind of window; rows of copies count once
+    pairs = found.join(items, "window").groupBy("name", "item_id", "exact")
     pairs = pairs.agg(F.collect_set(hit).alias("hits"), F.first("n_windows").alias("n_windows"))
     found_at = F.size(F.array_distinct("hits.item_at"))
     pairs = pairs.where(found_at * 100 >= F.col("n_windows") * settings.min_percent)
 
     def judge(names, item_ids, all_hits, counts):
-        percent = [held_percent([tuple(hit.values()) for hit in hits], n, settings) for hits, n in zip(all_hits, counts, strict=True)]
+        percent = []
+        for hits, n in zip(all_hits, counts, strict=True):
+            every = [tuple(hit.values())[:4] for hit in hits]
+            # a first word read as a name may be none, and then tears names that are
+            plain = [one for one, hit in zip(every, hits, strict=True) if not hit["named"]]
+            percent.append(max(held_percent(one, n, settings) for one in (every, plain)))
         return names, item_ids, percent
 
-    judged = map_columns(pairs, judge, "name long, item_id long, percent double")
-    return judged.where(F.col("percent") >= settings.min_percent)
+    judged = map_columns(pairs.drop("exact"), judge, "name long, item_id long, percent double")
+    return judged.where(F.col("percent") >= settings.min_percent).groupBy("name", "item_id").agg(F.max("percent").alias("percent"))
 
 
 def mark_leaks(docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = LeakSettings()) -> DataFrame:

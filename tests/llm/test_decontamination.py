@@ -46,6 +46,20 @@ def test_each_occurrence_is_judged_by_itself(spark, documents):
     assert got == {1: [1], 2: [1], 3: [2], 4: [1], 5: [], 6: [1]}
 
 
+def test_verbatim_copies_of_slots_cases_and_first_words(spark, documents):
+    items = ["Compute 48 + 72 - 13 * 5 and round to 2 places", "Alice Bob Carol Dave Erin Frank Grace", "Name all rivers of Asia now"]
+    items += ["Which town did Anna, Bernd and Clara visit with Doris in the spring before they left?"]
+    rows = [(k, f"Some words before it: {one}, and some behind.") for k, one in enumerate(items)]
+    rows += [(k + 10, f"some words. {one.upper()}") for k, one in enumerate(items)]
+    rows += [(k + 20, f'He said "{one.lower()}" again.') for k, one in enumerate(items)]
+    rows += [(33, "We ask. Which town did Emil,\nFranz and Greta visit with Helga in the spring before they left?")]
+    rows += [(43, "We ask. Which town did Emil, Franz and Greta visit with Helga in the spring before Helga left?")]
+    rows += [(40, "Compute 1 + 2 - 3 * 4 only."), (41, "Grace Frank Erin Dave Carol Bob Alice")]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.doc_id: r._leaked_items for r in mark_leaks(documents(rows), benchmark).collect()}
+    assert got == {doc_id: [doc_id % 10] if doc_id < 40 or doc_id == 43 else [] for doc_id, _ in rows}
+
+
 def test_verbatim_items_of_the_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
