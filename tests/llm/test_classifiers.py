@@ -3,7 +3,7 @@ import pytest
 
 from plantmetrics.llm.quality import QualitySettings, fit_quality, score_quality
 from plantmetrics.llm.queries import QUERIES
-from plantmetrics.llm.toxicity import ToxicitySettings, best_threshold, fit_toxicity, score_toxicity
+from plantmetrics.llm.toxicity import ToxicityModel, ToxicitySettings, best_threshold, fit_toxicity, score_toxicity
 
 SF = "/root/testdata/sf0.1"
 LABELS = "doc_id long, toxic int, quality int"
@@ -41,6 +41,19 @@ def test_no_labels(spark, documents):
     assert score_quality(docs, fit_quality(docs, none)).count() == 2
 
 
+def test_score_is_the_same_beside_any_neighbour():
+    rng, size = np.random.default_rng(3), ToxicitySettings(buckets=64, dimensions=4, filters=8)
+    p = {"words": rng.normal(size=(64, 4)).astype(np.float32), "out": rng.normal(size=24).astype(np.float32)}
+    p |= {f"w{w}": rng.normal(size=(4 * w, 8)).astype(np.float32) for w in size.widths}
+    p |= {f"b{w}": np.zeros(8, np.float32) for w in size.widths} | {"bias": np.zeros(1, np.float32)}
+    p["words"][0] = 0
+    model = ToxicityModel(size, p)
+    texts = [rng.integers(1, 64, n).astype(np.int32) for n in (0, 1, 2, 3, 5, 0, 0, 1, 9000, 4, 4096, 2)]
+    alone = [model.score([one], model.tables())[0] for one in texts]
+    for order in (range(12), range(11, -1, -1), rng.permutation(12)):
+        assert (model.score([texts[k] for k in order], model.tables()) == [alone[k] for k in order]).all()
+
+
 def test_threshold():
     scores, labels = np.array([0.9, 0.8, 0.3, 0.2]), np.array([1, 1, 0, 0])
     assert 0.3 < best_threshold(scores, labels, np.ones(4)) < 0.8
