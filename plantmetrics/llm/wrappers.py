@@ -2,8 +2,9 @@
 
 Pages of one host share a template. Their block structures are aligned by simple tree matching (the largest
 order-preserving matching of equal labels, found by dynamic programming over the children of matched nodes)
-and merged into one wrapper tree per host. A wrapper node knows how many pages have it and whether its text
-ever changes: constant nodes are template, nodes that vary are slots. Slots inside the host's content node
+and merged into one wrapper tree per host. A wrapper node knows how many pages have it, by a sample which
+different contents these pages have, and whether its text ever changes: nodes that are constant on most of the
+different pages are template, other nodes are slots. Slots inside the host's content node
 are the text; slots with a page-furniture role (menus, adverts, comments ...) are not.
 
 Tasks merge the pages they read before anything is shuffled, so a host costs one small tree per task, and the
@@ -40,31 +41,36 @@ TOP_ONLY = {"header"}
 
 #: Children of a node that differ in their neighbours' labels, beyond which equal labels anywhere are folded.
 MOST_CHILDREN = 64
-#: Pages of a host that must agree before a node counts as constant.
+#: Pages of a host with different contents that must agree before a node counts as constant.
 MIN_PAGES = 3
+#: Digests of contents that a node keeps: the least ones, so those of all pages are a fair sample.
+VOTES = 32
 #: Hosts a task holds before it hands on what it has merged.
 MOST_HOSTS = 2_000
 
 
 class Node:
-    """A wrapper node: label, pages that have it, least and greatest text hash, words, children in order."""
+    """A wrapper node: label, pages that have it, least and greatest text hash, words, children in order; of the
+    pages that have it, the words of their contents and the least digests of these, sorted."""
 
-    __slots__ = ("label", "pages", "low", "high", "words", "children", "elements")
+    __slots__ = ("label", "pages", "low", "high", "words", "children", "elements", "around", "votes")
 
-    def __init__(self, label, pages=1, low=0, high=0, words=0, children=None, elements=None):
+    def __init__(self, label, pages=1, low=0, high=0, words=0, children=None, elements=None, around=0, votes=()):
         self.label, self.pages, self.low, self.high, self.words = label, pages, low, high, words
         self.children, self.elements = children or [], elements or []
+        self.around, self.votes = around, votes
 
     @property
     def constant(self) -> bool:
         return self.low == self.high
 
     def plain(self) -> list:
-        return [self.label, self.pages, self.low, self.high, self.words, [c.plain() for c in self.children]]
+        inside = [c.plain() for c in self.children]
+        return [self.label, self.pages, self.low, self.high, self.words, inside, self.around, self.votes]
 
     @classmethod
     def read(cls, plain: list) -> Node:
-        return cls(*plain[:5], [cls.read(one) for one in plain[5]])
+        return cls(*plain[:5], [cls.read(one) for one in plain[5]], None, *plain[6:])
 
 
 def matching(left: list[Node], right: list[Node]) -> tuple[int, list[tuple[int, int]]]:
@@ -100,6 +106,9 @@ def merge(into: Node, other: Node) -> Node:
     into.pages += other.pages
     into.words += other.words
     into.low, into.high = min(into.low, other.low), max(into.high, other.high)
+    into.around += other.around
+    if into.votes != other.votes:
+        into.votes = sorted({*into.votes, *other.votes})[:VOTES]
     children, at = [], 0
     pairs = align(into.children, other.children) + [(len(into.children), len(other.children))]
     seen = 0
@@ -191,14 +200,34 @@ def content_nodes(wrapper: Node) -> list[Node]:
         here = heavy[0]
 
 
+def voted(page: Node) -> Node:
+    """A page's skeleton, with the words and the digest of its content noted at each node."""
+    nodes = content_nodes(page)
+    around = sum(one.words for one in nodes)
+    votes = [xxhash.xxh3_64_intdigest(repr([one.low for one in nodes])) >> 2] if around else []
+    work = [page]
+    while work:
+        one = work.pop()
+        one.around, one.votes = around, votes
+        work.extend(one.children)
+    return page
+
+
+def is_template(one: Node, above: Node) -> bool:
+    """Whether a node is constant, on most of the different pages that have the node ``above`` it. Copies of a
+    page count once. A node with over half of the words of its pages is never one, nor is a heading: pages of a
+    host may well be versions of one text."""
+    if not one.constant or len(one.votes) < MIN_PAGES or one.label.split(".")[0] in dom.HEADINGS:
+        return False
+    return 2 * len(set(one.votes).intersection(above.votes)) > len(above.votes) and 2 * one.words <= one.around
+
+
 def template_nodes(content: Node) -> list[Node]:
-    """Constant nodes below a content node that varies. A node with over half of the words is never one, nor
-    is a main heading: pages of a host may well be versions of one text."""
+    """The template below a content node that varies."""
     found, work = [], [] if content.constant else list(content.children)
     while work:
         one = work.pop()
-        alike = one.constant and one.pages >= MIN_PAGES and 2 * one.words <= content.words
-        if alike and one.label.split(".")[0] != "h1":
+        if is_template(one, content):
             found.append(one)
         else:
             work.extend(one.children)
@@ -255,7 +284,7 @@ def induce_wrappers(pages: DataFrame) -> DataFrame:
         trees: dict[str, Node] = {}
         for batch in batches:
             for host, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                page = skeleton(dom.parse(html or ""))
+                page = voted(skeleton(dom.parse(html or "")))
                 for node, _ in _mapped(page, page):
                     node.elements = []
                 trees[host] = merge(trees[host], page) if host in trees else page

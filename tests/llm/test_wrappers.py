@@ -45,6 +45,23 @@ def test_same_article_on_all_pages_stays(spark):
     assert {r.text for r in got} == {"One The same story on every page of the host."}
 
 
+def test_blocks_of_one_article_stay_however_many_copies_it_has(spark):
+    def article(k, extra="", menu=0):
+        words = " ".join(f"word{k}x{j}" for j in range(30))
+        return f"<div>{menu}</div><article><h1>Title {k}</h1><h2>Background</h2><p>{words}</p>{extra}<div class=note>Text is free</div></article>"
+
+    table = "<table><tr><td>some cells</td><td>of one article</td></tr></table><ul><li>one list</li></ul>"
+    few = [(k, "http://few/", article(k)) for k in range(4)] + [(10 + k, "http://few/", article(9, table, k)) for k in range(20)]
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(few, PAGES)).collect()}
+    for k in range(4):
+        assert got[k].startswith(f"Title {k} Background word{k}x0") and got[k].endswith("x29")
+    assert len({got[10 + k] for k in range(20)}) == 1 and got[10].endswith("x29 some cells of one article one list")
+    # a hot host: optional block on three different articles of many
+    many = [(k, "http://many/", article(k, table if k < 3 else "")) for k in range(200)]
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(many, PAGES)).collect()}
+    assert got[0].endswith("one list") and got[2].endswith("one list") and got[50].endswith("x29")
+
+
 def test_matching_keeps_order():
     def tree(label, *inside):
         return Node(label, children=list(inside))
