@@ -1,9 +1,11 @@
 """Removing passages that repeat anywhere in the corpus, by spans of consecutive sentences.
 
-Every run of several sentences is hashed: from each sentence on, the shortest run with at least
-``min_sentences`` sentences and ``min_words`` words. A passage that two documents share holds the same runs in
-both, whatever stands around it. Runs meet in one global join; every run but the first of its kind marks its
-sentences, and marked sentences are cut out.
+The shortest run of sentences with at least ``min_words`` words is hashed, from each sentence on and up to each
+sentence; so runs within a passage of so many words cover all of it. A passage that two documents share holds the
+same runs in both, whatever stands around it. Runs meet in one global join; every run but the first of its kind
+marks its sentences, and marked sentences are cut out. Sentences that are long count as several, parted at commas
+and semicolons. What stays of a shared passage are its parts of sentences at either end, and stretches between
+sentence ends of less than ``min_words`` words.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -23,6 +26,9 @@ from plantmetrics.llm.arrow import record_batch
 from plantmetrics.sources import stage
 
 END = re.compile(r"[.!?…。]+[\"'”’)\]]*\s+|\s*\n\s*")
+PART = re.compile(r"[,;][\"'”’)\]]*\s+")
+#: Words beyond which a sentence is parted.
+LONG = 16
 
 
 @dataclass(frozen=True)
@@ -30,35 +36,47 @@ class SpanSettings:
     min_sentences: int = 2
     min_words: int = 16
     #: A sentence of so many words is a run by itself.
-    long_sentence: int = 40
+    long_sentence: int = 16
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """(start, stop) of each sentence, with the white space after it; together they are the whole text.
 
-    A sentence ends with a full stop, question or exclamation mark before white space, or with its line.
+    A sentence ends with a full stop, question or exclamation mark before white space, or with its line; one of
+    more than ``LONG`` words also with each comma and semicolon before white space.
     """
     cuts = [0, *(found.end() for found in END.finditer(text)), len(text)]
-    return [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+    found = []
+    for a, b in zip(cuts, cuts[1:]):
+        parts = [a, b]
+        if b - a > 2 * LONG and len(text[a:b].split()) > LONG:
+            parts[1:1] = (part.end() for part in PART.finditer(text, a, b))
+        found += [(x, y) for x, y in zip(parts, parts[1:]) if x < y]
+    return found
 
 
 def runs(text: str, settings: SpanSettings) -> list[tuple[bytes, int, int]]:
     """(hash, first sentence, one past the last) of each run; words are compared in lower case."""
     words = [text[a:b].lower().split() for a, b in sentences(text)]
-    found = []
-    for start in range(len(words)):
-        count = 0
-        for stop in range(start, len(words)):
-            count += len(words[stop])
-            if _enough(stop + 1 - start, count, settings):
-                joined = " ".join(word for one in words[start : stop + 1] for word in one)
-                found.append((xxhash.xxh3_128_digest(joined.encode()), start, stop + 1))
-                break
-    return found
+    joined = [" ".join(one) for one in words]
+    total = [0, *accumulate(map(len, words))]
+    spans = set()
+    stop = start = 0
+    for begin in range(len(words)):  # the shortest from each sentence on
+        while stop < len(words) and not _enough(stop - begin, total[stop] - total[begin], settings):
+            stop += 1
+        if _enough(stop - begin, total[stop] - total[begin], settings):
+            spans.add((begin, stop))
+    for end in range(1, len(words) + 1):  # the shortest up to each sentence
+        while _enough(end - start - 1, total[end] - total[start + 1], settings):
+            start += 1
+        if _enough(end - start, total[end] - total[start], settings):
+            spans.add((start, end))
+    return [(xxhash.xxh3_128_digest(" ".join(filter(None, joined[a:b])).encode()), a, b) for a, b in sorted(spans)]
 
 
 def _enough(size: int, words: int, settings: SpanSettings) -> bool:
-    return words >= (settings.min_words if size >= settings.min_sentences else settings.long_sentence)
+    return size > 0 and words >= (settings.min_words if size >= settings.min_sentences else settings.long_sentence)
 
 
 def repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()) -> DataFrame:

@@ -44,3 +44,43 @@ def test_runs_cover_a_passage():
     found = runs(f"Before it. {PASSAGE} After it all.", SpanSettings())
     inside = [r for r in found if r[0] in {x[0] for x in runs(PASSAGE, SpanSettings())}]
     assert {k for _, a, b in inside for k in range(a, b)} == set(range(1, 7))
+
+
+def left_over(rows, width=50):
+    """Words in windows of ``width`` that came before in rows of (doc_id, text)."""
+    seen, left = set(), 0
+    for doc_id, text in sorted(rows):
+        words = text.lower().split()
+        gone = set()
+        for at in range(len(words) - width + 1):
+            window = tuple(words[at : at + width])
+            gone |= set(range(at, at + width)) if window in seen else set()
+        seen |= {tuple(words[at : at + width]) for at in range(len(words) - width + 1)}
+        left += len(gone)
+    return left
+
+
+def test_no_window_of_fifty_words_stays(documents):
+    def words(name, n):
+        return " ".join(f"{name}{j}" for j in range(n))
+
+    tail = f"{words('a', 20)}. {words('b', 20)}. {words('c', 10)}. {words('d', 10)}. {words('e', 3)}."
+    middle = f"{words('f', 15)}. {words('g', 20)}. {words('h', 18)}"
+    parts = f"{words('i', 18)}, {words('k', 20)}; {words('l', 18)}"
+    rows = [(1, f"{words('p', 9)}. {tail} {words('q', 9)}."), (2, f"{words('r', 30)}. {tail} {words('s', 7)}.")]
+    rows += [(3, f"Own {middle} and more."), (4, f"Quite other {middle} without it.")]
+    rows += [(5, f"{words('t', 12)} {parts} {words('u', 12)}."), (6, f"{words('v', 5)} {parts} {words('w', 30)}.")]
+    got = {r.doc_id: r.text for r in remove_repeated_spans(documents(rows)).collect()}
+    assert left_over(rows) > 150 and left_over(got.items()) == 0
+    assert got[2] == f"{words('r', 30)}. {words('s', 7)}."
+    assert "g0 " not in got[4] and got[4].startswith("Quite other") and got[4].endswith("without it.")
+    assert "k0 " not in got[6] and {got[k] for k in (1, 3, 5)} == {text for k, text in rows if k in (1, 3, 5)}
+
+
+def test_windows_that_stay_in_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect() if r.text]
+    got = [(r.doc_id, r.text) for r in remove_repeated_spans(docs).collect() if r.text]
+    before, after = left_over(rows), left_over(got)
+    print(f"words in repeated windows of 50: {before} before, {after} after")
+    assert after <= before // 50
