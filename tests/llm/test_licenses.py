@@ -1,4 +1,6 @@
-from plantmetrics.llm.licenses import NOTICES, resolve_licenses
+import textwrap
+
+from plantmetrics.llm.licenses import NOTICES, TEXTS, resolve_licenses
 from plantmetrics.llm.queries import QUERIES
 
 FILES = "path string, text string, license string"
@@ -25,3 +27,22 @@ def test_notices_of_the_documents(spark):
     for doc_id, text in texts.items():
         own = {name for name, notice in NOTICES.items() if notice in text.split("\n")}
         assert (got[doc_id].license in own) if own else got[doc_id].origin in ("none", "inherited"), doc_id
+
+
+def test_licence_texts_wrapped_headers_and_tags(spark):
+    def wrapped(text, mark="", width=70):
+        return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+    code = "def run(files):\n    return [load(one) for one in files]\n" * 20
+    long = [(name, [text for other, text in TEXTS if other == name]) for name in sorted({name for name, _ in TEXTS})]
+    rows = [(f"{name}/{k}/LICENSE", f"Some License\n\nCopyright (c) 2019 A. Person\n\n{wrapped(text)}") for name, texts in long for k, text in enumerate(texts)]
+    rows += [(f"{name}/{k}/x.py", code) for name, texts in long for k in range(len(texts))]
+    rows += [(f"{name}/header{k}.py", wrapped(text, "# ") + "\n\n" + code) for name, texts in long for k, text in enumerate(texts)]
+    rows += [(f"tag/of-{name}.c", f"// SPDX-License-Identifier: {name}\n{code}") for name in NOTICES]
+    rows += [("tag/of-GPL-2.0-or-later.c", f"/* SPDX-License-Identifier: GPL-2.0-or-later */\n{code}")]
+    rows += [("line/MIT.txt", f"{code} and some words. It was released under the\nMIT License. Then there are many other words. {code}")]
+    got = {r.path: r for r in resolve_licenses(spark.createDataFrame([(*r, "x") for r in rows], FILES)).collect()}
+    for path, row in got.items():
+        expected = path.split("/")[0] if path.split("/")[0] not in ("tag", "line") else path.split("/")[1].rsplit(".", 1)[0].removeprefix("of-").removesuffix("-or-later")
+        origin = "file" if path.endswith("LICENSE") else "inherited" if path.endswith("x.py") else "header"
+        assert (row.license, row.origin) == (expected, origin), path
