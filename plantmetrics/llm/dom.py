@@ -23,7 +23,8 @@ ENDS_P = BLOCK - {"button", "caption", "html", "head", "body", "legend", "option
 ENDS_P -= {"tbody", "td", "tfoot", "th", "thead", "tr"}
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
+    r"<!--.*?(?:-->|\Z)|<(?:svg|math)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?<=/)>"
+    rf"|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
     re.S | re.I,
 )

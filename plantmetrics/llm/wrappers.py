@@ -182,7 +182,7 @@ def skeleton(top: dom.Element, in_content: bool = False) -> Node:
 
 
 def content_nodes(wrapper: Node) -> list[Node]:
-    """The nodes whose slots are the text: those that say so, else the one most of the varying words are in."""
+    """The nodes whose slots are the text: those that say so, else the lowest that has all but template in it."""
     found, work = [], [wrapper]
     while work:
         one = work.pop()
@@ -194,10 +194,11 @@ def content_nodes(wrapper: Node) -> list[Node]:
         return found
     here = wrapper
     while True:
-        heavy = [c for c in here.children if 10 * c.words > 7 * here.words]
-        if not heavy or not heavy[0].children:
+        slots = [c for c in here.children if c.words and not is_template(c, here)]
+        own = here.words - sum(c.words for c in here.children)
+        if own or len(slots) != 1 or not slots[0].children:
             return [here]
-        here = heavy[0]
+        here = slots[0]
 
 
 def voted(page: Node) -> Node:

@@ -62,6 +62,27 @@ def test_blocks_of_one_article_stay_however_many_copies_it_has(spark):
     assert got[0].endswith("one list") and got[2].endswith("one list") and got[50].endswith("x29")
 
 
+def test_lead_and_second_section_stay_without_an_article_element(spark):
+    def body(k):
+        words = " ".join(f"word{k}x{j}" for j in range(60))
+        return (
+            f"<div class=top>All the news</div><div class=lead><h1>Title {k}</h1><p>Lead {k}</p></div>"
+            f"<div class=long><p>{words}</p></div><div class=more><p>Short end {k}</p></div><div class=bottom>All rights</div>"
+        )
+
+    rows = [(k, "http://h/", body(k)) for k in range(5)] + [(9, "http://one/", body(9))]
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    for k in range(5):
+        assert got[k].startswith(f"Title {k} Lead {k} word{k}x0") and got[k].endswith(f"x59 Short end {k}")
+    assert "Title 9 Lead 9 word9x0" in got[9] and "x59 Short end 9" in got[9]
+
+
+def test_self_closed_pictures_and_formulas_end():
+    icons = "<p>a <svg class='i' viewBox=\"0 0 1 1\"/>b <math/>c<svg><path d='M0'/><text>no</text></svg> d<p>e"
+    assert dom.blocks(dom.parse(icons)) == ["a b c d", "e"]
+    assert dom.blocks(dom.parse("<p>a <svg data-u=x/y><title>no</title></svg> b<svg href='a/'>no</svg>")) == ["a b"]
+
+
 def test_matching_keeps_order():
     def tree(label, *inside):
         return Node(label, children=list(inside))
