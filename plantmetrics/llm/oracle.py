@@ -57,4 +57,71 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 FROM counted
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_warc": WARC, "op9_line_rules": LINE_RULES}
+# Fixed values of the query: its rules and the hosts on its block list.
+URL_CASCADE = r"""
+WITH parts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages
+), names AS (
+  SELECT unnest(['adult-x', 'ads-track', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) AS name
+), listed AS (SELECT name || '.example.' || top AS blocked FROM names, (SELECT unnest(['com', 'net', 'org']) AS top)
+), hosts AS (
+  SELECT host, bool_or(host = blocked OR ends_with(host, '.' || blocked)) AS listed
+  FROM (SELECT DISTINCT host FROM parts), listed GROUP BY host
+), ruled AS (
+  SELECT page_id, host, path, listed, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM parts JOIN hosts USING (host)
+)
+SELECT page_id, host, path, rule, listed, CASE
+  WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN listed THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+#: Assignments to the centroids of ``round`` (a row per vector): nearest by squared distance, then number.
+_NEAREST = """
+near_{k} AS MATERIALIZED (
+  SELECT r, cluster, distance FROM (
+    SELECT r, cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+    FROM entries v JOIN centroids_{k} c USING (dim) GROUP BY r, cluster
+  ) QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, cluster) = 1
+)"""
+_MOVED = """
+centroids_{next} AS MATERIALIZED (
+  SELECT cluster, dim, coalesce(moved, x) AS x FROM centroids_{k} LEFT JOIN (
+    SELECT cluster, dim, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS moved
+    FROM near_{k} JOIN entries USING (r) GROUP BY cluster, dim
+  ) USING (cluster, dim)
+)"""
+_ROUNDS = ",".join(_NEAREST.format(k=k) + "," + _MOVED.format(k=k, next=k + 1) for k in range(5)) + "," + _NEAREST.format(k=5)
+
+ZONE_CLUSTERS = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS xs FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), entries AS MATERIALIZED (
+  SELECT r, unnest(range(64)) AS dim, unnest(xs) AS x FROM kept
+), centroids_0 AS MATERIALIZED (
+  SELECT cluster, unnest(range(64)) AS dim, unnest(xs) AS x FROM (
+    SELECT xs, row_number() OVER (ORDER BY sha256('2:' || vec_id), xs) - 1 AS cluster FROM kept WHERE vec_id IS NOT NULL
+  ) WHERE cluster < 40
+),{_ROUNDS}, digests AS (
+  SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY dim)) AS centroid_sha256 FROM centroids_5 GROUP BY cluster
+)
+SELECT vec_id, cluster::INTEGER AS cluster, distance,
+  (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM near_5 JOIN kept USING (r) JOIN digests USING (cluster)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": WARC,
+    "op9_line_rules": LINE_RULES,
+    "op11_url_cascade": URL_CASCADE,
+    "op13_zone_clusters": ZONE_CLUSTERS,
+}

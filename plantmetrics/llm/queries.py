@@ -17,8 +17,11 @@ from plantmetrics.llm.line_rules import apply_line_rules
 from plantmetrics.llm.quality import fit_quality, score_quality
 from plantmetrics.llm.sentence_spans import remove_repeated_spans
 from plantmetrics.llm.toxicity import fit_toxicity, score_toxicity
+from plantmetrics.llm.url_cascade import BLOCKED_HOSTS, judge_urls, listed_hosts
 from plantmetrics.llm.warc import archive_pages
+from plantmetrics.llm.whitening import whiten_embeddings
 from plantmetrics.llm.wrappers import extract_main_text
+from plantmetrics.llm.zone_clusters import cluster_embeddings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +92,18 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"), listed_hosts(spark, BLOCKED_HOSTS))
+
+
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
+def zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc,
     "op2_license_scan": license_scan,
@@ -100,5 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": byte_bpe,
     "op9_line_rules": line_rules,
     "op10_quality": quality,
+    "op11_url_cascade": url_cascade,
+    "op12_whitening": whitening,
+    "op13_zone_clusters": zone_clusters,
     "pipeline": corpus_pipeline.run,
 }
