@@ -17,16 +17,27 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--format", default="parquet", help="table format of the layers (default: parquet)")
     parser.add_argument("--no-csv", action="store_true", help="do not export the gold tables as CSV")
     parser.add_argument("--scada-lines", action="store_true", help="state events are JSON Lines, not an array")
+    parser.add_argument("--drop-bad-rows", action="store_true", help="keep unreadable records out of bronze")
+    parser.add_argument("--workers", type=int, default=4, help="tables written at the same time (default: 4)")
+    parser.add_argument("--resume", action="store_true", help="keep the tables that an earlier run finished")
     options = parser.parse_args(arguments)
 
     spark = build_session()
-    layout = Layout(options.raw_dir, options.base_dir, options.format, not options.no_csv, options.scada_lines)
-    report = run_layers(spark, layout).collect()
+    layout = Layout(
+        options.raw_dir,
+        options.base_dir,
+        options.format,
+        not options.no_csv,
+        options.scada_lines,
+        not options.drop_bad_rows,
+    )
+    report = run_layers(spark, layout, workers=options.workers, resume=options.resume).collect()
     clear_scratch(spark)
     for row in report:
         rows = "-" if row.rows is None else f"{row.rows:,}"
-        print(f"{row.stage:<8} {row.table:<24} {rows:>16} {row.seconds:>9.1f}s  {row.status}")
-    return 0 if all(row.status == "OK" for row in report) else 1
+        bad = f"{row.bad_rows:,} bad" if row.bad_rows else ""
+        print(f"{row.stage:<10} {row.table:<24} {rows:>16} {bad:>12} {row.seconds:>9.1f}s  {row.status}")
+    return 0 if all(row.status in ("OK", "KEPT") for row in report) else 1
 
 
 if __name__ == "__main__":

@@ -46,15 +46,13 @@ class SizeLimits:
 
     ``max_group_rows``  rows one task may walk in order for a single key
     ``max_slot_rows``   rows of one side that one task may compare with those of the other
-    ``chunk_rows``      target rows per chunk once a group is split
-    ``max_chunks``      most chunks to cut; beyond it chunks get longer, never dropped
+    ``chunk_rows``      target rows per chunk once a group is split; as many chunks as that takes
     ``broadcast_rows``  most rows (of a few narrow columns) sent to every executor
     """
 
     max_group_rows: int = 2_000_000
     max_slot_rows: int = 20_000
     chunk_rows: int = 1_000_000
-    max_chunks: int = 20_000
     broadcast_rows: int = 200_000
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,29 +15,59 @@ _PART = re.compile(r"'[^']*'|([A-Za-z])\1*|[^A-Za-z']")
 _DATE_PARTS = ("yyyy", "MM", "dd")
 _TIME_PARTS = ("HH", "mm", "ss")
 #: What may follow the seconds: a fraction and a zone.
-_SUFFIX = r"^(.*?:\d\d)(\.\d+)?(Z|[+-]\d\d:?\d\d)?$"
+_ZONE = r"(Z|[+-]\d\d:?\d\d)"
+_SUFFIX = rf"(\.\d+)?{_ZONE}?"
 
 
-def _positions(layout: str) -> tuple[str, dict[str, int]]:
-    """LIKE mask of a fixed-width layout (a pattern letter is one character) and where each part starts."""
-    mask, starts = "", {}
+def _positions(layout: str) -> tuple[str, str, dict[str, int]]:
+    """LIKE mask of a fixed-width layout (a pattern letter is one character), the same as a regular expression of
+    digits, and where each part starts.
+    """
+    mask, digits, starts = "", "", {}
     for part in (match.group() for match in _PART.finditer(layout)):
         if part.isalpha():
             starts[part] = len(mask) + 1
             mask += "_" * len(part)
+            digits += rf"\d{{{len(part)}}}"
         else:
             mask += part.strip("'")
-    return mask, starts
+            digits += re.escape(part.strip("'"))
+    return mask, digits, starts
+
 
+def _fixed(starts: Mapping[str, int]) -> bool:
+    """Whether the layout is made of numbers at fixed places, which are cut out and cast."""
+    return set(_DATE_PARTS) <= set(starts) <= {*_DATE_PARTS, *_TIME_PARTS, "SSSSSS"}
 
-def _read(value: Column, layout: str, zone: Column) -> Column:
-    """Timestamp, to the second, of a text that fits the mask of ``layout``; NULL if it is no valid one."""
-    mask, starts = _positions(layout)
-    if not set(_DATE_PARTS) <= set(starts) or set(starts) - {*_DATE_PARTS, *_TIME_PARTS, "SSSSSS"}:
+
+def _read(value: Column, layout: str, zone: Column | None = None) -> Column:
+    """Timestamp, to the second, of a text that begins with ``layout``; NULL if it is no valid one."""
+    mask, _, starts = _positions(layout)
+    if not _fixed(starts):
         return F.date_trunc("second", F.try_to_timestamp(F.substring(value, 1, len(mask)), F.lit(layout)))
     date = [F.substring(value, starts[part], len(part)) for part in _DATE_PARTS]
     time = [F.substring(value, starts[part], 2) if part in starts else F.lit("00") for part in _TIME_PARTS]
-    return F.concat(F.concat_ws("-", *date), F.lit(" "), F.concat_ws(":", *time), zone).try_cast("timestamp")
+    parts = [F.concat_ws("-", *date), F.lit(" "), F.concat_ws(":", *time)]
+    return F.concat(*parts, *([] if zone is None else [zone])).try_cast("timestamp")
+
+
+def _read_whole(value: Column, layout: str) -> Column:
+    """As ``_read`` for the layout, a fraction and a zone; NULL unless they are the whole text.
+
+    A text as long as the layout is read at fixed places, or cast as it is where the layout is ISO. Only a longer
+    one is searched for its zone.
+    """
+    mask, digits, starts = _positions(layout)
+    if not _fixed(starts):
+        return F.when(value.like(mask), _read(value, layout))
+    iso = mask in ("____-__-__T__:__:__", "____-__-__ __:__:__")
+    plain = value.try_cast("timestamp") if iso else _read(value, layout)
+    exact = F.length(value) == len(mask)
+    if not layout.endswith("ss"):
+        return F.when(exact & value.rlike(rf"^{digits}\z"), plain)
+    zone = F.regexp_extract(value, rf"{_ZONE}\z", 1)
+    whole = value.rlike(rf"^{digits}{_SUFFIX}\z")
+    return F.when(whole, F.when(exact, plain).otherwise(_read(value, layout, zone)))
 
 
 def parse_timestamp(
@@ -56,20 +86,11 @@ def parse_timestamp(
     successful one.
     """
     value = (F.col(text) if isinstance(text, str) else text).cast("string")
-    none = F.lit("")
     if prefix:
-        tries = [F.when(value.like(_positions(x)[0] + "%"), _read(value, x, none)) for x in formats]
-        return F.coalesce(*tries)
-    plain = F.regexp_extract(value, _SUFFIX, 1)
-    zone = F.regexp_replace(F.regexp_extract(value, _SUFFIX, 3), r"^([+-]\d\d)(\d\d)$", "$1:$2")
-    tries = []
-    for layout in formats:
-        seconds = layout.removesuffix(".SSSSSS")
-        if seconds.endswith("ss"):
-            tries.append(F.when(plain.like(_positions(seconds)[0]), _read(plain, seconds, zone)))
-        else:
-            tries.append(F.when(value.like(_positions(layout)[0]), _read(value, layout, none)))
-    return F.coalesce(*tries)
+        return F.coalesce(*(F.when(value.like(_positions(x)[0] + "%"), _read(value, x)) for x in formats))
+    # a layout with a fraction is the one without, which takes any fraction
+    layouts = dict.fromkeys(x.removesuffix(".SSSSSS") for x in formats)
+    return F.coalesce(*(_read_whole(value, layout) for layout in layouts))
 
 
 def date_label(day: Column | str) -> Column:

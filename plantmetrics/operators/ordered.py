@@ -3,10 +3,9 @@
 Two plans give the same rows:
 
 * ``window``: one task per group. Right while the largest group is known to be small.
-* ``chunked``: rows are range-partitioned on (group, order), so a partition gets about the same
-  number of rows whatever the skew, and a hot group spreads over many. The partition number is
-  written down as a chunk column; each (group, chunk) is walked on its own, and what one chunk hands
-  to the next travels through a table of one row per (group, chunk).
+* ``chunked``: hot groups are cut into even chunks of rows that follow each other. The chunk of a row follows
+  from counts (see ``cuts``), so rows move once, to the partition of their (group, chunk). Each chunk is walked on
+  its own, and what one hands to the next travels through a table of one row per (group, chunk).
 
 ``strategy="auto"`` counts the groups and picks. The order must be total within a group (end it with
 a unique column), otherwise neither plan is deterministic.
@@ -15,16 +14,15 @@ a unique column), otherwise neither plan is deterministic.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantmetrics.config import SizeLimits
+from plantmetrics.operators.cleaning import keep_first
+from plantmetrics.operators.cuts import CHUNK, Cut, cut_groups
 from plantmetrics.operators.sizing import GroupSizes, group_sizes
-from plantmetrics.sources.scratch import stage
-
-CHUNK = "_chunk"
 
 
 @dataclass(frozen=True)
@@ -50,7 +48,10 @@ class OrderedRows:
         ``summary`` aggregates one (group, chunk); ``carried`` combines these rows over the chunks
         of a group. The table in between has at most one row per group plus one per chunk.
         """
-        per_chunk = self.df.groupBy(*self.by, CHUNK).agg(*summary)
+        # A digest of all columns keeps both readers of the moved rows alike, so that Spark moves them once. It is
+        # never NULL; were the rows moved twice, the result would be the same.
+        whole = F.bit_xor(F.xxhash64(*self.df.columns)).alias("_whole")
+        per_chunk = self.df.groupBy(*self.by, CHUNK).agg(*summary, whole).where("_whole IS NOT NULL")
         keys = {name: f"_key_{i}" for i, name in enumerate((*self.by, CHUNK))}
         table = per_chunk.select(
             *[F.col(name).alias(key) for name, key in keys.items()],
@@ -81,10 +82,48 @@ def order_rows(
         sizes = sizes or group_sizes(df, by)
     if strategy == "window" or (strategy == "auto" and sizes.largest <= limits.max_group_rows):
         return OrderedRows(df, by, order, False, 0, limits)
-    chunks = max(1, min(limits.max_chunks, -(-sizes.rows // limits.chunk_rows)))
-    ranged = df.repartitionByRange(chunks, *by, *order).withColumn(CHUNK, F.spark_partition_id())
-    # Range bounds come from a sample, so they are fixed by writing the chunk numbers once.
-    return OrderedRows(stage(ranged, "chunks"), by, order, True, sizes.groups + chunks, limits)
+    return _chunked(df, cut_groups(df, by, order, sizes.rows, limits), by, order, sizes, limits)
+
+
+def _moved(df: DataFrame, keys: Sequence[str], rows: int, limits: SizeLimits) -> DataFrame:
+    """Rows in the partition of their keys; more partitions than configured if the counted rows call for it."""
+    wanted = -(-rows // limits.chunk_rows)
+    if wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(*keys)
+    return df.repartition(wanted, *keys)
+
+
+def _chunked(
+    df: DataFrame, cut: Cut, by: tuple[str, ...], order: tuple[str, ...], sizes: GroupSizes, limits: SizeLimits
+) -> OrderedRows:
+    moved = _moved(cut.apply(df), (*by, CHUNK), sizes.rows, limits)
+    return OrderedRows(moved, by, order, True, sizes.groups + cut.n_ranges, limits)
+
+
+def order_unique(
+    df: DataFrame,
+    by: Sequence[str],
+    keys: Sequence[str],
+    order: Sequence[str],
+    strategy: str = "auto",
+    limits: SizeLimits = SizeLimits(),
+) -> OrderedRows:
+    """``order_rows`` of the first row (by the last of ``order``) of each combination of ``by`` and ``keys``.
+
+    ``keys`` must decide the leading order column, so that copies are in one chunk: rows then move once, and
+    copies are dropped where they meet. Only where a single value of that column has too many rows for a chunk
+    are copies dropped before, map-side, and what is left is cut by the other order columns too.
+    """
+    by, order = tuple(by), tuple(order)
+    sizes = None if strategy == "window" else group_sizes(df, by)
+    if strategy == "window" or (strategy == "auto" and sizes.largest <= limits.max_group_rows):
+        moved = df.repartition(*by) if sizes is None else _moved(df, by, sizes.rows, limits)
+        return order_rows(keep_first(moved, [*by, *keys], order[-1:]), by, order, "window", limits)
+    cut = cut_groups(df, by, order, sizes.rows, limits, axes=1)
+    if cut.largest > 2 * limits.chunk_rows:
+        return order_rows(keep_first(df, [*by, *keys], order[-1:]), by, order, "chunked", limits, sizes)
+    rows = _chunked(df, cut, by, order, sizes, limits)
+    return replace(rows, df=keep_first(rows.df, [*by, CHUNK, *keys], order[-1:]))
 
 
 def forward_fill(rows: OrderedRows, fills: Mapping[str, Column | str]) -> DataFrame:
@@ -139,3 +178,12 @@ def running_total(rows: OrderedRows, source: str, name: str, total: str) -> Data
     }
     joined = rows.hand_over(walked, summary, carried)
     return joined.withColumn(name, F.col(name) + F.col("_before")).drop(CHUNK, "_before")
+
+
+def with_position(
+    df: DataFrame, order: Sequence[str], name: str = "position", limits: SizeLimits = SizeLimits()
+) -> DataFrame:
+    """``df`` plus each row's place, from 1, in a total order: it survives a write, which the order of rows doesn't."""
+    alike = df.withColumns({"_all": F.lit(0), "_one": F.lit(1)})
+    rows = order_rows(alike, ["_all"], order, "auto", limits)
+    return running_total(rows, "_one", name, "_rows").drop("_all", "_one", "_rows")

@@ -10,15 +10,13 @@ from plantmetrics.functions.numeric import any_true, hours_between, minutes_betw
 from plantmetrics.functions.timestamps import parse_timestamp
 from plantmetrics.operators.cleaning import (
     flag_anomalies,
-    keep_first,
     order_status,
     out_of_range,
     quality_label,
     was_null,
 )
 from plantmetrics.operators.joins import range_join
-from plantmetrics.operators.ordered import forward_fill, next_value, order_rows
-from plantmetrics.operators.sizing import GroupSizes, group_sizes
+from plantmetrics.operators.ordered import OrderedRows, forward_fill, next_value, order_unique
 
 MACHINE, ROW_ID = "machine_id", "_row_id"
 
@@ -33,33 +31,13 @@ def _parse(df: DataFrame, settings: Settings, **columns: str) -> DataFrame:
     )
 
 
-def _by_machine(df: DataFrame, sizes: GroupSizes | None, settings: Settings) -> DataFrame:
-    """Rows moved to their machine's partition; more partitions than configured if the counted rows call for it."""
-    wanted = -(-sizes.rows // settings.limits.chunk_rows) if sizes else 0
-    if wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        return df.repartition(MACHINE)
-    return df.repartition(min(wanted, settings.limits.max_chunks), MACHINE)
-
-
-def _clean_events(bronze: DataFrame, keys: tuple[str, ...], settings: Settings, strategy: str):
-    """Parse and deduplicate a machine feed, and order it per machine.
-
-    When no machine is hot, rows move to their machine's partition once and both the dedup and the
-    ordered step run there. Otherwise copies are dropped first, map-side, and the rest is cut in chunks.
-    """
+def _clean_events(bronze: DataFrame, keys: tuple[str, ...], settings: Settings, strategy: str) -> OrderedRows:
+    """Parse and deduplicate a machine feed, and order it per machine; rows move once."""
     if settings.dedup_on not in ("raw", "parsed"):
         raise ValueError(f"dedup_on must be 'raw' or 'parsed', not {settings.dedup_on!r}")
     instant = "timestamp" if settings.dedup_on == "raw" else "timestamp_clean"
-    sizes = None
-    if strategy != "window":
-        sizes = group_sizes(bronze, [MACHINE])
-        if strategy == "auto":
-            strategy = "window" if sizes.largest <= settings.limits.max_group_rows else "chunked"
     parsed = _parse(bronze, settings, timestamp_clean="timestamp")
-    if strategy == "window":
-        parsed = _by_machine(parsed, sizes, settings)
-    unique = keep_first(parsed, [MACHINE, instant, *keys], [ROW_ID])
-    return order_rows(unique, [MACHINE], ["timestamp_clean", ROW_ID], strategy, settings.limits, sizes)
+    return order_unique(parsed, [MACHINE], [instant, *keys], ["timestamp_clean", ROW_ID], strategy, settings.limits)
 
 
 def silver_sensors(bronze: DataFrame, settings: Settings = DEFAULTS, strategy: str = "auto") -> DataFrame:

@@ -57,4 +57,5 @@ STAGE_REPORT = _struct(
     rows=T.LongType(),
     seconds=T.DoubleType(),
     status=T.StringType(),
+    bad_rows=T.LongType(),
 )

@@ -6,12 +6,13 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "plantmetrics", master: str | None = None, **conf: str) -> SparkSession:
-    """A session in UTC with adaptive execution. Shuffle sizing is left to the cluster unless given."""
+    """A session in UTC with adaptive execution, whose concurrent jobs share the cores. Shuffle sizing is left to the cluster unless given."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

@@ -1,10 +1,13 @@
-from plantmetrics.sources.scratch import clear_scratch, scratch_path, stage
+from plantmetrics.sources.scratch import clear_scratch, scratch_path, scratch_scope, stage
 from plantmetrics.sources.tables import (
     export_csv,
     preview,
     read_csv,
+    read_days,
     read_json,
     read_table,
+    write_counted,
+    write_days,
     write_table,
 )
 
@@ -13,9 +16,13 @@ __all__ = [
     "export_csv",
     "preview",
     "read_csv",
+    "read_days",
     "read_json",
     "read_table",
     "scratch_path",
+    "scratch_scope",
     "stage",
+    "write_counted",
+    "write_days",
     "write_table",
 ]
