@@ -15,8 +15,7 @@ _PART = re.compile(r"'[^']*'|([A-Za-z])\1*|[^A-Za-z']")
 _DATE_PARTS = ("yyyy", "MM", "dd")
 _TIME_PARTS = ("HH", "mm", "ss")
 #: What may follow the seconds: a fraction and a zone.
-_ZONE = r"(Z|[+-]\d\d:?\d\d)"
-_SUFFIX = rf"(\.\d+)?{_ZONE}?"
+_SUFFIX = r"(\.\d+)?(Z|[+-]\d\d:?\d\d)?"
 
 
 def _positions(layout: str) -> tuple[str, str, dict[str, int]]:
@@ -40,34 +39,41 @@ def _fixed(starts: Mapping[str, int]) -> bool:
     return set(_DATE_PARTS) <= set(starts) <= {*_DATE_PARTS, *_TIME_PARTS, "SSSSSS"}
 
 
-def _read(value: Column, layout: str, zone: Column | None = None) -> Column:
+def _read(value: Column, layout: str) -> Column:
     """Timestamp, to the second, of a text that begins with ``layout``; NULL if it is no valid one."""
     mask, _, starts = _positions(layout)
     if not _fixed(starts):
         return F.date_trunc("second", F.try_to_timestamp(F.substring(value, 1, len(mask)), F.lit(layout)))
     date = [F.substring(value, starts[part], len(part)) for part in _DATE_PARTS]
     time = [F.substring(value, starts[part], 2) if part in starts else F.lit("00") for part in _TIME_PARTS]
-    parts = [F.concat_ws("-", *date), F.lit(" "), F.concat_ws(":", *time)]
-    return F.concat(*parts, *([] if zone is None else [zone])).try_cast("timestamp")
+    return F.concat(F.concat_ws("-", *date), F.lit(" "), F.concat_ws(":", *time)).try_cast("timestamp")
 
 
-def _read_whole(value: Column, layout: str) -> Column:
-    """As ``_read`` for the layout, a fraction and a zone; NULL unless they are the whole text.
+def _iso_text(value: Column, layout: str) -> tuple[str, Column]:
+    """(pattern of a whole text in a fixed layout, such a text in ISO order).
 
-    A text as long as the layout is read at fixed places, or cast as it is where the layout is ISO. Only a longer
-    one is searched for its zone.
+    What follows the seconds, a fraction and a zone, stays as it is.
     """
     mask, digits, starts = _positions(layout)
-    if not _fixed(starts):
-        return F.when(value.like(mask), _read(value, layout))
-    iso = mask in ("____-__-__T__:__:__", "____-__-__ __:__:__")
-    plain = value.try_cast("timestamp") if iso else _read(value, layout)
-    exact = F.length(value) == len(mask)
-    if not layout.endswith("ss"):
-        return F.when(exact & value.rlike(rf"^{digits}\z"), plain)
-    zone = F.regexp_extract(value, rf"{_ZONE}\z", 1)
-    whole = value.rlike(rf"^{digits}{_SUFFIX}\z")
-    return F.when(whole, F.when(exact, plain).otherwise(_read(value, layout, zone)))
+    pattern = rf"^{digits}{_SUFFIX if layout.endswith('ss') else ''}\z"
+    if mask in ("____-__-__T__:__:__", "____-__-__ __:__:__"):
+        return pattern, value
+    date = [F.substring(value, starts[part], len(part)) for part in _DATE_PARTS]
+    time = [F.substring(value, starts[part], 2) if part in starts else F.lit("00") for part in _TIME_PARTS]
+    rest = [F.substr(value, F.lit(len(mask) + 1))] if layout.endswith("ss") else []
+    joined = [date[0], F.lit("-"), date[1], F.lit("-"), date[2], F.lit(" ")]
+    return pattern, F.concat(*joined, time[0], F.lit(":"), time[1], F.lit(":"), time[2], *rest)
+
+
+def _read_whole(value: Column, layouts: Sequence[str]) -> Column:
+    """Timestamp, to the second, of a text that one of the fixed layouts fits whole: one pattern per layout tells
+    which, and one cast reads it.
+    """
+    text = F.lit(None).cast("string")
+    for layout in reversed(layouts):
+        pattern, iso = _iso_text(value, layout)
+        text = F.when(value.rlike(pattern), iso).otherwise(text)
+    return F.date_trunc("second", text.try_cast("timestamp"))
 
 
 def parse_timestamp(
@@ -89,8 +95,20 @@ def parse_timestamp(
     if prefix:
         return F.coalesce(*(F.when(value.like(_positions(x)[0] + "%"), _read(value, x)) for x in formats))
     # a layout with a fraction is the one without, which takes any fraction
-    layouts = dict.fromkeys(x.removesuffix(".SSSSSS") for x in formats)
-    return F.coalesce(*(_read_whole(value, layout) for layout in layouts))
+    left = list(dict.fromkeys(x.removesuffix(".SSSSSS") for x in formats))
+    tries = []
+    while left:
+        mask, _, starts = _positions(left[0])
+        if not _fixed(starts):
+            tries.append(F.when(value.like(mask), _read(value, left.pop(0))))
+            continue
+        # layouts of different shapes are told apart by their patterns; of one shape the later is tried if the earlier fails
+        together: dict[str, str] = {}
+        while left and _fixed(_positions(left[0])[2]) and _positions(left[0])[1] not in together:
+            layout = left.pop(0)
+            together[_positions(layout)[1]] = layout
+        tries.append(_read_whole(value, list(together.values())))
+    return F.coalesce(*tries)
 
 
 def date_label(day: Column | str) -> Column:

@@ -28,6 +28,10 @@ TEXTS = {
     "2024-01-31T11:04:39Z": (datetime(2024, 1, 31, 11, 4, 39), datetime(2024, 1, 31, 11, 4, 39)),
     "2024-01-31T11:04:39+02:00": (datetime(2024, 1, 31, 11, 4, 39), datetime(2024, 1, 31, 9, 4, 39)),
     "2024-01-31 11:04:39.5-0130": (datetime(2024, 1, 31, 11, 4, 39), datetime(2024, 1, 31, 12, 34, 39)),
+    "2024-01-31T11:04:39.66803312345678901": (datetime(2024, 1, 31, 11, 4, 39), datetime(2024, 1, 31, 11, 4, 39)),
+    "31/01/2024 23:55:10.25+02:00": (datetime(2024, 1, 31, 23, 55), datetime(2024, 1, 31, 21, 55, 10)),
+    "2024-01-31T11:04:39\n": (datetime(2024, 1, 31, 11, 4, 39), None),
+    "2024-01-31T11:04:3Z": (datetime(2024, 1, 31, 11, 4, 3), None),
     "2024-01-31T11:04:39garbage": (datetime(2024, 1, 31, 11, 4, 39), None),
     "31/01/2024 23:55Z": (datetime(2024, 1, 31, 23, 55), None),
     "2024-02-30T00:00:00": (None, None),
@@ -112,3 +116,16 @@ def test_stable_totals_do_not_depend_on_partitioning(spark):
     plain = df.agg(stable_sum("v", None).alias("s"), stable_avg("v", None).alias("a")).first()
     exact = results.pop()
     assert plain.s == pytest.approx(exact.s) and plain.a == pytest.approx(exact.a)
+
+
+def test_layouts_of_one_shape_are_tried_in_turn(spark):
+    df = spark.createDataFrame([("25/03/2024 10:00",), ("03/25/2024 10:00",), ("03/04/2024 10:00",)], "text string")
+    found = df.select(parse_timestamp("text", ["dd/MM/yyyy HH:mm", "MM/dd/yyyy HH:mm"])).collect()
+    assert [r[0] for r in found] == [datetime(2024, 3, 25, 10), datetime(2024, 3, 25, 10), datetime(2024, 4, 3, 10)]
+
+
+def test_a_text_is_matched_and_cast_but_never_searched(spark):
+    df = spark.createDataFrame([("2024-01-31T11:04:39",)], "text string").select(parse_timestamp("text").alias("ts"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == plan.count("regexp_replace") == 0
+    assert plan.count("RLIKE") <= 4 and plan.count("cast(") <= 1
