@@ -419,6 +419,7 @@ _SQL: dict[str, str] = {
     f"(SELECT {total('cout_total_eur')} AS cout_total, {total(_SHARE)} AS cout_preventif FROM costs)",
     "distribution_by_group": _QUARTILES,
     "distribution_by_group_chunked": _QUARTILES,
+    "distribution_by_group_selected": _QUARTILES,
     "histogram_by_group": "SELECT machine_id, CAST(floor(temperature_c / 5e0) AS BIGINT) AS bin, COUNT(*) AS n "
     "FROM plottable GROUP BY 1, 2",
     "sample_bounded": "SELECT * FROM points ORDER BY md5(concat(_row_id, '-', 42)), _row_id LIMIT 5000",
@@ -431,6 +432,9 @@ _SQL: dict[str, str] = {
     "AS objectif_mtbf FROM costs WHERE mtbf_heures IS NOT NULL",
     "parse_mixed_timestamps": 'SELECT _row_id, "timestamp", timestamp_clean FROM raw_sensors',
     "parse_mixed_timestamps_exact": 'SELECT _row_id, "timestamp", timestamp_exact AS timestamp_clean FROM raw_sensors',
+    "parse_mixed_timestamps_legacy": 'SELECT _row_id, "timestamp", CASE WHEN k >= 92 AND k < 98 '
+    "THEN date_trunc('minute', timestamp_clean) ELSE timestamp_clean END AS timestamp_clean "
+    'FROM raw_sensors JOIN (SELECT event_id, k FROM ev) ON event_id = _row_id // 2',
     "date_parts": "SELECT ordre_id, CAST(date_debut_clean AS DATE) AS jour, "
     "CAST(weekofyear(date_debut_clean) AS INTEGER) AS semaine, CAST(month(date_debut_clean) AS INTEGER) AS mois FROM mes",
     "date_format_label": "SELECT _row_id, strftime(timestamp_clean, '%Y-%m-%d') AS label, "
@@ -448,6 +452,27 @@ _SQL: dict[str, str] = {
     "bronze_scada": f"SELECT {_RAW_SCADA} FROM raw_scada",
     "bronze_mes": f"SELECT {_RAW_MES} FROM raw_mes",
     "bronze_maintenance": f"SELECT {_MAINTENANCE} FROM raw_maintenance",
+    "bronze_bad_rows": """SELECT 'sensors' AS source, COUNT(*) FILTER (bad) AS n_bad, COUNT(*) FILTER (bad) AS n_readable,
+      COUNT(*) FILTER (bad) AS n_texts, COUNT(*) FILTER (NOT bad) AS n_rows,
+      COUNT(*) FILTER (NOT bad) AS counted_rows, COUNT(*) FILTER (bad) AS counted_bad
+    FROM (SELECT *, _row_id % 50 = 1 AS bad FROM raw_sensors)
+    UNION ALL SELECT 'scada', COUNT(*) FILTER (bad), CAST(0 AS BIGINT), COUNT(*) FILTER (bad),
+      COUNT(*) FILTER (NOT bad), COUNT(*) FILTER (NOT bad), COUNT(*) FILTER (bad)
+    FROM (SELECT *, _row_id % 40 = 0 AS bad FROM raw_scada)""",
+    "bronze_keeps_bad_rows": """SELECT "timestamp", machine_id, CASE WHEN _row_id % 50 <> 1 THEN temperature_c END AS temperature_c,
+      CAST(NULL AS VARCHAR) AS event_id FROM raw_sensors
+    UNION ALL SELECT CASE WHEN _row_id % 40 <> 0 THEN "timestamp" END, CASE WHEN _row_id % 40 <> 0 THEN machine_id END, NULL,
+      CASE WHEN _row_id % 40 <> 0 THEN event_id END FROM raw_scada""",
+    "silver_days_rewritten": "SELECT event_id, CAST(timestamp_clean AS DATE) AS jour, etat, timestamp_clean FROM scada s "
+    "WHERE etat = 'ALARME' OR CAST(timestamp_clean AS DATE) < DATE '2024-01-10' OR CAST(timestamp_clean AS DATE) NOT IN "
+    "(SELECT CAST(timestamp_clean AS DATE) FROM scada WHERE etat = 'ALARME' AND timestamp_clean IS NOT NULL)",
+    "gold_kpis_of_two_days": "SELECT * FROM kpis WHERE date IN (DATE '2024-01-05', DATE '2024-01-06')",
+    "gold_kpis_bucketed": "SELECT * FROM kpis",
+    "charts_in_order": """SELECT 'sensor_series' AS chart, row_number() OVER (ORDER BY machine_id, date NULLS FIRST) AS position,
+      machine_id, date IS NULL AS unknown FROM kpis
+    UNION ALL SELECT 'oee_targets', row_number() OVER (ORDER BY machine_id, semaine NULLS FIRST), machine_id, semaine IS NULL FROM oee
+    UNION ALL SELECT 'mtbf_ranking', row_number() OVER (ORDER BY mtbf_heures, machine_id), machine_id, FALSE
+    FROM costs WHERE mtbf_heures IS NOT NULL""",
     "silver_sensors_from_part_files": f"SELECT {_SENSOR_COLUMNS.replace('_row_id, ', '')} FROM sensors",
     "medallion_gold_oee": "SELECT * FROM oee",
     "medallion_gold_kpis": "SELECT * FROM kpis",
@@ -469,6 +494,9 @@ _SQL: dict[str, str] = {
     "CAST(SUM(CASE WHEN ordre_statut = 'EN_RETARD' THEN 1 ELSE 0 END) AS BIGINT) AS nb_ordres_en_retard "
     "FROM mes GROUP BY 1, 2)",
     "medallion_run": " UNION ALL ".join(_rows(*stage) for stage in _STAGES),
+    # bronze and silver are whole when gold breaks
+    "medallion_resume": """SELECT stage, "table", "rows", CASE WHEN stage IN ('bronze', 'silver') THEN 'KEPT' ELSE 'OK' END AS status,
+      TRUE AS broke_before FROM (""" + " UNION ALL ".join(_rows(*stage) for stage in _STAGES) + ")",
 }
 
 ORACLE_SQL = {name: _with(sql) for name, sql in _SQL.items()}

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -419,6 +420,11 @@ def distribution_by_group_chunked(spark, sf):
     return dashboards.temperature_quartiles(tables.sensors(spark, sf), KPI, "chunked", SMALL_CHUNKS)
 
 
+@query
+def distribution_by_group_selected(spark, sf):
+    return dashboards.temperature_quartiles(tables.sensors(spark, sf), KPI, "selected")
+
+
 @query
 def histogram_by_group(spark, sf):
     return dashboards.temperature_histogram(tables.sensors(spark, sf), 5.0, KPI)
@@ -494,6 +500,14 @@ def parse_mixed_timestamps_exact(spark, sf):
     )
 
 
+@query
+def parse_mixed_timestamps_legacy(spark, sf):
+    """Any text that begins with a layout, to the minute where the shorter one is listed first."""
+    return tables.sensors(spark, sf).select(
+        "_row_id", "timestamp", timestamps.parse_timestamp("timestamp", prefix=True).alias("timestamp_clean")
+    )
+
+
 @query
 def date_parts(spark, sf):
     started = F.col("date_debut_clean")
@@ -547,6 +561,60 @@ def _bronze_values(spark, sf, table):
     return io.read_table(spark, path).select(*source.schema.names)
 
 
+def _with_bad_rows(spark, sf):
+    """The sensors feed and the state events as lines, each with records that can't be read as declared."""
+    folder = scratch.scratch_path(spark, "bad_rows")
+    sensors = tables.sensors(spark, sf)
+    spoilt = F.when(F.col("_row_id") % 50 == 1, F.lit("n.c.")).otherwise(F.col("temperature_c").cast("string"))
+    io.export_csv(sensors.withColumn("temperature_c", spoilt).drop("_row_id"), f"{folder}/sensors_data.csv")
+    events = tables.scada(spark, sf)
+    line = F.to_json(F.struct(*[c for c in events.columns if c != "_row_id"]))
+    cut = F.when(F.col("_row_id") % 40 == 0, F.expr("substring(line, 1, length(line) - 5)")).otherwise(F.col("line"))
+    events.withColumn("line", line).select(cut.alias("value")).write.text(f"{folder}/scada_logs.json")
+    return folder
+
+
+def _stored(spark, folder, keep_bad):
+    """(source, bronze table, bad records, counts) of both feeds."""
+    for source in bronze.sources(scada_lines=True)[:2]:
+        path, bad = (scratch.scratch_path(spark, f"{source.table}_{name}") for name in ("bronze", "bad"))
+        counts = bronze.store_feed(bronze.read_feed(spark, source, folder), path, bad, keep_bad=keep_bad)
+        yield source, io.read_table(spark, path), io.read_table(spark, bad), counts
+
+
+@query
+def bronze_bad_rows(spark, sf):
+    """Per feed the records that can't be read as declared: counted while writing, and as they are kept."""
+    parts, marks = [], {"sensors": ",n.c.,", "scada": '{"event_id":"EVT_'}
+    for source, kept, bad, counts in _stored(spark, _with_bad_rows(spark, sf), keep_bad=False):
+        found = bad.agg(
+            F.count(F.lit(1)).alias("n_bad"),
+            F.count("machine_id").alias("n_readable"),
+            F.count(F.when(F.col(io.BAD_RECORD).contains(marks[source.table]), 1)).alias("n_texts"),
+        )
+        bronze_rows = kept.agg(F.count(F.lit(1)).alias("n_rows"))
+        one = aggregates.side_by_side(found, bronze_rows)
+        parts.append(
+            one.withColumns(
+                {
+                    "source": F.lit(source.table),
+                    "counted_rows": F.lit(counts["rows"]).cast("long"),
+                    "counted_bad": F.lit(counts["bad"]).cast("long"),
+                }
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def bronze_keeps_bad_rows(spark, sf):
+    """Both feeds whole in bronze: what can't be read is NULL."""
+    stored = [kept for _, kept, _, _ in _stored(spark, _with_bad_rows(spark, sf), keep_bad=True)]
+    return stored[0].select("timestamp", "machine_id", "temperature_c", F.lit(None).cast("string").alias("event_id")).unionByName(
+        stored[1].select("timestamp", "machine_id", F.lit(None).cast("double").alias("temperature_c"), "event_id")
+    )
+
+
 @query
 def bronze_sensors(spark, sf):
     return _bronze_values(spark, sf, "sensors")
@@ -595,6 +663,42 @@ def silver_scada(spark, sf):
     return _scada(spark, sf)
 
 
+@query
+def silver_days_rewritten(spark, sf):
+    """Silver by day; the days from 10 January 2024 on are written again with their alarms only."""
+    path = scratch.scratch_path(spark, "silver_days")
+    states = scratch.stage(_scada(spark, sf), "states")
+    io.write_days(states, path, "timestamp_clean")
+    again = states.where("etat = 'ALARME' AND timestamp_clean >= TIMESTAMP '2024-01-10 00:00:00'")
+    io.write_days(again, path, "timestamp_clean")
+    return io.read_days(spark, path).select("event_id", "jour", "etat", "timestamp_clean")
+
+
+@query
+def gold_kpis_of_two_days(spark, sf):
+    """Gold from the files of two days alone."""
+    paths = [scratch.scratch_path(spark, f"days_{name}") for name in ("sensors", "scada")]
+    for path, frame in zip(paths, (_sensors(spark, sf), _scada(spark, sf))):
+        io.write_days(frame, path, "timestamp_clean")
+    sensors, states = (io.read_days(spark, path, date(2024, 1, 5), date(2024, 1, 6)) for path in paths)
+    return gold.gold_kpis_machines(sensors, states, KPI)
+
+
+def bucketed_silver(spark, sf, buckets=8):
+    """Sensors and states in buckets by machine."""
+    names = []
+    for name, frame in (("sensors", _sensors(spark, sf)), ("scada", _scada(spark, sf))):
+        path = scratch.scratch_path(spark, f"buckets_{name}")
+        names.append("t_" + path.rsplit("-", 1)[1])
+        io.write_bucketed(frame, names[-1], path, "machine_id", buckets)
+    return [spark.table(name) for name in names]
+
+
+@query
+def gold_kpis_bucketed(spark, sf):
+    return gold.gold_kpis_machines(*bucketed_silver(spark, sf), KPI)
+
+
 @query
 def silver_mes(spark, sf):
     return _mes(spark, sf)
@@ -652,6 +756,30 @@ def _all_layers(spark, sf):
     return layout, run.run_layers(spark, layout, SETTINGS)
 
 
+@query
+def medallion_resume(spark, sf):
+    """A run that breaks in gold, since a file is in the place of its folder, and is taken up again."""
+    layout = run.Layout(write_feeds(spark, sf), scratch.scratch_path(spark, "layers"))
+    blocked = f"{layout.base_dir}/gold"
+    io.write_marker(spark, blocked, "")
+    broken = run.run_layers(spark, layout, SETTINGS, workers=2).where("status LIKE 'FAILED%'").count()
+    io.delete_marker(spark, blocked)
+    report = run.run_layers(spark, layout, SETTINGS, workers=2, resume=True)
+    return report.select("stage", "table", "rows", "status", (F.lit(broken) > 0).alias("broke_before"))
+
+
+@query
+def charts_in_order(spark, sf):
+    """Positions of three charts' rows, read from the tables that a run wrote."""
+    layout, _ = _all_layers(spark, sf)
+    parts = []
+    for chart, label in (("sensor_series", "date"), ("oee_targets", "semaine"), ("mtbf_ranking", "mtbf_heures")):
+        rows = io.read_table(spark, layout.table("dashboards", chart))
+        place = F.col("position").cast("long").alias("position")
+        parts.append(rows.select(F.lit(chart).alias("chart"), place, "machine_id", F.col(label).isNull().alias("unknown")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def medallion_gold_oee(spark, sf):
     layout, _ = _all_layers(spark, sf)

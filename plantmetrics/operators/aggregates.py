@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantmetrics.config import SizeLimits
 from plantmetrics.functions.numeric import stable_avg
 from plantmetrics.operators.ordered import order_rows, running_total
 from plantmetrics.operators.sizing import group_sizes
+from plantmetrics.sources.scratch import stage
 
 
 def category_counts(df: DataFrame, category: str, name: str = "count") -> DataFrame:
@@ -69,12 +70,18 @@ def quantiles(
     strategy: str = "auto",
     limits: SizeLimits = SizeLimits(),
 ) -> DataFrame:
-    """Exact quantiles per group, interpolated linearly between neighbouring ranks.
+    """Exact quantiles per group, interpolated linearly between neighbouring ranks; NaN counts as the largest value.
 
-    Equal values are counted before any shuffle, so ranks are found on distinct values with a running
-    count; no group is collected and a hot one is walked in chunks.
+    Three plans give the same rows. ``window`` and ``chunked`` count equal values before any shuffle and find
+    ranks on distinct values with a running count, by group or in chunks. ``selected`` never sorts: see
+    ``selected_quantiles``. ``auto`` takes it where a group is hot, else ``window``.
     """
-    known = df.select(by, value).dropna(subset=[value])
+    known = df.select(by, value).where(F.col(value).isNotNull())  # dropna would take NaN too
+    if strategy == "auto":
+        hot = group_sizes(known, [by]).largest > limits.max_group_rows
+        strategy = "selected" if hot else "window"
+    if strategy == "selected":
+        return selected_quantiles(known, by, value, probabilities, limits)
     counted = known.groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
     # rows per group bound its distinct values and are counted before the shuffle
     sizes = None if strategy == "window" else group_sizes(known, [by])
@@ -90,7 +97,11 @@ def quantiles(
         position = (F.col("_rows") - 1) * F.lit(float(probability))
         cells.append(at_rank(F.floor(position)).alias(f"_low_{name}"))
         cells.append(at_rank(F.ceil(position)).alias(f"_high_{name}"))
-    found = ranked.groupBy(by).agg(*cells)
+    return _interpolated(ranked.groupBy(by).agg(*cells), by, probabilities)
+
+
+def _interpolated(found: DataFrame, by: str, probabilities: Mapping[str, float]) -> DataFrame:
+    """Quantiles from the values at the ranks below and above each (``_low_``, ``_high_``)."""
     columns = []
     for name, probability in probabilities.items():
         position = (F.col("n_values") - 1) * F.lit(float(probability))
@@ -100,6 +111,62 @@ def quantiles(
     return found.select(by, "n_values", *columns)
 
 
+#: Ranges that one pass of ``selected_quantiles`` counts per open range.
+_RANGES = 256
+
+
+def selected_quantiles(
+    df: DataFrame, by: str, value: str, probabilities: Mapping[str, float], limits: SizeLimits = SizeLimits()
+) -> DataFrame:
+    """``quantiles`` without sorting or moving the values, for groups of any size.
+
+    Each wanted rank is kept between two values. A pass over the table counts, map-side, the values in equal parts of
+    these ranges; each rank then lies in one part, whose least and greatest value are its next range, until both are
+    equal. So passes grow with the logarithm of the number of distinct values where they are spread evenly, and a
+    pass sends at most 256 rows per task and open range.
+    """
+    number = F.col(value).cast("double")
+    place = F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number)
+    bounded = F.greatest(F.lit(-1.7e308), F.least(F.lit(1.7e308), place))
+    rows = df.where(number.isNotNull()).select(F.col(by).alias("_by"), number.alias("_v"), bounded.alias("_p"))
+    span = [F.min("_p").alias("_from"), F.max("_p").alias("_to"), F.min("_v").alias("_value"), F.count(F.lit(1)).alias("_n")]
+    ends = [f((F.col("_n") - 1) * F.lit(float(p))) for p in probabilities.values() for f in (F.floor, F.ceil)]
+    groups = rows.groupBy("_by").agg(*span).withColumns({"n_values": F.col("_n"), "_skip": F.lit(0).cast("long")})
+    wanted = groups.withColumn("_rank", F.explode(F.array_distinct(F.array(*ends))))
+    done: list[DataFrame] = []
+    while True:
+        wanted = stage(wanted, "ranks")
+        settled = F.col("_from") == F.col("_to")
+        done.append(wanted.where(settled).select("_by", "n_values", "_rank", "_value"))
+        open_ranks = wanted.where(~settled)
+        n_open = open_ranks.count()
+        if not n_open:
+            break
+        ranges = open_ranks.select(F.col("_by").alias("_key"), "_from", "_to").distinct()
+        if n_open <= limits.broadcast_rows:
+            ranges = F.broadcast(ranges)
+        inside = F.col("_by").eqNullSafe(F.col("_key")) & F.col("_p").between(F.col("_from"), F.col("_to"))
+        low, high = F.col("_from") / 2, F.col("_to") / 2  # halves, as the whole span may be no double
+        part = F.least(F.lit(_RANGES - 1), F.floor((F.col("_p") / 2 - low) / (high - low) * _RANGES))
+        counted = rows.join(ranges, inside).groupBy("_by", F.col("_from").alias("_start"), part.alias("_part")).agg(*span)
+        so_far = Window.partitionBy("_by", "_start").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.withColumn("_before", F.coalesce(F.sum("_n").over(so_far), F.lit(0))).alias("c")
+        at = F.col("r._rank") - F.col("r._skip")
+        same = F.col("r._by").eqNullSafe(F.col("c._by")) & (F.col("r._from") == F.col("c._start"))
+        here = same & (at >= F.col("c._before")) & (at < F.col("c._before") + F.col("c._n"))
+        wanted = open_ranks.alias("r").join(counted, here).select(
+            "r._by", "c._from", "c._to", "c._value", "c._n", "r.n_values",
+            (F.col("r._skip") + F.col("c._before")).alias("_skip"), "r._rank",
+        )
+    cells = []
+    for name, probability in probabilities.items():
+        position = (F.col("n_values") - 1) * F.lit(float(probability))
+        for label, end in (("low", F.floor), ("high", F.ceil)):
+            cells.append(F.max(F.when(F.col("_rank") == end(position), F.col("_value"))).alias(f"_{label}_{name}"))
+    found = reduce(DataFrame.unionByName, done).groupBy(F.col("_by").alias(by), "n_values").agg(*cells)
+    return _interpolated(found, by, probabilities)
+
+
 def histogram(df: DataFrame, by: str, value: str, width: float, name: str = "n") -> DataFrame:
     """Counts per group and bin [k*width, (k+1)*width); ``bin`` is k."""
     bin_number = F.floor(F.col(value) / F.lit(width)).alias("bin")

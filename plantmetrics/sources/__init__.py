@@ -6,6 +6,7 @@ from plantmetrics.sources.tables import (
     read_days,
     read_json,
     read_table,
+    write_bucketed,
     write_counted,
     write_days,
     write_table,
@@ -22,6 +23,7 @@ __all__ = [
     "scratch_path",
     "scratch_scope",
     "stage",
+    "write_bucketed",
     "write_counted",
     "write_days",
     "write_table",

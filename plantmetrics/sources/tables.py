@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plantmetrics.config import SizeLimits
+from plantmetrics.operators.sizing import group_sizes
+
 BAD_RECORD = "_bad_record"
 _STRINGS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 #: Outside strings: what follows the end of an array or object where that isn't the end of the text.
@@ -72,13 +75,13 @@ def read_json(
     text, file = F.col("value"), F.col("_metadata.file_path")
     bare = F.regexp_replace(text, _STRINGS, "0")
     if lines:
-        rows = spark.read.text(path).where(text.rlike(r"\S"))
-        wrong = text.rlike(r"^\s*\[")
-        checked = F.when(wrong, F.raise_error(F.concat(file, F.lit(" is not JSON Lines")))).otherwise(text)
+        refused = F.raise_error(F.concat(file, F.lit(" is not JSON Lines"))).cast("boolean")
+        # in the filter, which is evaluated whatever columns are asked for
+        rows = spark.read.text(path).where(text.rlike(r"\S") & F.when(text.rlike(r"^\s*\["), refused).otherwise(True))
         # of several values on a line the parser would take the first
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name != bad_record]
         unread = F.struct(*nothing, *([text.alias(bad_record)] if bad_record else []))
-        parsed = F.when(bare.rlike(_MORE_VALUES), unread).otherwise(F.from_json(checked, schema, options))
+        parsed = F.when(bare.rlike(_MORE_VALUES), unread).otherwise(F.from_json(text, schema, options))
         return rows.select(parsed.alias("_row")).select("_row.*")
     files = spark.read.text(path, wholetext=True).where(text.rlike(r"\S"))
     wrong = ~text.rlike(r"^\s*\[") | bare.rlike(_MORE_VALUES)
@@ -121,6 +124,25 @@ def write_counted(
     return {name: found.get(name) or 0 for name in ("rows", *metrics)}
 
 
+def write_bucketed(
+    df: DataFrame, name: str, path: str, by: str, buckets: int, limits: SizeLimits = SizeLimits(), fmt: str = "parquet"
+) -> bool:
+    """Write a table of the catalog whose rows lie in ``buckets`` files by ``by``, so that grouping and joining on it
+    need no shuffle later; whether it was done.
+
+    A bucket is read by one task. So a table in which one value has more than ``max_group_rows`` rows is written
+    plainly, and its readers spread it by shuffling what they have combined. Joins on ``by`` and further columns
+    make use of buckets where ``spark.sql.requireAllClusterKeysForCoPartition`` is false.
+    """
+    even = group_sizes(df, [by]).largest <= limits.max_group_rows
+    writer = df.repartition(buckets, by).write if even else df.write
+    writer = writer.format(fmt).mode("overwrite").option("path", path)
+    if even:
+        writer = writer.bucketBy(buckets, by).sortBy(by)
+    writer.saveAsTable(name)
+    return even
+
+
 def write_days(df: DataFrame, path: str, timestamp: str, day: str = "jour", fmt: str = "parquet") -> None:
     """Replace those days of the table at ``path`` that ``df`` has rows of, and leave its other days as they are.
 

@@ -64,3 +64,25 @@ def test_counts_and_means(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 2.0), ("b", 3.0)], "g string, v double")
     assert [tuple(r) for r in aggregates.category_counts(df, "g").collect()] == [("a", 1), ("b", 2)]
     assert sorted(map(tuple, aggregates.group_means(df, "g", ["v"]).collect())) == [("a", 2.0), ("b", 2.0)]
+
+
+def test_selected_quantiles_equal_sorted_ones(spark, same_rows):
+    i = F.col("id")
+    crowded = F.when(i % 3 == 0, 5.0).when(i % 101 == 1, float("inf")).when(i % 103 == 1, float("nan")).when(i % 107 == 1, -1e300)
+    df = spark.range(3000, numPartitions=4).select(
+        F.when(i % 2 == 0, "hot").when(i % 31 == 0, None).otherwise(F.concat(F.lit("m"), i % 200)).alias("m"),
+        F.when(i % 9 != 1, crowded.otherwise(F.exp((i % 500).cast("double") / 20))).alias("v"),
+    )
+    wanted = {"low": 0.0, "q1": 0.25, "median": 0.5, "top": 1.0}
+
+    def found(strategy, limits=SizeLimits()):
+        frame = aggregates.quantiles(df, "m", "v", wanted, strategy, limits)
+        # infinite neighbours give NaN in both plans
+        return frame.select("m", "n_values", *(F.col(c).cast("string").alias(c) for c in wanted))
+
+    same_rows(found("window"), found("selected"))
+    same_rows(found("window"), found("selected", SizeLimits(broadcast_rows=0)))
+    same_rows(found("window"), found("auto", SizeLimits(max_group_rows=10)))
+    plan = aggregates.quantiles(df, "m", "v", wanted, "selected")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Window" not in plan
+    assert aggregates.quantiles(df.limit(0), "m", "v", wanted, "selected").count() == 0

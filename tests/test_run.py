@@ -59,3 +59,24 @@ def test_command_line(spark, raw_dir, tmp_path, capsys):
     assert len(printed) == 26 and all(line.endswith("OK") for line in printed)
     assert not os.path.exists(tmp_path / "out" / "gold" / "csv")
     assert main([str(tmp_path / "nothing"), str(tmp_path / "out2")]) == 1
+
+
+def test_a_broken_run_is_taken_up(spark, raw_dir, tmp_path):
+    layout, settings = Layout(raw_dir, str(tmp_path)), replace(DEFAULTS, kpi=KpiSettings(sum_scale=6))
+    (tmp_path / "dashboards").write_text("in the way")
+    broken = {r.table: r.status for r in run_layers(spark, layout, settings, workers=3).collect()}
+    assert any(status.startswith("FAILED") for status in broken.values()) and "run_summary" not in broken
+    whole = {table for table, status in broken.items() if status == "OK"}
+    assert "gold_kpis_machines" in whole
+    (tmp_path / "dashboards").unlink()
+    again = {r.table: r for r in run_layers(spark, layout, settings, workers=3, resume=True).collect()}
+    assert len(again) == 26
+    assert {table for table, row in again.items() if row.status == "KEPT"} == whole
+    assert {row.status for table, row in again.items() if table not in whole} == {"OK"}
+    assert again["sensors"].rows == tables.sensors(spark, SF).count() and again["sensors"].bad_rows == 0
+    placed = read_table(spark, layout.table("dashboards", "oee_targets")).orderBy("position").collect()
+    assert [r.position for r in placed] == list(range(1, len(placed) + 1))
+    assert [(r.machine_id, r.semaine or 0) for r in placed] == sorted((r.machine_id, r.semaine or 0) for r in placed)
+    # another setting, or another feed, makes anew what depends on it
+    changed = replace(settings, kpi=replace(settings.kpi, oee_target_pct=50.0))
+    assert {r.status for r in run_layers(spark, layout, changed, workers=3, resume=True).collect()} == {"OK"}

@@ -1,10 +1,12 @@
 import json
 import os
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from plantmetrics import schemas
+from plantmetrics.config import SizeLimits
 from plantmetrics.operators.cleaning import keep_first
 from plantmetrics.plans import bronze
 from plantmetrics.sources import (
@@ -12,12 +14,18 @@ from plantmetrics.sources import (
     export_csv,
     preview,
     read_csv,
+    read_days,
     read_json,
     read_table,
     scratch_path,
+    scratch_scope,
     stage,
+    write_bucketed,
+    write_counted,
+    write_days,
     write_table,
 )
+from plantmetrics.sources.tables import BAD_RECORD
 
 
 def test_csv_with_declared_types_keeps_bad_rows(spark, tmp_path):
@@ -48,8 +56,132 @@ def test_json_of_the_other_form_is_an_error(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"event_id": "E1"},\n {"event_id": "E2"}]')
     (tmp_path / "l.json").write_text('{"event_id": "E1"}\n{"event_id": "E2"}\n')
     for name, lines in (("a.json", True), ("l.json", False)):
-        with pytest.raises(ValueError, match=name):
-            read_json(spark, str(tmp_path / name), schemas.SCADA, lines=lines)
+        with pytest.raises(Exception, match=name):
+            read_json(spark, str(tmp_path / name), schemas.SCADA, lines=lines).count()
+
+
+def test_json_array_with_more_behind_it_is_an_error(spark, tmp_path):
+    whole = '[{"event_id": "E1", "description": "a ] [ b \\" ] {"}, {"event_id": "E2", "etat": "]"}]'
+    broken = {
+        "two": whole + '\n[{"event_id": "E3"}]',
+        "object": whole + '{"event_id": "E3"}',
+        "word": whole + " x",
+        "cut": whole[:-8],
+        "plain": "[1, 2]",
+    }
+    for name, text in {"whole": whole, "spaced": f"\n {whole} \n", "empty": "[]", "blank": " \n"}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+        assert read_json(spark, str(tmp_path / f"{name}.json"), schemas.SCADA).count() == (2 if whole in text else 0)
+    for name, text in broken.items():
+        (tmp_path / f"{name}.json").write_text(text)
+        with pytest.raises(Exception, match=f"{name}.json"):
+            read_json(spark, str(tmp_path / f"{name}.json"), schemas.SCADA).collect()
+
+
+def test_bad_lines_are_rows_with_their_text(spark, tmp_path):
+    good, two = '{"event_id": "E1", "etat": "a} b"}', '{"event_id": "E2"} {"event_id": "E3"}'
+    (tmp_path / "l.json").write_text(f'{good}\n\n{good[:-3]}\n{two}\nhello\n')
+    rows = read_json(spark, str(tmp_path / "l.json"), schemas.SCADA, lines=True, bad_record="bad").collect()
+    assert [(r.event_id, r.bad) for r in rows][:1] == [("E1", None)] and len(rows) == 4
+    assert [r.bad for r in rows[1:]] == [good[:-3], two, "hello"]
+    assert read_json(spark, str(tmp_path / "l.json"), schemas.SCADA, lines=True).count() == 4
+
+
+HEADER = "timestamp,machine_id,temperature_c,vibration_mms,pression_bar,courant_a,statut_capteur\n"
+
+
+def test_bad_csv_records_are_kept_and_counted(spark, tmp_path):
+    lines = ["2024-01-01T00:00:00,M1,1.5,1,2,3,OK", "2024-01-01T00:00:01,M1,oops,1,2,3,OK", "2024-01-01T00:00:02,M2,1", "x,M3,1,1,1,1,OK,9"]
+    (tmp_path / "sensors_data.csv").write_text(HEADER + "\n".join(lines) + "\n")
+    feed = bronze.read_feed(spark, bronze.SOURCES[0], str(tmp_path))
+    for keep, n in ((True, 4), (False, 1)):
+        path, bad = str(tmp_path / f"b{keep}"), str(tmp_path / f"bad{keep}")
+        assert bronze.store_feed(feed, path, bad, keep_bad=keep) == {"rows": n, "bad": 3}
+        assert BAD_RECORD not in read_table(spark, path).columns and read_table(spark, path).count() == n
+        kept = {r._bad_record: (r.machine_id, r.temperature_c) for r in read_table(spark, bad).collect()}
+        assert kept == {lines[1]: ("M1", None), lines[2]: ("M2", 1.0), lines[3]: ("M3", 1.0)}
+    (tmp_path / "sensors_data.csv").write_text(HEADER + lines[0] + "\n")
+    again = bronze.store_feed(bronze.read_feed(spark, bronze.SOURCES[0], str(tmp_path)), path, bad)
+    assert again == {"rows": 1, "bad": 0} and read_table(spark, bad).count() == 0
+
+
+def test_feed_is_scanned_once(spark, tmp_path):
+    (tmp_path / "sensors_data.csv").write_text(HEADER + "2024-01-01T00:00:00,M1,1.5,1,2,3,OK\n")
+    (tmp_path / "scada_logs.json").write_text('[{"event_id": "E1"}]')
+    for source in bronze.SOURCES[:2]:
+        plan = bronze.ingest(spark, source, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Window" not in plan and "hashpartitioning" not in plan
+
+
+def test_row_ids_follow_files_and_pieces(spark, tmp_path):
+    """Pieces of some 40 KB, read in any order."""
+    folder = tmp_path / "sensors_data.csv"
+    folder.mkdir()
+    for k, n in enumerate((10, 4000, 0, 2500)):
+        (folder / f"part-{k}.csv").write_text(HEADER + "".join(f"t{k}-{i:05},M1,1,1,1,1,OK\n" for i in range(n)))
+    sizes = {"spark.sql.files.maxPartitionBytes": "40k", "spark.sql.files.openCostInBytes": "8k"}
+    try:
+        for key, value in sizes.items():
+            spark.conf.set(key, value)
+        rows = bronze.ingest(spark, bronze.SOURCES[0], str(tmp_path)).select("_row_id", "timestamp").collect()
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    assert len({r._row_id for r in rows}) == len(rows) == 6510
+    assert [r.timestamp for r in sorted(rows)] == sorted(r.timestamp for r in rows)
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+    df = spark.range(100, numPartitions=4).toDF("n").withColumn("odd", F.col("n") % 2)
+    spark.sparkContext.setJobGroup("counted", "")
+    found = write_counted(df, str(tmp_path / "t"), without="odd", odd=F.sum("odd"))
+    spark.sparkContext.setJobGroup("other", "")
+    assert found == {"rows": 100, "odd": 50} and read_table(spark, str(tmp_path / "t")).columns == ["n"]
+    assert len(tracker.getJobIdsForGroup("counted")) == 1
+    assert write_counted(df.limit(0), str(tmp_path / "e"), odd=F.sum("odd")) == {"rows": 0, "odd": 0}
+
+
+def test_days_are_replaced_and_pruned(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = spark.createDataFrame(
+        [(datetime(2024, 1, d, 5), d) for d in range(1, 6)] + [(None, 9)], "timestamp_clean timestamp, v int"
+    )
+    write_days(rows, path, "timestamp_clean")
+    write_days(rows.where("v IN (2, 9)").withColumn("v", F.col("v") * 100), path, "timestamp_clean")
+    assert sorted(r.v for r in read_days(spark, path).collect()) == [1, 3, 4, 5, 200, 900]
+    some = read_days(spark, path, date(2024, 1, 2), date(2024, 1, 3))
+    assert sorted(r.v for r in some.collect()) == [3, 200]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(jour" in plan and "PushedFilters: []" in plan
+
+
+def test_buckets_spare_the_shuffle_unless_a_machine_is_hot(spark, tmp_path, same_rows):
+    rows = spark.range(400).select((F.col("id") % 13).alias("machine_id"), (F.col("id") % 7).alias("d"), F.col("id").alias("v"))
+    for side in ("a", "b"):
+        assert write_bucketed(rows, f"even_{side}", str(tmp_path / side), "machine_id", 4)
+    assert not write_bucketed(rows, "hot_a", str(tmp_path / "h"), "machine_id", 4, SizeLimits(max_group_rows=20))
+    parts = [spark.table(f"even_{s}").groupBy("machine_id", "d").agg(F.sum("v").alias(s)) for s in ("a", "b")]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        joined = parts[0].join(parts[1], ["machine_id", "d"], "left")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        plain = [rows.groupBy("machine_id", "d").agg(F.sum("v").alias(s)) for s in ("a", "b")]
+        same_rows(plain[0].join(plain[1], ["machine_id", "d"], "left"), joined)
+        same_rows(rows, spark.table("hot_a"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in ("even_a", "even_b", "hot_a"):
+            spark.sql(f"DROP TABLE {name}")
+
+
+def test_scopes_delete_only_what_they_staged(spark):
+    outer = stage(spark.range(2).toDF("n"), "outer")
+    with scratch_scope(spark):
+        inner = scratch_path(spark, "inner")
+        spark.range(1).write.parquet(inner)
+    assert not os.path.exists(inner) and outer.count() == 2
 
 
 def test_csv_columns_are_found_by_name(spark, tmp_path):
