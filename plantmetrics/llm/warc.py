@@ -109,36 +109,48 @@ def _open(path: str):
 
 
 class _Inflated:
-    """Bytes of a gzip file, of one or several members, as a stream of bounded memory."""
+    """Bytes of a gzip file, of one or several members, as a stream of bounded memory.
+
+    A file that ends before its last member does (or before that member's trailer) is an error.
+    """
 
     def __init__(self, raw):
-        self.raw, self.inflater, self.ready = raw, zlib.decompressobj(31), b""
-        self.waiting = b""
+        self.raw, self.inflater = raw, zlib.decompressobj(31)
+        self.waiting, self.begun = b"", False
+        self.ready, self.at = b"", 0  # what is inflated, and how much of it is taken
 
     def _more(self) -> bool:
         data = self.waiting or self.raw.read(PIECE)
         if not data:
+            if self.begun and not self.inflater.eof:
+                raise ValueError("archive ends inside a gzip member")
             return False
         if self.inflater.eof:
             self.inflater = zlib.decompressobj(31)
-        self.ready += self.inflater.decompress(data, PIECE)
+        self.begun = True
+        self.ready = self.ready[self.at :] + self.inflater.decompress(data, PIECE)
+        self.at = 0
         self.waiting = self.inflater.unconsumed_tail or self.inflater.unused_data
         return True
 
     def line(self) -> bytes:
         """Up to and with the next line feed; empty at the end."""
-        while (at := self.ready.find(b"\n")) < 0:
+        searched = self.at
+        while (end := self.ready.find(b"\n", searched)) < 0:
+            searched = len(self.ready) - self.at
             if not self._more():
-                at = len(self.ready) - 1
+                end = len(self.ready) - 1
                 break
-        found, self.ready = self.ready[: at + 1], self.ready[at + 1 :]
+        found = self.ready[self.at : end + 1]
+        self.at = end + 1
         return found
 
     def pieces(self, size: int) -> Iterator[bytes]:
         while size:
-            if not self.ready and not self._more():
+            if self.at == len(self.ready) and not self._more():
                 raise ValueError("archive ends inside a record")
-            piece, self.ready = self.ready[:size], self.ready[size:]
+            piece = self.ready[self.at : self.at + size]
+            self.at += len(piece)
             size -= len(piece)
             if piece:
                 yield piece

@@ -2,7 +2,9 @@ import base64
 import gzip
 import hashlib
 import os
+import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from plantmetrics.llm.warc import (
@@ -50,5 +52,29 @@ def test_members_and_index(spark, tmp_path):
     assert {r.record_type for r in read_records(read_index(spark, f"file://{tmp_path}/out")).collect()} == {"response"}
 
 
+def test_cut_archives_are_errors(spark, tmp_path):
+    """Cut where a record ends, inside one, and before the trailer; empty files and whole members are archives."""
+    pages = spark.createDataFrame([(k, f"http://h/{k}", f"<p>{k * 7919}</p>" * 30) for k in range(50)], PAGES)
+    write_archives(page_records(pages).coalesce(1), f"file://{tmp_path}/raw")
+    (raw,) = [f for f in os.listdir(tmp_path / "raw") if f.endswith(".gz")]
+    whole = gzip.open(tmp_path / "raw" / raw).read()
+    records = [b"WARC/1.1" + part for part in whole.split(b"WARC/1.1")[1:]]
+    packed = gzip.compress(whole, mtime=0)
+    deflater = zlib.compressobj(6, zlib.DEFLATED, 31)
+    at_record_end = deflater.compress(b"".join(records[:31])) + deflater.flush(zlib.Z_SYNC_FLUSH)
+    members = b"".join(gzip.compress(r) for r in records)
+    cases = {"end": at_record_end, "inside": packed[: len(packed) // 2], "trailer": packed[:-8], "short": packed[:-1]}
+    cases |= {"member": members[:-3], "whole": packed, "members": members, "nothing": gzip.compress(b""), "empty": b""}
+    for name, data in cases.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.gz").write_bytes(data)
+        if name in ("end", "inside", "trailer", "short", "member"):
+            with pytest.raises(Exception, match="archive ends inside"):
+                normalise_archives(spark, f"file://{tmp_path}/{name}", f"file://{tmp_path}/{name}-out")
+        else:
+            done = normalise_archives(spark, f"file://{tmp_path}/{name}", f"file://{tmp_path}/{name}-out").collect()
+            assert sum(r.records for r in done) == (50 if name in ("whole", "members") else 0)
+
+
 def test_empty_table(spark):
     assert archive_pages(spark.createDataFrame([], PAGES)).count() == 0
