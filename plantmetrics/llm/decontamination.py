@@ -7,8 +7,9 @@ and the other way round. So a verbatim copy is found, and a question with its pa
 side by side. Windows of the words themselves are joined as well: they find verbatim copies in any case, also of
 items that are little but slots, in lower or upper case, and behind any character.
 
-A table of bits made from the benchmark's windows, of fixed size, lets tasks pass over windows that no item
-has; what remains is decided by the join.
+Windows are made only where a document has a run of tokens that are all known to the benchmark, long enough for a
+window: no other can match. Tables of bits of fixed size, made from the benchmark's tokens and windows, let tasks
+pass over the rest; what remains is decided by the join.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from plantmetrics.llm.arrow import map_columns, record_batch
+from plantmetrics.llm.names import digests, unused
 from plantmetrics.sources import stage
 
 # Readings of a text: templates with first words as words or as names, and the words themselves, whose windows
@@ -49,17 +51,20 @@ UNITS = set(
 
 @dataclass(frozen=True)
 class LeakSettings:
-    #: Tokens in a window. Items with fewer are one window by themselves, if they have ``min_item`` at least.
+    #: Tokens in a window. Items with fewer are one window by themselves.
     window: int = 8
-    min_item: int = 5
+    #: Items of fewer tokens are looked for word for word only: a template of few tokens fits too much.
+    min_template: int = 5
     #: Tokens of a window that are no slots, at least, in percent.
     min_literal_percent: int = 60
     #: Windows of an item that a document must hold, in percent.
     min_percent: int = 50
     #: Tokens that an occurrence may have more or fewer than the item, up to any place in it.
     max_shift: int = 32
-    #: Bits in the table that spares documents' windows the join.
+    #: Bits in each of the tables that spare documents' tokens and windows the work.
     bits: int = 1 << 22
+    #: Spellings whose answer a task remembers.
+    remembered: int = 100_000
 
 
 def template(text: str | None) -> tuple[list[str], list[str | None]]:
@@ -71,24 +76,36 @@ def template(text: str | None) -> tuple[list[str], list[str | None]]:
     return tokens, values
 
 
-def _read(text: str | None) -> tuple[list[str], list[str | None], list[str], list[int]]:
+def _is_number(word: str, low: str) -> bool:
+    return word[0].isdigit() or low in NUMBERS
+
+
+def _is_name(word: str) -> bool:
+    return len(word) > 1 and word[0].isupper() and word[1:].islower()
+
+
+def _read(text: str | list[str] | None, begins: bool = True, after_number: bool = False):
     """``template``, all words in lower case, and the places of capitalised words that begin something: these
     may be names or not.
+
+    ``text`` may be a stretch of a text's ``TOKEN`` matches; then ``begins`` and ``after_number`` say whether a
+    sentence begins there and whether the token before it is a number.
     """
-    tokens, values, words, either, begins = [], [], [], [], True
-    for word in TOKEN.findall(text or ""):
+    tokens, values, words, either = [], [], [], []
+    for word in text if isinstance(text, list) else TOKEN.findall(text or ""):
         if word[0] in ".!?\n":
             begins = True
             continue
         low = word.lower()
         words.append(low)
-        if word[0].isdigit() or low in NUMBERS:
+        number = _is_number(word, low)
+        if number:
             tokens.append("<number>")
             values.append(low)
-        elif low in UNITS and ((tokens and tokens[-1] == "<number>") or not low.isalpha()):
+        elif low in UNITS and (after_number or not low.isalpha()):
             tokens.append("<unit>")
             values.append(low)
-        elif len(word) > 1 and word[0].isupper() and word[1:].islower():
+        elif _is_name(word):
             if begins:
                 either.append(len(tokens))
             tokens.append(low if begins else "<name>")
@@ -96,17 +113,67 @@ def _read(text: str | None) -> tuple[list[str], list[str | None], list[str], lis
         else:
             tokens.append(low)
             values.append(None)
-        begins = False
+        begins, after_number = False, number
     return tokens, values, words, either
 
 
-def windows(text: str | None, lengths, settings: LeakSettings) -> list[tuple[np.ndarray, np.ndarray, int, list, int]]:
-    """(hashes, positions, length, slot values, kind of reading) of the windows of a text, for each of ``lengths`` and reading.
+class KnownTokens:
+    """Which spellings can be a token of a benchmark window, in any reading: a table of bits by token.
+
+    The answer for a spelling doesn't depend on where it stands, so it may be yes where no reading has it.
+    """
+
+    def __init__(self, table: np.ndarray, remembered: int):
+        self.table, self.limit, self.seen = table, remembered, {}
+
+    def _has(self, token: str) -> bool:
+        return bool(self.table[xxhash.xxh3_64_intdigest(token) % len(self.table)])
+
+    def __call__(self, word: str) -> bool:
+        known = self.seen.get(word)
+        if known is None:
+            low = word.lower()
+            known = self._has(low) or (_is_number(word, low) and self._has("<number>"))
+            known = known or (low in UNITS and self._has("<unit>")) or (_is_name(word) and self._has("<name>"))
+            if len(self.seen) >= self.limit:
+                self.seen.clear()
+            self.seen[word] = known
+        return known
+
+    def runs(self, text: str | None, least: int) -> Iterator[tuple[int, list[str], bool, bool]]:
+        """The runs of at least ``least`` known tokens: place of the first, the matches, and what ``_read`` asks."""
+        every = TOKEN.findall(text or "")
+        start, count, place = None, 0, 0
+        begins, number = True, False
+        for k, word in enumerate(every):
+            if word[0] in ".!?\n":
+                if start is None:
+                    begins = True
+                continue
+            if self(word):
+                if start is None:
+                    start, count, state = k, 0, (begins, number)
+                count += 1
+            else:
+                if start is not None and count >= least:
+                    yield place - count, every[start:k], *state
+                start, begins = None, False
+                number = _is_number(word, word.lower())
+            place += 1
+        if start is not None and count >= least:
+            yield place - count, every[start:], *state
+
+
+def windows(
+    text: str | list[str] | None, lengths, settings: LeakSettings, begins: bool = True, after_number: bool = False
+) -> list[tuple[np.ndarray, np.ndarray, int, list, int]]:
+    """(hashes, positions, length, slot values, kind of reading) of the windows of a text (or of a stretch of one, see
+    ``_read``), for each of ``lengths`` and reading.
 
     Templates need enough literals, and are read with the first words of sentences as words and, where that makes
     a difference, as names. Windows of the words themselves, which have no slots, need none.
     """
-    tokens, values, words, either = _read(text)
+    tokens, values, words, either = _read(text, begins, after_number)
     digest = xxhash.xxh3_64_intdigest
     plain = np.fromiter(map(digest, tokens), np.uint64, len(tokens))
     named, names = plain, values
@@ -156,8 +223,8 @@ def benchmark_windows(benchmark: DataFrame, settings: LeakSettings) -> DataFrame
     """``(window, item_id, exact, named, item_at, item_slots, length, n_windows)``: the windows of each item text as
     templates and, where ``exact``, word for word; ``n_windows`` are the places of that kind.
 
-    Null ids and texts, and items of fewer than ``min_item`` tokens, have no windows. Rows that share an id are
-    read as one item with the windows of all.
+    Null ids and texts have no windows, items of fewer than ``min_template`` tokens only one of their words. Rows that
+    share an id are read as one item with the windows of all.
     """
     kind = StructType.fromDDL(
         "window long, item_id long, exact boolean, named boolean, item_at int, item_slots array<string>, length int"
@@ -169,9 +236,11 @@ def benchmark_windows(benchmark: DataFrame, settings: LeakSettings) -> DataFrame
             columns = [[] for _ in kind]
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 size = min(settings.window, len(template(text)[0]))
-                if key is None or size < settings.min_item:
+                if key is None or not size:
                     continue
                 for hashes, positions, length, values, reading in windows(text, [size], settings):
+                    if size < settings.min_template and reading != EXACT:
+                        continue
                     for window, at in zip(hashes.view(np.int64).tolist(), positions.tolist(), strict=True):
                         own = [value for value in values[at : at + length] if value is not None]
                         row = (window, key, reading == EXACT, reading == NAMED, at, own, length)
@@ -222,68 +291,100 @@ def _consistent(hits) -> int:
     return len({hit[0] for hit in hits if torn[0].isdisjoint(hit[2]) and torn[1].isdisjoint(hit[3])})
 
 
+def known_tokens(benchmark: DataFrame, settings: LeakSettings) -> np.ndarray:
+    """The table of bits of all tokens of the benchmark: its words, templates, and the type <name> where a word may be one."""
+    kind = StructType.fromDDL("bit long")
+    arrow = to_arrow_schema(kind)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = set()
+            for text in batch.column(0).to_pylist():
+                tokens, _, words, either = _read(text)
+                found.update(tokens, words, ["<name>"] if either else [])
+            yield record_batch([[xxhash.xxh3_64_intdigest(token) % settings.bits for token in found]], arrow)
+
+    return _bits(benchmark.select("text").mapInArrow(read, kind).distinct(), settings)
+
+
+def _bits(marked: DataFrame, settings: LeakSettings) -> np.ndarray:
+    """A table of ``bits`` from the numbers in ``bit``: that many rows at most reach the driver."""
+    table = np.zeros(settings.bits, bool)
+    table[marked.toPandas()["bit"].to_numpy(np.int64)] = True
+    return table
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = LeakSettings()) -> DataFrame:
-    """``(name, item_id, percent)``: documents (named by a hash of doc_id and text) that hold an item."""
+    """``(x, y, item_id, percent)``: documents (named by two digests of doc_id and text) that hold an item."""
     spark = docs.sparkSession
     items = stage(benchmark_windows(benchmark, settings), "benchmark-windows")
     lengths = sorted(row[0] for row in items.select("length").distinct().collect())  # window's lengths: few
-    bits = np.zeros(settings.bits, bool)
     marked = items.select(F.pmod("window", F.lit(settings.bits)).alias("bit")).distinct()
-    bits[marked.toPandas()["bit"].to_numpy(np.int64)] = True  # settings.bits rows at most
-    shared = spark.sparkContext.broadcast((np.packbits(bits), lengths))
-    kind = StructType.fromDDL("window long, name long, doc_named boolean, doc_at int, doc_slots array<string>")
+    tables = (_bits(marked, settings), known_tokens(benchmark, settings))
+    shared = spark.sparkContext.broadcast((*map(np.packbits, tables), lengths))
+    kind = StructType.fromDDL("window long, x long, y long, doc_named boolean, doc_at int, doc_slots array<string>")
     arrow = to_arrow_schema(kind)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, sizes = shared.value
+        packed, tokens, sizes = shared.value
         table = np.unpackbits(packed).view(bool)
+        known = KnownTokens(np.unpackbits(tokens).view(bool), settings.remembered)
+        least = min(sizes, default=0)
         for batch in batches:
             columns = [[] for _ in kind]
-            for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for hashes, positions, length, values, reading in windows(text, sizes, settings):
-                    hashes = hashes.view(np.int64)
-                    for k in np.flatnonzero(table[hashes % settings.bits]):
-                        at = int(positions[k])
-                        own = [value for value in values[at : at + length] if value is not None]
-                        for column, value in zip(columns, (int(hashes[k]), name, reading == NAMED, at, own), strict=True):
-                            column.append(value)
+            for x, y, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for place, run, begins, number in known.runs(text, least) if sizes else ():
+                    for hashes, positions, length, values, reading in windows(run, sizes, settings, begins, number):
+                        hashes = hashes.view(np.int64)
+                        for k in np.flatnonzero(table[hashes % settings.bits]):
+                            at = int(positions[k])
+                            own = [value for value in values[at : at + length] if value is not None]
+                            row = (int(hashes[k]), x, y, reading == NAMED, place + at, own)
+                            for column, value in zip(columns, row, strict=True):
+                                column.append(value)
             yield record_batch(columns, arrow)
 
-    found = docs.select(F.xxhash64("doc_id", "text").alias("name"), "text").mapInArrow(read, kind)
+    x, y = digests("doc_id", "text")
+    found = docs.select(x.alias("x"), y.alias("y"), "text").mapInArrow(read, kind)
     hit = F.struct("item_at", "doc_at", "item_slots", "doc_slots", (F.col("named") | F.col("doc_named")).alias("named"))
     # one row per pair and kind of window; rows of copies count once
-    pairs = found.join(items, "window").groupBy("name", "item_id", "exact")
+    pairs = found.join(items, "window").groupBy("x", "y", "item_id", "exact")
     pairs = pairs.agg(F.collect_set(hit).alias("hits"), F.first("n_windows").alias("n_windows"))
     found_at = F.size(F.array_distinct("hits.item_at"))
     pairs = pairs.where(found_at * 100 >= F.col("n_windows") * settings.min_percent)
 
-    def judge(names, item_ids, all_hits, counts):
+    def judge(xs, ys, item_ids, all_hits, counts):
         percent = []
         for hits, n in zip(all_hits, counts, strict=True):
             every = [tuple(hit.values())[:4] for hit in hits]
             # a first word read as a name may be none, and then tears names that are
             plain = [one for one, hit in zip(every, hits, strict=True) if not hit["named"]]
             percent.append(max(held_percent(one, n, settings) for one in (every, plain)))
-        return names, item_ids, percent
+        return xs, ys, item_ids, percent
 
-    judged = map_columns(pairs.drop("exact"), judge, "name long, item_id long, percent double")
-    return judged.where(F.col("percent") >= settings.min_percent).groupBy("name", "item_id").agg(F.max("percent").alias("percent"))
+    judged = map_columns(pairs.drop("exact"), judge, "x long, y long, item_id long, percent double")
+    return judged.where(F.col("percent") >= settings.min_percent).groupBy("x", "y", "item_id").agg(F.max("percent").alias("percent"))
 
 
-def mark_leaks(docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = LeakSettings()) -> DataFrame:
-    """``docs`` plus ``_leaked_items`` (sorted item ids, empty if clean).
+def mark_leaks(
+    docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = LeakSettings(), name: str = "_leaked_items"
+) -> DataFrame:
+    """``docs`` plus ``name`` (sorted item ids, empty if clean).
 
     A null or empty text is clean. Repeated rows are one document and are marked alike. An empty benchmark
-    leaves all documents clean; empty documents give an empty result; other columns pass through, except that
-    a column named ``_leaked_items`` is replaced.
+    leaves all documents clean; empty documents give an empty result; other columns pass through, whatever their
+    names, except that a column named ``name`` is replaced.
     """
-    leaks = find_leaks(docs, benchmark, settings).groupBy("name").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    leaks = stage(leaks.select(F.col("name").alias("_name"), F.col("items").alias("_items")), "leaks")
-    named = docs.withColumn("_name", F.xxhash64("doc_id", "text")).join(leaks, "_name", "left")
-    return named.withColumn("_leaked_items", F.coalesce("_items", F.array().cast("array<bigint>"))).drop("_name", "_items")
+    leaks = find_leaks(docs, benchmark, settings).groupBy("x", "y").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    x, y, own_x, own_y, items = unused(docs, "_x", "_y", "_own_x", "_own_y", "_items")
+    leaks = stage(leaks.toDF(x, y, items), "leaks")
+    named = docs.withColumns(dict(zip((own_x, own_y), digests("doc_id", "text"))))
+    named = named.join(leaks, (F.col(own_x) == F.col(x)) & (F.col(own_y) == F.col(y)), "left")
+    found = F.coalesce(F.col(items), F.array().cast("array<bigint>"))
+    return named.withColumn(name, found).drop(x, y, own_x, own_y, items)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = LeakSettings()) -> DataFrame:
     """The documents that hold no item; rows as they are."""
-    kept = mark_leaks(docs, benchmark, settings).where(F.size("_leaked_items") == 0)
-    return kept.select(*docs.columns)
+    (name,) = unused(docs, "_leaked_items")
+    return mark_leaks(docs, benchmark, settings, name).where(F.size(name) == 0).select(*docs.columns)

@@ -1,4 +1,14 @@
-from plantmetrics.llm.decontamination import drop_leaks, mark_leaks, template
+from plantmetrics.llm.decontamination import (
+    TOKEN,
+    KnownTokens,
+    LeakSettings,
+    benchmark_windows,
+    drop_leaks,
+    known_tokens,
+    mark_leaks,
+    template,
+    windows,
+)
 from plantmetrics.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -18,7 +28,7 @@ def test_verbatim_reparameterised_and_inconsistent(spark, documents):
     rows = [(1, f"Intro text here. {QUESTION} And then more."), (2, other.upper().lower()), (3, f"So: {other}")]
     rows += [(4, "Nothing of the sort is in this clean text at all, only words of its own."), (5, None), (6, "")]
     rows += [(7, torn), (1, f"Intro text here. {QUESTION} And then more."), (None, QUESTION)]
-    items = [(1, QUESTION), (2, "Too short"), (None, QUESTION), (3, None), (4, "exactly these five words matter")]
+    items = [(1, QUESTION), (2, "Too shrt"), (None, QUESTION), (3, None), (4, "exactly these five words matter")]
     rows += [(8, "We know exactly these five words matter a lot.")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.text): r._leaked_items for r in mark_leaks(documents(rows), benchmark).collect()}
@@ -69,3 +79,66 @@ def test_verbatim_items_of_the_tables(spark):
     for doc_id, found in holding.items():
         assert set(found) <= set(got[doc_id])
     assert sum(map(bool, got.values())) == sum(map(bool, holding.values()))
+
+
+def _words(text):
+    return [w.lower() for w in TOKEN.findall(text or "") if w[0] not in ".!?\n"]
+
+
+def test_items_of_any_length_equal_a_word_for_word_matcher(spark, documents):
+    """Items cut out of the tables' documents, of 1 to 40 tokens, against every run of words of every document."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 400").collect()]
+    items = []
+    for k, size in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 20, 40] * 2):
+        words = _words(docs[k * 13][1])
+        items.append((k, " ".join(words[len(words) // 3 :][:size])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    settings = LeakSettings(min_percent=100)
+    got = {r.doc_id: set(r._leaked_items) for r in mark_leaks(documents(docs), benchmark, settings).collect()}
+    for doc_id, text in docs:
+        line = " " + " ".join(_words(text)) + " "
+        held = {k for k, item in items if item and f" {item} " in line}
+        assert held <= got[doc_id], doc_id
+        # beyond that only re-parameterised templates: none for the shortest
+        assert {k for k in got[doc_id] - held if len(items[k][1].split()) < 5} == set()
+
+
+def test_runs_have_every_window_that_can_match(spark):
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    settings = LeakSettings()
+    known = KnownTokens(known_tokens(benchmark, settings), 50)
+    wanted = set()
+    for row in benchmark_windows(benchmark, settings).collect():
+        wanted.add(row.window)
+    docs = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(300).collect()]
+    docs += [r.text for r in benchmark.collect()] + ["5 km. Paris is 5 km", "Two. km Alice 3", "", None]
+
+    def found(parts):
+        return {
+            (int(h), place + int(at), reading)
+            for place, text, *state in parts
+            for hashes, positions, _, _, reading in windows(text, [8], settings, *state)
+            for h, at in zip(hashes.view("int64"), positions)
+            if int(h) in wanted
+        }
+
+    for text in docs:
+        assert found([(0, text, True, False)]) == found(known.runs(text, 8))
+
+
+def test_columns_of_any_name_pass_through(spark, documents):
+    from pyspark.sql import functions as F
+
+    names = ["_x", "_Y", "_own_x", "_items", "_leaked_items", "_name", "items", "window", "item_id"]
+    docs = documents([(1, QUESTION), (2, "Nothing here.")]).withColumns({n: F.lit(f"own {n}") for n in names})
+    benchmark = spark.createDataFrame([(1, QUESTION, "b")], "item_id long, text string, _x string")
+    kept = drop_leaks(docs, benchmark)
+    assert kept.columns == docs.columns and [(r.doc_id, r["_leaked_items"], r["_Y"]) for r in kept.collect()] == [(2, "own _leaked_items", "own _Y")]
+    assert {r.doc_id: r.found for r in mark_leaks(docs, benchmark, name="found").collect()} == {1: [1], 2: []}
+
+
+def test_a_very_long_text(spark, documents):
+    benchmark = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
+    filler = "words of no question at all " * 100_000
+    rows = [(1, filler + QUESTION + filler), (2, filler)]
+    assert {r.doc_id: r._leaked_items for r in mark_leaks(documents(rows), benchmark).collect()} == {1: [1], 2: []}
