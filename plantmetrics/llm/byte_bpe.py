@@ -22,10 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantmetrics.llm.arrow import map_columns
+from plantmetrics.llm.arrow import keep_in_worker, map_columns
 
 #: Distinct pieces a worker remembers; beyond, the older half is forgotten.
 CACHE_PIECES = 400_000
+#: Characters of the longest piece that is remembered.
+LONGEST_KEPT = 64
 #: Answers about neighbouring tokens that a worker remembers before it starts afresh.
 CACHE_PAIRS = 500_000
 
@@ -158,7 +160,9 @@ class _Pieces(dict):
             for old in list(islice(self, CACHE_PIECES // 2)):
                 del self[old]
         ids = PrefixTable(self.vocabulary, piece.encode()).tokens()
-        self[piece] = packed = np.array(ids, dtype="<u4").tobytes()
+        packed = np.array(ids, dtype="<u4").tobytes()
+        if len(piece) <= LONGEST_KEPT:
+            self[piece] = packed
         return packed
 
 
@@ -184,14 +188,16 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+OWNER = "byte_bpe"
 _codecs: dict[tuple[str, str], Codec] = {}
 
 
 def codec(ranks_path: str | None = None, pattern: str | None = None) -> Codec:
-    """The codec of a rank file, built once per process."""
+    """The codec of a rank file, built once per process and kept until another operator's task begins there."""
     import public_tokenizers
 
     key = (ranks_path or default_ranks(), pattern or public_tokenizers.PATTERN)
+    keep_in_worker(OWNER, _codecs.clear)
     if key not in _codecs:
         _codecs[key] = Codec(Vocabulary.load(key[0]), key[1])
     return _codecs[key]
@@ -205,7 +211,8 @@ def encode_documents(
 
     A null text counts as empty: no tokens. Rows are independent: repeated rows give repeated results, a
     null doc_id stays null, other columns are ignored, an empty table gives an empty result. Memory is
-    bounded by one Arrow batch and ``CACHE_PIECES`` distinct pieces.
+    bounded by one Arrow batch and what a worker remembers: ``CACHE_PIECES`` pieces of at most ``LONGEST_KEPT``
+    characters and ``CACHE_PAIRS`` pairs, together some 100 MB, let go when another operator's task begins.
     """
 
     def work(ids, texts):
@@ -224,7 +231,7 @@ def encode_documents(
         )
 
     schema = "doc_id long, n_tokens long, token_ids array<int>, ids_sha256 string, decoded_sha256 string"
-    return map_columns(docs.select(F.col(doc_id).cast("long"), F.col(text)), work, schema)
+    return map_columns(docs.select(F.col(doc_id).cast("long"), F.col(text)), work, schema, OWNER)
 
 
 def decode_ids(df: DataFrame, *, ids: str = "token_ids", ranks_path: str | None = None) -> DataFrame:

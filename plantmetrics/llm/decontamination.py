@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from plantmetrics.llm.arrow import map_columns, record_batch
+from plantmetrics.llm.arrow import begin_task, map_columns, record_batch
 from plantmetrics.llm.names import digests, unused
 from plantmetrics.sources import stage
 
@@ -326,6 +326,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = L
     arrow = to_arrow_schema(kind)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         packed, tokens, sizes = shared.value
         table = np.unpackbits(packed).view(bool)
         known = KnownTokens(np.unpackbits(tokens).view(bool), settings.remembered)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from plantmetrics.llm.arrow import map_columns, record_batch
+from plantmetrics.llm.arrow import begin_task, in_slices, map_columns, record_batch
 from plantmetrics.llm.components import connected_components
 from plantmetrics.sources import stage
 
@@ -114,8 +114,9 @@ def _scan(docs: DataFrame, settings: JoinSettings) -> DataFrame:
     arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         counts = np.zeros(settings.counters, np.int64)
-        for batch in batches:
+        for batch in in_slices(batches):
             ids, texts = (column.to_pylist() for column in batch.columns)
             sets = [shingle_set(text, settings.words) for text in texts]
             if sets:
@@ -149,8 +150,9 @@ def _prefixes(docs: DataFrame, frequencies, settings: JoinSettings, heavy_only:
     percent, words, counters, most = settings.percent, settings.words, settings.counters, settings.max_list
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         table, met = frequencies.value, set()
-        for batch in batches:
+        for batch in in_slices(batches):
             tokens, places, parities, sketches, classes = [], [], [], [], []
             for text in batch.column(0).to_pylist():
                 shingles = shingle_set(text, words)
@@ -399,7 +401,7 @@ def _needed_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, settings
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value).view(bool)
-        for batch in batches:
+        for batch in in_slices(batches):
             marked = np.flatnonzero(bits[batch.column(1).to_numpy()])
             texts = batch.column(0).take(pa.array(marked)).to_pylist()
             sets = [shingle_set(text, settings.words) for text in texts]

@@ -17,12 +17,13 @@ from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from plantmetrics.llm.arrow import record_batch
+from plantmetrics.llm.arrow import begin_task, in_slices, record_batch
+from plantmetrics.llm.names import unused
 from plantmetrics.sources import stage
 
 END = re.compile(r"[.!?…。]+[\"'”’)\]]*\s+|\s*\n\s*")
@@ -80,8 +81,8 @@ def _enough(size: int, words: int, settings: SpanSettings) -> bool:
 
 
 def repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()) -> DataFrame:
-    """``(name, start, stop)``: the runs of a document (named by a hash of doc_id and text) that another
-    occurrence comes before.
+    """``(name, at, start, stop)``: the runs of a document (named by a hash of doc_id and text, and by its place
+    ``at`` in the order of documents) that another occurrence comes before.
 
     Occurrences are ordered by doc_id, null ids last, then by place in the text. Rows that share a doc_id
     count as one document in this order, so runs at the same place of two such rows are both first.
@@ -90,7 +91,8 @@ def repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()) ->
     arrow = to_arrow_schema(kind)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        begin_task()
+        for batch in in_slices(batches):
             columns = [[], [], [], [], []]
             for name, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for run, start, stop in runs(text or "", settings):
@@ -99,30 +101,40 @@ def repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()) ->
             yield record_batch(columns, arrow)
 
     spans = docs.select(_name(docs).alias("name"), F.col("doc_id").cast("long"), "text").mapInArrow(read, kind)
-    last = F.lit(2**63 - 1).cast("long")
-    place = (F.coalesce("doc_id", last).cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)")).cast("decimal(38,0)")
-    spans = spans.select("run", "name", (place + F.col("start")).cast("decimal(38,0)").alias("place"), "start", "stop")
+    place = (_at(F.col("doc_id")) + F.col("start")).cast("decimal(38,0)")
+    spans = spans.select("run", "name", place.alias("place"), "start", "stop")
     first = spans.groupBy("run").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("times"))
     first = stage(first.where("times > 1").select("run", "first"), "repeated-runs")
-    return spans.join(first, "run").where("place > first").select("name", "start", "stop")
+    at = (F.col("place") - F.col("start")).cast("decimal(38,0)").alias("at")
+    return spans.join(first, "run").where("place > first").select("name", at, "start", "stop")
 
 
-def _name(docs: DataFrame):
+def _name(docs: DataFrame) -> Column:
     return F.xxhash64(docs["doc_id"], docs["text"])
 
 
-def remove_repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()) -> DataFrame:
-    """``docs`` with repeated sentences cut out of ``text``, and ``_n_removed``, the number of them.
+def _at(doc_id: Column) -> Column:
+    """Where a document's sentences begin in the order of all: by doc_id, null ids last."""
+    last = F.lit(2**63 - 1).cast("long")
+    step = F.lit(2**32).cast("decimal(11,0)")
+    return (F.coalesce(doc_id.cast("long"), last).cast("decimal(20,0)") * step).cast("decimal(38,0)")
+
+
+def remove_repeated_spans(
+    docs: DataFrame, settings: SpanSettings = SpanSettings(), n_removed: str = "_n_removed"
+) -> DataFrame:
+    """``docs`` with repeated sentences cut out of ``text``, and ``n_removed``, the number of them.
 
     A null or empty text stays as it is. A document may be left with an empty text; no row is dropped.
-    Repeated rows are one document and are treated alike. Other columns pass through; a column ``n_chars`` is
-    counted anew where something was cut. An empty table gives an empty result. What a document's marks take
-    is bounded by its own sentences.
+    Repeated rows are one document and are treated alike. Other columns pass through, whatever their names, but
+    for one named ``n_removed``, which is replaced; a column ``n_chars`` is counted anew where something was
+    cut. An empty table gives an empty result. What a document's marks take is bounded by its own sentences.
     """
-    marks = repeated_spans(docs, settings).groupBy("name").agg(F.collect_set(F.struct("start", "stop")).alias("marks"))
-    marked = docs.withColumn("_name", _name(docs)).join(
-        marks.select(F.col("name").alias("_name"), F.col("marks").alias("_marks")), "_name", "left"
-    )
+    marks = repeated_spans(docs, settings).groupBy("name", "at").agg(F.collect_set(F.struct("start", "stop")).alias("marks"))
+    name, at, own, own_at, spans, done = unused(docs, "_name", "_at", "_own", "_own_at", "_marks", "_cut")
+    same = (F.col(own) == F.col(name)) & (F.col(own_at) == F.col(at))
+    named = docs.withColumns({own: _name(docs), own_at: _at(F.col("doc_id"))})
+    marked = named.join(marks.toDF(name, at, spans), same, "left")
     kind = StructType.fromDDL("text string, n int")
 
     from pyspark.sql.functions import pandas_udf
@@ -143,13 +155,13 @@ def remove_repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings
             counts.append(len(gone))
         return pd.DataFrame({"text": texts, "n": counts})
 
-    done = marked.withColumn("_cut", cut("text", "_marks"))
-    columns = {"text": F.col("_cut.text"), "_n_removed": F.col("_cut.n")}
+    result = marked.withColumn(done, cut("text", spans))
+    columns = {"text": F.col(f"{done}.text"), n_removed: F.col(f"{done}.n")}
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
-        counted = F.when(F.col("_cut.n") > 0, F.length("_cut.text").cast(kind)).otherwise(F.col("n_chars"))
+        counted = F.when(F.col(f"{done}.n") > 0, F.length(f"{done}.text").cast(kind)).otherwise(F.col("n_chars"))
         columns["n_chars"] = counted
-    return done.select(
-        *(columns.pop(c).alias(c) if c in columns else F.col(c) for c in docs.columns if c != "_n_removed"),
-        columns["_n_removed"].alias("_n_removed"),
+    return result.select(
+        *(columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns if c != n_removed),
+        columns[n_removed].alias(n_removed),
     )

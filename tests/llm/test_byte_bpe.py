@@ -42,3 +42,20 @@ def test_documents(spark, documents):
     assert rows[0].token_ids == reference().encode_ordinary("Hello  world")
     assert bytes(decode_ids(encode_documents(docs)).first().decoded) == b"Hello  world"
     assert encode_documents(docs.limit(0)).count() == 0
+
+
+def test_caches_go_when_another_operator_begins():
+    import pyarrow as pa
+
+    from plantmetrics.llm import arrow, byte_bpe
+
+    coder = byte_bpe.codec()
+    coder.encode("some words " + "x" * 1000)
+    assert all(len(piece) <= byte_bpe.LONGEST_KEPT for piece in coder.pieces)
+    arrow.begin_task(byte_bpe.OWNER)
+    assert byte_bpe.codec() is coder
+    arrow.begin_task()
+    assert not byte_bpe._codecs
+    batch = pa.record_batch([pa.array(["y" * 1000] * 50)], names=["text"])
+    parts = list(arrow.in_slices(iter([batch]), 10_000))
+    assert sum(p.num_rows for p in parts) == 50 and len(parts) >= 5

@@ -37,6 +37,22 @@ def test_pipeline(spark):
     assert len(rows) == len(after) < len(texts)
 
 
+def test_stages_keep_columns_of_any_name_and_one_row_per_id(spark, documents):
+    from pyspark.sql import functions as F
+
+    names = ["_score", "_toxic", "_least", "_rank", "_n_removed", "_x", "_name", "_leaked_items"]
+    docs = documents([(1, "a few words"), (1, "other words here"), (2, "something else"), (None, "no id")])
+    docs = docs.withColumns({n: F.lit(f"own {n}") for n in names})
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        results = []
+        for rows in (docs, docs.orderBy(F.desc("text")).repartition(3)):
+            out = function(spark, rows, SF)
+            assert out.columns == docs.columns, name
+            results.append(sorted(map(str, out.collect())))
+        assert results[0] == results[1] and all(f"own {n}" in row for row in results[0] for n in names), name
+        assert len(results[0]) == (3 if name == "near_copies" else 4), name
+
+
 def test_stages_take_odd_rows(spark, documents):
     odd = documents([(1, None), (1, None), (None, ""), (3, ""), (None, "word " * 30), (5, "word " * 30), (5, "word " * 30)])
     for rows in (odd, odd.limit(0)):

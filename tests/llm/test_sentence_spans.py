@@ -84,3 +84,15 @@ def test_windows_that_stay_in_the_tables(spark):
     before, after = left_over(rows), left_over(got)
     print(f"words in repeated windows of 50: {before} before, {after} after")
     assert after <= before // 50
+
+
+def test_columns_of_any_name_pass_through(spark, documents):
+    from pyspark.sql import functions as F
+
+    passage = "One sentence of eight words stands in here. Another one of nine words comes right behind it."
+    names = ["_name", "_AT", "_own", "_own_at", "_marks", "_cut", "name", "_n_removed"]
+    docs = documents([(1, passage), (2, "First. " + passage)]).withColumns({n: F.lit(f"own {n}") for n in names})
+    rows = {r.doc_id: r for r in remove_repeated_spans(docs, n_removed="gone").collect()}
+    assert [rows[2][n] for n in names] == [f"own {n}" for n in names]
+    assert (rows[1].gone, rows[2].gone, rows[2].text) == (0, 2, "First.")
+    assert remove_repeated_spans(docs).columns[-1] == "_n_removed"
