@@ -5,12 +5,13 @@ Every stage takes the documents that the one before kept, and is written as Parq
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plantmetrics.llm.byte_bpe import encode_documents
 from plantmetrics.llm.decontamination import drop_leaks
 from plantmetrics.llm.jaccard_join import JoinSettings, jaccard_components
+from plantmetrics.llm.names import unused
 from plantmetrics.llm.sentence_spans import remove_repeated_spans
 from plantmetrics.llm.toxicity import fit_toxicity, score_toxicity
 from plantmetrics.sources import stage
@@ -19,7 +20,9 @@ from plantmetrics.sources import stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below their language's threshold. Empty texts are scored like others."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return score_toxicity(docs, fit_toxicity(docs, labels)).where("NOT _toxic").select(*docs.columns)
+    score, toxic = unused(docs, "_score", "_toxic")
+    scored = score_toxicity(docs, fit_toxicity(docs, labels), (score, toxic))
+    return scored.where(~F.col(toxic)).select(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,14 +32,18 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     by it and stay. Documents without words stay.
     """
     found = jaccard_components(docs, JoinSettings(words=5, percent=80))
-    least = stage(found.where("doc_id = component_id").select(F.col("doc_id").alias("_least")).distinct(), "kept")
-    kept = docs.join(least, F.col("doc_id") == F.col("_least")).drop("_least").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    least, rank = unused(docs, "_least", "_rank")
+    kept = stage(found.where("doc_id = component_id").select(F.col("doc_id").alias(least)).distinct(), "kept")
+    # of rows that share an id always the same one, also if a task is run again
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *docs.columns)
+    one = docs.join(kept, F.col("doc_id") == F.col(least)).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return one.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier document has; none is dropped."""
-    return remove_repeated_spans(docs).select(*docs.columns)
+    (count,) = unused(docs, "_n_removed")
+    return remove_repeated_spans(docs, n_removed=count).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
