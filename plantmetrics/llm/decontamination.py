@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from plantmetrics.llm.arrow import begin_task, map_columns, record_batch
+from plantmetrics.llm.arrow import begin_task, in_slices, map_columns, record_batch
 from plantmetrics.llm.names import digests, unused
 from plantmetrics.sources import stage
 
@@ -64,7 +64,7 @@ class LeakSettings:
     #: Bits in each of the tables that spare documents' tokens and windows the work.
     bits: int = 1 << 22
     #: Spellings whose answer a task remembers.
-    remembered: int = 100_000
+    remembered: int = 200_000
 
 
 def template(text: str | None) -> tuple[list[str], list[str | None]]:
@@ -117,63 +117,86 @@ def _read(text: str | list[str] | None, begins: bool = True, after_number: bool
     return tokens, values, words, either
 
 
-class KnownTokens:
-    """Which spellings can be a token of a benchmark window, in any reading: a table of bits by token.
+#: What ``KnownTokens`` says of a match: no token of the benchmark, one, or the end of a sentence.
+UNKNOWN, KNOWN, ENDS = range(3)
+
+
+@dataclass(frozen=True)
+class Stretch:
+    """Matches of ``TOKEN`` that follow each other in a text: the place of the first token, the matches, whether a
+    sentence begins there, and whether the token before is a number."""
+
+    place: int
+    matches: list[str]
+    begins: bool = True
+    after_number: bool = False
+
+
+class KnownTokens(dict):
+    """Spelling -> whether it can be a token of a benchmark window, in any reading: from a table of bits by token.
 
     The answer for a spelling doesn't depend on where it stands, so it may be yes where no reading has it.
     """
 
     def __init__(self, table: np.ndarray, remembered: int):
-        self.table, self.limit, self.seen = table, remembered, {}
+        self.table, self.bits, self.limit = table.tobytes(), len(table), remembered
+        self.number, self.unit, self.name = map(self._has, ("<number>", "<unit>", "<name>"))
 
     def _has(self, token: str) -> bool:
-        return bool(self.table[xxhash.xxh3_64_intdigest(token) % len(self.table)])
-
-    def __call__(self, word: str) -> bool:
-        known = self.seen.get(word)
-        if known is None:
-            low = word.lower()
-            known = self._has(low) or (_is_number(word, low) and self._has("<number>"))
-            known = known or (low in UNITS and self._has("<unit>")) or (_is_name(word) and self._has("<name>"))
-            if len(self.seen) >= self.limit:
-                self.seen.clear()
-            self.seen[word] = known
-        return known
-
-    def runs(self, text: str | None, least: int) -> Iterator[tuple[int, list[str], bool, bool]]:
-        """The runs of at least ``least`` known tokens: place of the first, the matches, and what ``_read`` asks."""
+        return self.table[xxhash.xxh3_64_intdigest(token) % self.bits] == 1
+
+    def __missing__(self, word: str) -> int:
+        head, low = word[0], word.lower()
+        if head in ".!?\n":
+            answer = ENDS
+        elif self.table[xxhash.xxh3_64_intdigest(low) % self.bits]:
+            answer = KNOWN
+        elif (self.number and _is_number(word, low)) or (self.name and _is_name(word)) or (self.unit and low in UNITS):
+            answer = KNOWN
+        else:
+            answer = UNKNOWN
+        if len(self) >= self.limit:
+            self.clear()
+        self[word] = answer
+        return answer
+
+    def runs(self, text: str | None, least: int) -> Iterator[Stretch]:
+        """The runs of at least ``least`` known tokens."""
         every = TOKEN.findall(text or "")
-        start, count, place = None, 0, 0
-        begins, number = True, False
-        for k, word in enumerate(every):
-            if word[0] in ".!?\n":
-                if start is None:
-                    begins = True
-                continue
-            if self(word):
-                if start is None:
-                    start, count, state = k, 0, (begins, number)
-                count += 1
-            else:
-                if start is not None and count >= least:
-                    yield place - count, every[start:k], *state
-                start, begins = None, False
-                number = _is_number(word, word.lower())
-            place += 1
-        if start is not None and count >= least:
-            yield place - count, every[start:], *state
-
-
-def windows(
-    text: str | list[str] | None, lengths, settings: LeakSettings, begins: bool = True, after_number: bool = False
-) -> list[tuple[np.ndarray, np.ndarray, int, list, int]]:
-    """(hashes, positions, length, slot values, kind of reading) of the windows of a text (or of a stretch of one, see
-    ``_read``), for each of ``lengths`` and reading.
+        answers = bytes(map(self.__getitem__, every))
+        place = counted = 0
+        for found in re.finditer(rb"\x01(?:\x02*\x01){%d,}" % (least - 1), answers):
+            start, stop = found.span()
+            place += start - counted - answers.count(ENDS, counted, start)
+            counted = start
+            before = start - 1
+            while before >= 0 and answers[before] == ENDS:
+                before -= 1
+            number = before >= 0 and _is_number(every[before], every[before].lower())
+            yield Stretch(place, every[start:stop], before < start - 1 or before < 0, number)
+
+
+def windows(text: str | None, lengths, settings: LeakSettings) -> list[tuple[np.ndarray, np.ndarray, int, list, int]]:
+    """``stretch_windows`` of a whole text."""
+    return stretch_windows([Stretch(0, TOKEN.findall(text or ""))], lengths, settings)[0]
 
+
+def stretch_windows(stretches: list[Stretch], lengths, settings: LeakSettings):
+    """(windows, stretch of each token): the windows of stretches of texts, put one behind the other; none reaches
+    from one into the next.
+
+    Windows are (hashes, positions, length, slot values, kind of reading) for each of ``lengths`` and reading.
     Templates need enough literals, and are read with the first words of sentences as words and, where that makes
     a difference, as names. Windows of the words themselves, which have no slots, need none.
     """
-    tokens, values, words, either = _read(text, begins, after_number)
+    tokens, values, words, either, sizes = [], [], [], [], []
+    for one in stretches:
+        own = _read(one.matches, one.begins, one.after_number)
+        either.extend(len(tokens) + k for k in own[3])
+        for whole, part in zip((tokens, values, words), own):
+            whole.extend(part)
+        sizes.append(len(own[0]))
+    of = np.repeat(np.arange(len(sizes)), sizes)
     digest = xxhash.xxh3_64_intdigest
     plain = np.fromiter(map(digest, tokens), np.uint64, len(tokens))
     named, names = plain, values
@@ -191,17 +214,19 @@ def windows(
         count = len(tokens) - length + 1
         if count < 1:
             continue
+        inside = of[:count] == of[length - 1 :]
         begun = np.zeros(len(tokens), bool)
         begun[either] = True
         differs = _count(begun, length) > 0
         for hashes, own, some, kind in ((plain, values, None, PLAIN), (named, names, differs, NAMED)):
             if some is None or some.any():
                 literal = length - _count(np.array([value is not None for value in own]), length)
-                good = 100 * literal >= settings.min_literal_percent * length
+                good = inside & (100 * literal >= settings.min_literal_percent * length)
                 good = np.flatnonzero(good if some is None else good & some)
                 found.append((_rolled(hashes, length, length)[good], good, length, own, kind))
-        found.append((_rolled(exact, length, length + WORDS_SEED), np.arange(count), length, [None] * len(tokens), EXACT))
-    return found
+        good = np.flatnonzero(inside)
+        found.append((_rolled(exact, length, length + WORDS_SEED)[good], good, length, [None] * len(tokens), EXACT))
+    return found, of
 
 
 def _rolled(hashes: np.ndarray, length: int, seed: int) -> np.ndarray:
@@ -330,19 +355,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = L
         packed, tokens, sizes = shared.value
         table = np.unpackbits(packed).view(bool)
         known = KnownTokens(np.unpackbits(tokens).view(bool), settings.remembered)
-        least = min(sizes, default=0)
-        for batch in batches:
+        least = min(sizes, default=None)
+        for batch in in_slices(batches):
             columns = [[] for _ in kind]
-            for x, y, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for place, run, begins, number in known.runs(text, least) if sizes else ():
-                    for hashes, positions, length, values, reading in windows(run, sizes, settings, begins, number):
-                        hashes = hashes.view(np.int64)
-                        for k in np.flatnonzero(table[hashes % settings.bits]):
-                            at = int(positions[k])
-                            own = [value for value in values[at : at + length] if value is not None]
-                            row = (int(hashes[k]), x, y, reading == NAMED, place + at, own)
-                            for column, value in zip(columns, row, strict=True):
-                                column.append(value)
+            xs, ys, texts = (c.to_pylist() for c in batch.columns)
+            owners, stretches = [], []
+            for k, text in enumerate(texts) if least else ():
+                for run in known.runs(text, least):
+                    owners.append(k)
+                    stretches.append(run)
+            every, of = stretch_windows(stretches, sizes, settings)
+            first = np.searchsorted(of, np.arange(len(stretches)))
+            for hashes, positions, length, values, reading in every:
+                hashes = hashes.view(np.int64)
+                for k in np.flatnonzero(table[hashes % settings.bits]):
+                    at = int(positions[k])
+                    run = int(of[at])
+                    own = [value for value in values[at : at + length] if value is not None]
+                    place = stretches[run].place + at - int(first[run])
+                    row = (int(hashes[k]), xs[owners[run]], ys[owners[run]], reading == NAMED, place, own)
+                    for column, value in zip(columns, row, strict=True):
+                        column.append(value)
             yield record_batch(columns, arrow)
 
     x, y = digests("doc_id", "text")

@@ -205,40 +205,61 @@ class _List:
         self.starts = np.arange(0, len(places), settings.block)
         self.least_size, self.most_size = self.size[self.starts], np.maximum.reduceat(self.size, self.starts)
         self.least_position = np.minimum.reduceat(self.position, self.starts)
-        self.step = settings.block
-
-    def partners(self, row: int, among: np.ndarray) -> np.ndarray:
-        """Rows after ``row`` that pass all filters with it; ``among`` marks those still asked for."""
-        size, position = self.size[row], self.position[row]
-        # skipped: blocks with sizes too far above, or positions too far back whatever the size
-        open_ = (self.starts + self.step > row + 1) & (100 * size >= self.percent * self.least_size)
-        most = np.minimum(size - position, self.most_size - self.least_position)
-        open_ &= (100 + self.percent) * most >= self.percent * (size + self.least_size)
+        self.step, self.scans = settings.block, 0
+
+    def near(self, rows: np.ndarray, among: np.ndarray, slack: int = 0) -> np.ndarray:
+        """Rows behind the first of ``rows`` that may pass all filters with one of these, judged by the first one's
+        parities with ``slack`` bits more; ``among`` marks those still asked for. One scan of the blocks.
+
+        Skipped are blocks with sizes too far above, or positions too far back whatever the size.
+        """
+        self.scans += 1
+        first, size = rows[0], self.size[rows]
+        least, most, ahead = size.min(), size.max(), (size - self.position[rows]).max()
+        open_ = (self.starts + self.step > first + 1) & (100 * most >= self.percent * self.least_size)
+        shared = np.minimum(ahead, self.most_size - self.least_position)
+        open_ &= (100 + self.percent) * shared >= self.percent * (least + self.least_size)
         found = []
         for start in self.starts[open_]:
-            rows = np.arange(max(start, row + 1), min(start + self.step, len(self.size)))
-            rows = rows[among[rows]]
-            rows = rows[_may_link(size, position, self.size[rows], self.position[rows], self.percent)]
-            found.append(rows[_differing(self.parity[rows], self.parity[row]) <= _gap(size, self.size[rows], self.percent)])
+            others = np.arange(max(start, first + 1), min(start + self.step, len(self.size)))
+            others = others[among[others]]
+            apart = _differing(self.parity[others], self.parity[first])
+            found.append(others[apart <= _gap(most, self.size[others], self.percent) + slack])
         return np.concatenate(found) if found else np.empty(0, np.int64)
 
+    def partners(self, row: int, answers: np.ndarray) -> np.ndarray:
+        """Those of ``answers`` behind ``row`` that pass all filters with it."""
+        others = answers[answers > row]
+        others = others[_may_link(self.size[row], self.position[row], self.size[others], self.position[others], self.percent)]
+        apart = _differing(self.parity[others], self.parity[row])
+        return others[apart <= _gap(self.size[row], self.size[others], self.percent)]
+
     def pairs(self) -> Iterator[tuple[int, np.ndarray, bool]]:
         """(row, partners, whether the row is their leader): every pair that passes the filters is there, or
-        both of the pair are members of one leader. Members are rows that look much like their leader."""
+        both of the pair are members of one leader. Members are rows that look much like their leader.
+
+        Members don't scan the list again: parities obey the triangle inequality, so whatever is near a member is
+        among what its leader's scan finds with as many bits more as the member differs from it in.
+        """
         free, leader_of = np.ones(len(self.size), bool), np.full(len(self.size), -1)
+        groups: list[np.ndarray] = []
         for row in range(len(self.size)):
             if free[row]:
-                members = self.partners(row, free)
+                members = self.partners(row, self.near(np.array([row]), free))
                 members = members[self.level[members] == self.level[row]]
                 members = members[_differing(self.sketch[members], self.sketch[row]) <= self.alike]
-                free[members] = False
+                free[members] = free[row] = False
                 leader_of[members] = leader_of[row] = row
+                groups.append(np.concatenate([[row], members]))
                 if len(members):
                     yield row, members, True
-        for row in range(len(self.size)):
-            others = self.partners(row, leader_of != leader_of[row])
-            if len(others):
-                yield row, others, False
+        for group in groups:
+            slack = int(_differing(self.parity[group], self.parity[group[0]]).max())
+            answers = self.near(group, leader_of != group[0], slack)
+            for row in group if len(answers) else ():
+                others = self.partners(row, answers)
+                if len(others):
+                    yield row, others, False
 
 
 def _candidates(entries: DataFrame, settings: JoinSettings) -> DataFrame:

@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 
 from plantmetrics.llm.components import connected_components
-from plantmetrics.llm.jaccard_join import JoinSettings, jaccard_components
+from plantmetrics.llm.jaccard_join import JoinSettings, _List, _parity, _sketch, jaccard_components
 
 
 def brute(rows, words, percent):
@@ -84,3 +85,35 @@ def test_components(spark):
     found = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {(r.node, r.root) for r in found} == {(k, 0) for k in range(41)} | {(100, 100), (101, 100)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_members_take_their_answers_from_their_leader():
+    """Lists of groups of near copies: no pair that passes the filters is lost, and only leaders scan the blocks."""
+    rng = np.random.default_rng(4)
+    settings = JoinSettings(words=5, percent=80, block=16)
+    sets = []
+    for _ in range(12):
+        base = rng.integers(0, 1 << 63, 60 + rng.integers(0, 60), dtype=np.uint64)
+        for _ in range(25):
+            one = base.copy()
+            changed = rng.integers(0, len(one), rng.integers(0, 6))
+            one[changed] = rng.integers(0, 1 << 63, len(changed), dtype=np.uint64)
+            sets.append(np.unique(one))
+    position = rng.integers(0, 5, len(sets))
+    place = np.array([(len(one) << 32) + int(at) for one, at in zip(sets, position)])
+    order = np.argsort(place, kind="stable")
+    sets = [sets[k] for k in order]
+    parity = np.array([_parity(one, 64)[0] for one in sets])
+    sketch = np.array([_sketch(one)[0] for one in sets])
+    own = _List(place[order], parity, sketch, settings)
+    found, leads = set(), {}
+    for row, partners, leading in own.pairs():
+        found |= {(int(row), int(p)) for p in partners}
+        if leading:
+            leads |= {int(p): int(row) for p in partners}
+    leaders = [leads.get(k, k) for k in range(len(sets))]
+    for a in range(len(sets)):
+        rest = np.arange(a + 1, len(sets))
+        for b in own.partners(a, rest).tolist():
+            assert (a, b) in found or leaders[a] == leaders[b]
+    assert len(set(leaders)) < 100 and own.scans == 2 * len(set(leaders))
