@@ -22,6 +22,8 @@ from plantmetrics.sources import clear_scratch, scratch_path
 HEADLINE = (
     "silver_sensors",
     "silver_sensors_chunked",
+    "silver_sensors_hot",
+    "silver_sensors_hot_window",
     "silver_scada",
     "silver_mes",
     "silver_maintenance",
@@ -39,6 +41,8 @@ HEADLINE = (
     "dedup_keep_first",
     "parse_mixed_timestamps",
     "distribution_by_group",
+    "distribution_by_group_hot",
+    "bronze_sensors",
 )
 
 

@@ -500,3 +500,11 @@ _SQL: dict[str, str] = {
 }
 
 ORACLE_SQL = {name: _with(sql) for name, sql in _SQL.items()}
+
+_ON_HOT = "CASE WHEN event_id % 3 = 0 THEN 'M0' ELSE concat('M', user_id) END AS machine_id"
+for _name, _as in (
+    ("silver_sensors_hot", "silver_sensors"),
+    ("silver_sensors_hot_window", "silver_sensors"),
+    ("distribution_by_group_hot", "distribution_by_group"),
+):
+    ORACLE_SQL[_name] = ORACLE_SQL[_as].replace("concat('M', user_id) AS machine_id", _ON_HOT)

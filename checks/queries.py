@@ -23,7 +23,9 @@ from plantmetrics.sources import tables as io
 
 KPI = KpiSettings(sum_scale=6)
 SETTINGS = replace(DEFAULTS, kpi=KPI)
-SMALL_CHUNKS = SizeLimits(chunk_rows=1000)
+#: The machines of the test tables have some 80 readings: cut them all, or the one that gets a third of the feed.
+SMALL_CHUNKS = SizeLimits(chunk_rows=40)
+HOT_LIMITS = SizeLimits(max_group_rows=300, chunk_rows=300)
 ALARM_CODES = [f"ALM_{i}" for i in range(10)]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -420,6 +422,12 @@ def distribution_by_group_chunked(spark, sf):
     return dashboards.temperature_quartiles(tables.sensors(spark, sf), KPI, "chunked", SMALL_CHUNKS)
 
 
+@query
+def distribution_by_group_hot(spark, sf):
+    """The hot machine's readings are counted in ranges, never sorted."""
+    return dashboards.temperature_quartiles(tables.hot_sensors(spark, sf), KPI, "auto", HOT_LIMITS)
+
+
 @query
 def distribution_by_group_selected(spark, sf):
     return dashboards.temperature_quartiles(tables.sensors(spark, sf), KPI, "selected")
@@ -658,6 +666,18 @@ def silver_sensors_chunked(spark, sf):
     return silver.silver_sensors(tables.sensors(spark, sf), replace(SETTINGS, limits=SMALL_CHUNKS), "chunked")
 
 
+@query
+def silver_sensors_hot(spark, sf):
+    """A third of all readings come from one machine: it is cut into chunks, the others are walked whole."""
+    return silver.silver_sensors(tables.hot_sensors(spark, sf), replace(SETTINGS, limits=HOT_LIMITS))
+
+
+@query
+def silver_sensors_hot_window(spark, sf):
+    """The same feed with a task per machine."""
+    return silver.silver_sensors(tables.hot_sensors(spark, sf), SETTINGS, "window")
+
+
 @query
 def silver_scada(spark, sf):
     return _scada(spark, sf)

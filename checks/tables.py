@@ -72,6 +72,12 @@ def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.unionByName(resent)
 
 
+def hot_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sensors`` with every third reading, and its copy, on machine M0."""
+    hot = F.floor(F.col("_row_id") / 2) % 3 == 0
+    return sensors(spark, sf_dir).withColumn("machine_id", F.when(hot, F.lit("M0")).otherwise(F.col("machine_id")))
+
+
 def scada(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw state events plus ``_row_id``."""
     events = _events(spark, sf_dir)

@@ -40,6 +40,15 @@ FILLED_COLUMNS = {
 }
 
 
+# What stands for a missing side of the gold joins.
+DAILY_DEFAULTS = {"nb_alarmes": 0, "duree_arret_minutes": 0.0}
+WEEKLY_DEFAULTS = {"sum_arret_minutes": 0.0, "sum_produite": 0, "sum_prevue": 1, "sum_rebuts": 0.0}
+
+# Labels of readings and orders.
+INVALID, INTERPOLATED, VALID = "INVALID", "INTERPOLATED", "VALID"
+RUNNING, LATE, ON_TIME = "EN_COURS", "EN_RETARD", "A_TEMPS"
+
+
 @dataclass(frozen=True)
 class SizeLimits:
     """Measured sizes beyond which an operator switches to its skew-proof form.

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantmetrics.config import RangeRule
+from plantmetrics.config import INTERPOLATED, INVALID, LATE, ON_TIME, RUNNING, VALID, RangeRule
 from plantmetrics.functions.numeric import any_true
 
 
@@ -53,7 +53,7 @@ def quality_label(anomaly: Column | str, was_filled: Column | str) -> Column:
     anomaly = F.col(anomaly) if isinstance(anomaly, str) else anomaly
     was_filled = F.col(was_filled) if isinstance(was_filled, str) else was_filled
     return (
-        F.when(anomaly, F.lit("INVALID")).when(was_filled, F.lit("INTERPOLATED")).otherwise(F.lit("VALID"))
+        F.when(anomaly, F.lit(INVALID)).when(was_filled, F.lit(INTERPOLATED)).otherwise(F.lit(VALID))
     )
 
 
@@ -61,9 +61,7 @@ def order_status(finished: Column | str, delay_hours: Column | str) -> Column:
     finished = F.col(finished) if isinstance(finished, str) else finished
     delay_hours = F.col(delay_hours) if isinstance(delay_hours, str) else delay_hours
     return (
-        F.when(finished.isNull(), F.lit("EN_COURS"))
-        .when(delay_hours > 0, F.lit("EN_RETARD"))
-        .otherwise(F.lit("A_TEMPS"))
+        F.when(finished.isNull(), F.lit(RUNNING)).when(delay_hours > 0, F.lit(LATE)).otherwise(F.lit(ON_TIME))
     )
 
 
@@ -83,6 +81,7 @@ def add_lineage(df: DataFrame, source_file: str, source_system: str) -> DataFram
 
     The id depends on the scan's partitions: write the table before anything relies on it.
     """
+    # Names of the lineage columns.
     return df.withColumns(
         {
             "_ingestion_timestamp": F.current_timestamp(),

@@ -96,6 +96,8 @@ def _moved(df: DataFrame, keys: Sequence[str], rows: int, limits: SizeLimits) ->
 def _chunked(
     df: DataFrame, cut: Cut, by: tuple[str, ...], order: tuple[str, ...], sizes: GroupSizes, limits: SizeLimits
 ) -> OrderedRows:
+    if cut.chunks is None:  # no group has more rows than a chunk
+        return OrderedRows(_moved(df, by, sizes.rows, limits), by, order, False, 0, limits)
     moved = _moved(cut.apply(df), (*by, CHUNK), sizes.rows, limits)
     return OrderedRows(moved, by, order, True, sizes.groups + cut.n_ranges, limits)
 
@@ -123,7 +125,8 @@ def order_unique(
     if cut.largest > 2 * limits.chunk_rows:
         return order_rows(keep_first(df, [*by, *keys], order[-1:]), by, order, "chunked", limits, sizes)
     rows = _chunked(df, cut, by, order, sizes, limits)
-    return replace(rows, df=keep_first(rows.df, [*by, CHUNK, *keys], order[-1:]))
+    within = (*by, CHUNK) if rows.chunked else by
+    return replace(rows, df=keep_first(rows.df, [*within, *keys], order[-1:]))
 
 
 def forward_fill(rows: OrderedRows, fills: Mapping[str, Column | str]) -> DataFrame:

@@ -77,8 +77,9 @@ def feed_row_ids(spark: SparkSession, rows: DataFrame, path: str, broadcast_rows
         "_piece": F.floor(F.col("_metadata.file_block_start") / F.lit(least)),
         "_within": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
     }
-    placed = rows.withColumns(place).join(numbered, "_path")
-    row_id = F.shiftleft(F.col("_first") + F.col("_piece"), 33) + F.col("_within")
+    placed = rows.withColumns(place).join(numbered, "_path", "left")
+    unlisted = F.raise_error(F.concat("_path", F.lit(" came after the feed was listed"))).cast("long")
+    row_id = F.shiftleft(F.coalesce("_first", unlisted) + F.col("_piece"), 33) + F.col("_within")
     return placed.withColumn("_row_id", row_id).select(*rows.columns, "_row_id")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantmetrics.config import KpiSettings
+from plantmetrics.config import DAILY_DEFAULTS, WEEKLY_DEFAULTS, KpiSettings
 from plantmetrics.functions.numeric import clamp, count_if, percent, ratio, stable_avg, stable_sum
 from plantmetrics.operators.cleaning import fill_defaults
 
@@ -49,7 +49,7 @@ def join_daily(sensors_day: DataFrame, states_day: DataFrame) -> DataFrame:
 
 def gold_kpis_machines(sensors: DataFrame, scada: DataFrame, kpi: KpiSettings = DEFAULT_KPI) -> DataFrame:
     days = join_daily(daily_sensors(sensors, kpi), daily_states(scada, kpi))
-    return add_availability(fill_defaults(days, {"nb_alarmes": 0, "duree_arret_minutes": 0.0}), kpi)
+    return add_availability(fill_defaults(days, DAILY_DEFAULTS), kpi)
 
 
 def add_availability(days: DataFrame, kpi: KpiSettings = DEFAULT_KPI) -> DataFrame:
@@ -113,8 +113,7 @@ def oee_columns(weeks: DataFrame, kpi: KpiSettings = DEFAULT_KPI) -> DataFrame:
 def gold_oee(sensors: DataFrame, scada: DataFrame, mes: DataFrame, kpi: KpiSettings = DEFAULT_KPI) -> DataFrame:
     """Weekly Overall Equipment Effectiveness per machine."""
     weeks = join_weekly(weekly_sensors(sensors), weekly_downtime(scada, kpi), weekly_production(mes, kpi))
-    defaults = {"sum_arret_minutes": 0.0, "sum_produite": 0, "sum_prevue": 1, "sum_rebuts": 0.0}
-    return oee_columns(fill_defaults(weeks, defaults), kpi)
+    return oee_columns(fill_defaults(weeks, WEEKLY_DEFAULTS), kpi)
 
 
 def gold_maintenance_cost(maintenance: DataFrame, kpi: KpiSettings = DEFAULT_KPI) -> DataFrame:

@@ -1,3 +1,4 @@
+import os
 import sys
 from collections import Counter
 from pathlib import Path
@@ -9,6 +10,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from plantmetrics.session import build_session  # noqa: E402
 
 
+# The published figures aren't part of the repository; the same jobs are held against SQL in test_whole_run.py.
+collect_ignore = [] if os.environ.get("PLANTMETRICS_GOLDEN_DIR") else ["test_golden.py"]
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(

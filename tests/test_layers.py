@@ -8,6 +8,7 @@ from plantmetrics import schemas
 from plantmetrics.config import DEFAULTS, SizeLimits
 from plantmetrics.functions.numeric import stable_sum
 from plantmetrics.plans import dashboards, gold, silver
+from plantmetrics.sources import read_days, write_bucketed, write_days
 
 SENSOR_COLUMNS = "timestamp string, machine_id string, temperature_c double, vibration_mms double, pression_bar double, courant_a double, _row_id long"
 
@@ -240,3 +241,31 @@ def test_large_costs_have_a_total(spark):
     rows = [("M1", 5e12), ("M2", 0.25)]
     total = spark.createDataFrame(rows, "machine_id string, cout double").agg(stable_sum("cout", 6)).first()[0]
     assert total == 5e12 + 0.25
+
+
+def test_gold_reads_the_files_of_its_days_only(spark, tmp_path):
+    sensors, states = sensors_and_states(spark)
+    paths = [str(tmp_path / name) for name in ("sensors", "states")]
+    for path, frame in zip(paths, (sensors, states)):
+        write_days(frame, path, "timestamp_clean")
+    days = [read_days(spark, path, date(2024, 1, 1), date(2024, 1, 1)) for path in paths]
+    kpis = gold.gold_kpis_machines(*days)
+    plan = kpis._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(jour") == 2
+    assert [(r.machine_id, r.nb_mesures) for r in kpis.collect()] == [("M1", 2)]
+
+
+def test_gold_over_buckets_moves_no_reading(spark, tmp_path, same_rows):
+    sensors, states = sensors_and_states(spark)
+    for name, frame in (("b_sensors", sensors), ("b_states", states)):
+        assert write_bucketed(frame, name, str(tmp_path / name), "machine_id", 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        kpis = gold.gold_kpis_machines(spark.table("b_sensors"), spark.table("b_states"))
+        assert "Exchange" not in kpis._jdf.queryExecution().executedPlan().toString()
+        same_rows(gold.gold_kpis_machines(sensors, states), kpis)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("DROP TABLE b_sensors")
+        spark.sql("DROP TABLE b_states")

@@ -131,6 +131,27 @@ def test_row_ids_follow_files_and_pieces(spark, tmp_path):
     assert [r.timestamp for r in sorted(rows)] == sorted(r.timestamp for r in rows)
 
 
+def test_folders_of_any_name_and_files_that_come_late(spark, tmp_path):
+    folder = tmp_path / "dossier été 100% #1"
+    folder.mkdir()
+    (folder / "sensors_data.csv").write_text(HEADER + "t0,M1,1,1,1,1,OK\n")
+    (folder / "scada_logs.json").write_text('[{"event_id": "E1"}, {"event_id": "E2"}]')
+    for source, n in zip(bronze.SOURCES[:2], (1, 2)):
+        rows = bronze.ingest(spark, source, str(folder)).collect()
+        assert len(rows) == n and all(r._row_id is not None for r in rows)
+    late = tmp_path / "late" / "sensors_data.csv"
+    late.mkdir(parents=True)
+    (late / "a.csv").write_text(HEADER + "t0,M1,1,1,1,1,OK\n")
+    rows = read_csv(spark, str(late), schemas.SENSORS)
+    listed = bronze.feed_files
+    try:
+        bronze.feed_files = lambda *_: []
+        with pytest.raises(Exception, match="came after the feed was listed"):
+            bronze.feed_row_ids(spark, rows, str(late), 10).collect()
+    finally:
+        bronze.feed_files = listed
+
+
 def test_rows_are_counted_while_they_are_written(spark, tmp_path):
     tracker = spark.sparkContext.statusTracker()
     df = spark.range(100, numPartitions=4).toDF("n").withColumn("odd", F.col("n") % 2)
