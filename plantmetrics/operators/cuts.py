@@ -51,14 +51,14 @@ def _place(df: DataFrame, name: str) -> Column:
 @dataclass(frozen=True)
 class Cut:
     """``splits``: per level one row per range that is split there; ``chunks``: one row per range that isn't, with its
-    chunk. ``largest``: rows of the fullest range that could not be split.
+    chunk. ``axes``: how many of the order columns decide a row's chunk.
     """
 
     by: tuple[str, ...]
     order: tuple[str, ...]
     splits: tuple[DataFrame, ...]
     chunks: DataFrame | None
-    largest: int
+    axes: int
     n_ranges: int
     limits: SizeLimits
 
@@ -147,6 +147,12 @@ class _Counts:
     def empty(self) -> bool:
         return self.df.isEmpty() if self.rows is None else not self.rows
 
+    def last_axis(self) -> int:
+        """The last order column by which a range is split."""
+        if self.rows is None:
+            return self.df.agg(F.max("_axis")).first()[0]
+        return max(row["_axis"] for row in self.rows)
+
     def where(self, split: bool) -> _Counts:
         """The ranges that are split further, or those that aren't."""
         if self.rows is None:
@@ -154,8 +160,8 @@ class _Counts:
         return self._local(self.df, [row for row in self.rows if (row["_axis"] is not None) == split])
 
 
-def _numbered(leaves: Sequence[_Counts], by: tuple[str, ...], cells: list[str], limits: SizeLimits) -> tuple[DataFrame, int]:
-    """(the ranges that aren't split, each with its chunk; rows of the fullest): neighbours share one until it is full."""
+def _numbered(leaves: Sequence[_Counts], by: tuple[str, ...], cells: list[str], limits: SizeLimits) -> DataFrame:
+    """The ranges that aren't split, each with its chunk: neighbours share one until it is full."""
     like = leaves[-1].df
     if all(leaf.rows is not None for leaf in leaves):
         groups: dict[tuple, list[tuple]] = defaultdict(list)
@@ -172,31 +178,28 @@ def _numbered(leaves: Sequence[_Counts], by: tuple[str, ...], cells: list[str],
         kind = T.StructType([like.schema[name] for name in by])
         for cell in cells:
             kind = kind.add(cell, T.LongType())
-        local = like.sparkSession.createDataFrame(found, kind.add(CHUNK, T.IntegerType())).coalesce(1)
-        return local, max(ranges[-1] for every in groups.values() for ranges in every)
+        return like.sparkSession.createDataFrame(found, kind.add(CHUNK, T.IntegerType())).coalesce(1)
     parts = [leaf.df.withColumns({cell: F.lit(0).cast("long") for cell in cells if cell not in leaf.df.columns}) for leaf in leaves]
     every = reduce(DataFrame.unionByName, [part.select(*by, *cells, "_n") for part in parts])
     before = F.sum("_n").over(Window.partitionBy(*by).orderBy(*cells).rowsBetween(Window.unboundedPreceding, -1))
     chunk = (F.floor(F.coalesce(before, F.lit(0)) / F.lit(limits.chunk_rows)) + 1).cast("int")
-    return every.select(*by, *cells, chunk.alias(CHUNK)), every.agg(F.max("_n")).first()[0]
+    return every.select(*by, *cells, chunk.alias(CHUNK))
 
 
 def cut_groups(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], rows: int, limits: SizeLimits = SizeLimits(), axes: int | None = None
+    df: DataFrame, by: Sequence[str], order: Sequence[str], rows: int, limits: SizeLimits = SizeLimits()
 ) -> Cut:
     """How to cut the groups of more than ``chunk_rows`` rows into chunks of up to about twice that.
 
-    ``rows``: at least how many rows ``df`` has. ``axes``: by how many of the order columns ranges may be split (all).
-    Each level reads the key and order columns of ``df`` once; where values are spread evenly, one is enough.
+    ``rows``: at least how many rows ``df`` has. Each level reads the key and order columns of ``df`` once; where values are spread evenly, one is enough.
     """
     by, order = tuple(by), tuple(order)
-    axes = order[:axes]
     # groups or ranges of more rows than a chunk, and the ranges a level splits these into
     n_ranges = (1 + _FINER) * (rows // limits.chunk_rows + 1)
-    counts = _Counts.of(_counted(df, by, axes, limits).where(F.col("_n") > limits.chunk_rows), n_ranges, limits)
+    counts = _Counts.of(_counted(df, by, order, limits).where(F.col("_n") > limits.chunk_rows), n_ranges, limits)
     if counts.empty():
         return Cut(by, order, (), None, 0, 0, limits)
-    splits, leaves = [], []
+    splits, leaves, last = [], [], 0
     current, keys = df, list(by)
     while True:
         leaves.append(counts.where(split=False))
@@ -205,9 +208,10 @@ def cut_groups(
             break
         level = len(splits)
         splits.append(dense.df)
+        last = max(last, dense.last_axis())
         inside = _look_up(current, splits[-1], keys, [F.lit(True).alias("_dense")], n_ranges, limits).where("_dense")
-        current = _ranged(inside.drop("_dense"), splits[-1], by, axes, level, limits, n_ranges)
+        current = _ranged(inside.drop("_dense"), splits[-1], by, order, level, limits, n_ranges)
         keys = [*by, *_cells(level + 1)]
-        counts = _Counts.of(_counted(current, keys, axes, limits), n_ranges, limits)
-    chunks, largest = _numbered(leaves, by, _cells(len(splits)), limits)
-    return Cut(by, order, tuple(splits), chunks, largest, n_ranges, limits)
+        counts = _Counts.of(_counted(current, keys, order, limits), n_ranges, limits)
+    chunks = _numbered(leaves, by, _cells(len(splits)), limits)
+    return Cut(by, order, tuple(splits), chunks, last + 1, n_ranges, limits)

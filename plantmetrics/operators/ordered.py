@@ -113,17 +113,18 @@ def order_unique(
     """``order_rows`` of the first row (by the last of ``order``) of each combination of ``by`` and ``keys``.
 
     ``keys`` must decide the leading order column, so that copies are in one chunk: rows then move once, and
-    copies are dropped where they meet. Only where a single value of that column has too many rows for a chunk
-    are copies dropped before, map-side, and what is left is cut by the other order columns too.
+    copies are dropped where they meet. Only where a single value of that column has too many rows for a chunk,
+    so that other order columns decide too, are copies dropped before, map-side, and rows move twice. Chunks
+    are counted with the copies in both cases.
     """
     by, order = tuple(by), tuple(order)
     sizes = None if strategy == "window" else group_sizes(df, by)
     if strategy == "window" or (strategy == "auto" and sizes.largest <= limits.max_group_rows):
         moved = df.repartition(*by) if sizes is None else _moved(df, by, sizes.rows, limits)
         return order_rows(keep_first(moved, [*by, *keys], order[-1:]), by, order, "window", limits)
-    cut = cut_groups(df, by, order, sizes.rows, limits, axes=1)
-    if cut.largest > 2 * limits.chunk_rows:
-        return order_rows(keep_first(df, [*by, *keys], order[-1:]), by, order, "chunked", limits, sizes)
+    cut = cut_groups(df, by, order, sizes.rows, limits)
+    if cut.axes > 1:
+        return _chunked(keep_first(df, [*by, *keys], order[-1:]), cut, by, order, sizes, limits)
     rows = _chunked(df, cut, by, order, sizes, limits)
     within = (*by, CHUNK) if rows.chunked else by
     return replace(rows, df=keep_first(rows.df, [*within, *keys], order[-1:]))
