@@ -223,6 +223,9 @@ class _List:
         for start in self.starts[open_]:
             others = np.arange(max(start, first + 1), min(start + self.step, len(self.size)))
             others = others[among[others]]
+            ahead_of = np.minimum(ahead, self.size[others] - self.position[others])
+            fits = (100 + self.percent) * ahead_of >= self.percent * (least + self.size[others])
+            others = others[fits & (100 * most >= self.percent * self.size[others])]
             apart = _differing(self.parity[others], self.parity[first])
             found.append(others[apart <= _gap(most, self.size[others], self.percent) + slack])
         return np.concatenate(found) if found else np.empty(0, np.int64)
