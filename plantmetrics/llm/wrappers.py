@@ -2,10 +2,14 @@
 
 Pages of one host share a template. Their block structures are aligned by simple tree matching (the largest
 order-preserving matching of equal labels, found by dynamic programming over the children of matched nodes)
-and merged into one wrapper tree per host. A wrapper node knows how many pages have it, by a sample which
-different contents these pages have, and whether its text ever changes: nodes that are constant on most of the
-different pages are template, other nodes are slots. Slots inside the host's content node
-are the text; slots with a page-furniture role (menus, adverts, comments ...) are not.
+and merged into one wrapper tree per host. A wrapper node knows how many pages have it, whether its text ever
+changes, and for a sample of the different contents of these pages the text it has beside each. Nodes that are
+constant on most of the different pages are template; so are slots whose values come back beside other contents
+(menus, adverts and notices are drawn from few, an article belongs to one content). The content is the lowest
+node that holds all other slots.
+
+Two things can't be told by how values vary, and hints (tags and names) decide there: slots that vary as
+articles do (reader comments), and hosts with too few different pages.
 
 Tasks merge the pages they read before anything is shuffled, so a host costs one small tree per task, and the
 trees of a hot host meet in two steps. The page itself is never shuffled to build wrappers.
@@ -15,6 +19,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
@@ -27,38 +32,58 @@ from plantmetrics.llm import dom
 from plantmetrics.llm.arrow import record_batch
 from plantmetrics.sources import stage
 
-# Elements and names of page furniture, and of content.
-FURNITURE = set("head nav footer aside form button select menu dialog search".split())
-FURNITURE_NAMES = set(
+# Elements without text of their own, elements and names of page furniture, and of content.
+MARKUP = frozenset("head button select dialog".split())
+FURNITURE = frozenset("nav footer aside form menu search".split())
+FURNITURE_NAMES = frozenset(
     "ad ads adsense advert advertisement advertorial banner breadcrumb breadcrumbs comment comments complementary "
     "consent contentinfo cookie cookies disqus footer form gdpr menu modal nav navbar navigation newsletter notice "
     "pager pagination popup promo promotion related replies reply respond search share sharing sidebar social "
     "sponsor sponsored subscribe toolbar widget".split()
 )
-CONTENT = {"article", "main"}
-CONTENT_NAMES = {"article", "main"}
-TOP_ONLY = {"header"}
+CONTENT = frozenset({"article", "main"})
+TOP_ONLY = frozenset({"header"})
+
+
+@dataclass(frozen=True)
+class Hints:
+    """What tags and names say about a block; without any, the wrapper decides alone."""
+
+    furniture: frozenset[str] = FURNITURE
+    #: Furniture outside content only.
+    top_only: frozenset[str] = TOP_ONLY
+    furniture_names: frozenset[str] = FURNITURE_NAMES
+    #: Tags or names of content; they decide on hosts with too few different pages.
+    content: frozenset[str] = CONTENT
+
+
+NO_HINTS = Hints(frozenset(), frozenset(), frozenset(), frozenset())
 
 #: Children of a node that differ in their neighbours' labels, beyond which equal labels anywhere are folded.
 MOST_CHILDREN = 64
 #: Pages of a host with different contents that must agree before a node counts as constant.
 MIN_PAGES = 3
-#: Digests of contents that a node keeps: the least ones, so those of all pages are a fair sample.
-VOTES = 32
+#: Different contents beside which a slot must be seen before its values are judged.
+MIN_CONTENTS = 12
+#: A slot is template if it has at most this share of values to contents.
+MOST_VALUES = 0.9
+#: Contents that a node samples with its text beside each: those with the least digests, so a fair sample.
+VOTES = 64
 #: Hosts a task holds before it hands on what it has merged.
 MOST_HOSTS = 2_000
 
 
 class Node:
     """A wrapper node: label, pages that have it, least and greatest text hash, words, children in order; of the
-    pages that have it, the words of their contents and the least digests of these, sorted."""
+    pages that have it, the words of their contents and ``votes``: a sample of these contents' digests with the
+    text hash of the node beside each (the least, where copies of a content differ in it)."""
 
     __slots__ = ("label", "pages", "low", "high", "words", "children", "elements", "around", "votes")
 
-    def __init__(self, label, pages=1, low=0, high=0, words=0, children=None, elements=None, around=0, votes=()):
+    def __init__(self, label, pages=1, low=0, high=0, words=0, children=None, elements=None, around=0, votes=None):
         self.label, self.pages, self.low, self.high, self.words = label, pages, low, high, words
         self.children, self.elements = children or [], elements or []
-        self.around, self.votes = around, votes
+        self.around, self.votes = around, votes or {}
 
     @property
     def constant(self) -> bool:
@@ -66,11 +91,11 @@ class Node:
 
     def plain(self) -> list:
         inside = [c.plain() for c in self.children]
-        return [self.label, self.pages, self.low, self.high, self.words, inside, self.around, self.votes]
+        return [self.label, self.pages, self.low, self.high, self.words, inside, self.around, sorted(self.votes.items())]
 
     @classmethod
     def read(cls, plain: list) -> Node:
-        return cls(*plain[:5], [cls.read(one) for one in plain[5]], None, *plain[6:])
+        return cls(*plain[:5], [cls.read(one) for one in plain[5]], None, plain[6], dict(plain[7]))
 
 
 def matching(left: list[Node], right: list[Node]) -> tuple[int, list[tuple[int, int]]]:
@@ -107,8 +132,10 @@ def merge(into: Node, other: Node) -> Node:
     into.words += other.words
     into.low, into.high = min(into.low, other.low), max(into.high, other.high)
     into.around += other.around
-    if into.votes != other.votes:
-        into.votes = sorted({*into.votes, *other.votes})[:VOTES]
+    both = into.votes | other.votes
+    for content in into.votes.keys() & other.votes.keys():
+        both[content] = min(into.votes[content], other.votes[content])
+    into.votes = both if len(both) <= VOTES else {content: both[content] for content in sorted(both)[:VOTES]}
     children, at = [], 0
     pairs = align(into.children, other.children) + [(len(into.children), len(other.children))]
     seen = 0
@@ -149,16 +176,16 @@ def _folded(children: list[Node]) -> list[Node]:
     return found
 
 
-def furniture(element: dom.Element, in_content: bool) -> bool:
+def furniture(element: dom.Element, hints: Hints, in_content: bool) -> bool:
     """Whether the element's own tag or names say that it isn't part of a text."""
-    if element.tag in FURNITURE or (element.tag in TOP_ONLY and not in_content):
+    if element.tag in MARKUP or element.tag in hints.furniture or (element.tag in hints.top_only and not in_content):
         return True
-    return not FURNITURE_NAMES.isdisjoint(element.names) and element.tag not in ("html", "body", "article", "main")
+    return not hints.furniture_names.isdisjoint(element.names) and element.tag not in ("html", "body", "article", "main")
 
 
-def skeleton(top: dom.Element, in_content: bool = False) -> Node:
+def skeleton(top: dom.Element, hints: Hints, in_content: bool = False) -> Node:
     """The folded block structure below an element; furniture is marked to be dropped and left out."""
-    in_content = in_content or top.tag in CONTENT
+    in_content = in_content or top.tag in hints.content
     children, hashes, words, work = [], [], 0, list(reversed(top.inside))
     while work:  # inline elements add to the block around them
         one = work.pop()
@@ -167,10 +194,10 @@ def skeleton(top: dom.Element, in_content: bool = False) -> Node:
             if text:
                 words += len(text)
                 hashes.append(xxhash.xxh3_64_intdigest(" ".join(text)))
-        elif furniture(one, in_content):
+        elif furniture(one, hints, in_content):
             one.drop = True
         elif one.tag in dom.BLOCK:
-            child = skeleton(one, in_content)
+            child = skeleton(one, hints, in_content)
             words += child.words
             hashes.append(child.low)
             children.append(child)
@@ -181,35 +208,56 @@ def skeleton(top: dom.Element, in_content: bool = False) -> Node:
     return Node(label, 1, digest, digest, words, _folded(children), [top])
 
 
-def content_nodes(wrapper: Node) -> list[Node]:
-    """The nodes whose slots are the text: those that say so, else the lowest that has all but template in it."""
-    found, work = [], [wrapper]
+def named_content(top: Node, hints: Hints) -> list[Node]:
+    """The highest nodes that say they are content."""
+    found, work = [], [top]
     while work:
         one = work.pop()
-        if one.words and (one.label.split(".")[0] in CONTENT or CONTENT_NAMES & set(one.label.split(".")[1:])):
+        if one.words and not hints.content.isdisjoint(one.label.split(".")):
             found.append(one)
         else:
             work.extend(one.children)
+    return found
+
+
+def page_content(page: Node, hints: Hints) -> list[Node]:
+    """The content of a page read by itself: what says so, else the lowest node with over half of its words."""
+    found = named_content(page, hints)
     if found:
         return found
+    here = page
+    while True:
+        heavy = [c for c in here.children if 2 * c.words > page.words]
+        if not heavy:
+            return [here]
+        here = heavy[0]
+
+
+def wrapper_content(wrapper: Node, hints: Hints) -> list[Node]:
+    """The lowest node with all but template in it. Only on hosts with too few different pages to judge slots,
+    nodes that say they are content come first."""
+    if len(wrapper.votes) < MIN_CONTENTS:
+        found = named_content(wrapper, hints)
+        if found:
+            return found
     here = wrapper
     while True:
-        slots = [c for c in here.children if c.words and not is_template(c, here)]
+        slots = [c for c in here.children if c.words and not is_template(c, here) and not comes_back(c)]
         own = here.words - sum(c.words for c in here.children)
         if own or len(slots) != 1 or not slots[0].children:
             return [here]
         here = slots[0]
 
 
-def voted(page: Node) -> Node:
+def voted(page: Node, hints: Hints) -> Node:
     """A page's skeleton, with the words and the digest of its content noted at each node."""
-    nodes = content_nodes(page)
+    nodes = page_content(page, hints)
     around = sum(one.words for one in nodes)
-    votes = [xxhash.xxh3_64_intdigest(repr([one.low for one in nodes])) >> 2] if around else []
+    content = xxhash.xxh3_64_intdigest(repr([one.low for one in nodes])) >> 16
     work = [page]
     while work:
         one = work.pop()
-        one.around, one.votes = around, votes
+        one.around, one.votes = around, {content: one.low >> 14} if around else {}
         work.extend(one.children)
     return page
 
@@ -220,12 +268,25 @@ def is_template(one: Node, above: Node) -> bool:
     host may well be versions of one text."""
     if not one.constant or len(one.votes) < MIN_PAGES or one.label.split(".")[0] in dom.HEADINGS:
         return False
-    return 2 * len(set(one.votes).intersection(above.votes)) > len(above.votes) and 2 * one.words <= one.around
+    return 2 * len(one.votes.keys() & above.votes.keys()) > len(above.votes) and 2 * one.words <= one.around
+
 
+def comes_back(one: Node) -> bool:
+    """Whether a node's values come back beside different contents, so that it doesn't belong to one of them. A
+    heading or a node with over half of the words of its pages never does."""
+    if len(one.votes) < MIN_CONTENTS or one.label.split(".")[0] in dom.HEADINGS or 2 * one.words > one.around:
+        return False
+    return len(set(one.votes.values())) <= MOST_VALUES * len(one.votes)
 
-def template_nodes(content: Node) -> list[Node]:
-    """The template below a content node that varies."""
-    found, work = [], [] if content.constant else list(content.children)
+
+def template_nodes(content: Node, hints: Hints) -> list[Node]:
+    """The template below a content node that varies. Children whose values come back go as well, unless the node
+    says that it is content: there, a line such as an author's name may come back."""
+    if content.constant:
+        return []
+    outer = hints.content.isdisjoint(content.label.split("."))
+    found = [c for c in content.children if outer and comes_back(c)]
+    work = [c for c in content.children if c not in found]
     while work:
         one = work.pop()
         if is_template(one, content):
@@ -235,6 +296,21 @@ def template_nodes(content: Node) -> list[Node]:
     return found
 
 
+#: What a wrapper node is to the pages that align with it.
+OTHER, SLOTS, TEMPLATE = 0, 1, 2
+
+
+def decided(wrapper: Node, hints: Hints) -> list:
+    """A wrapper as ``[label, kind, children]``: all that pages need to be read by it, without its samples."""
+    content = wrapper_content(wrapper, hints)
+    kinds = {id(t): TEMPLATE for c in content for t in template_nodes(c, hints)} | {id(c): SLOTS for c in content}
+
+    def plain(one: Node) -> list:
+        return [one.label, kinds.get(id(one), OTHER), [plain(c) for c in one.children]]
+
+    return plain(wrapper)
+
+
 def _mapped(page: Node, wrapper: Node) -> Iterator[tuple[Node, Node]]:
     """Pairs of a page's nodes and the wrapper's that they align with."""
     yield page, wrapper
@@ -243,26 +319,31 @@ def _mapped(page: Node, wrapper: Node) -> Iterator[tuple[Node, Node]]:
 
 
 class Extractor:
-    """Reads pages of one host by its wrapper."""
+    """Reads pages of one host by its decided wrapper."""
 
-    def __init__(self, wrapper: Node):
-        self.wrapper, self.content = wrapper, content_nodes(wrapper)
-        self.template = {id(t) for c in self.content for t in template_nodes(c)}
-        self.content = {id(c) for c in self.content}
+    def __init__(self, plain: list, hints: Hints):
+        self.kinds: dict[int, int] = {}
+        self.hints, self.wrapper = hints, self._read(plain)
+
+    def _read(self, plain: list) -> Node:
+        node = Node(plain[0], children=[self._read(one) for one in plain[2]])
+        self.kinds[id(node)] = plain[1]
+        return node
 
     def text(self, html: str | None) -> str:
         if not html:
             return ""
-        page = skeleton(dom.parse(html))
+        page = skeleton(dom.parse(html), self.hints)
         tops = []
         for node, slot in _mapped(page, self.wrapper):
-            if id(slot) in self.template:
+            kind = self.kinds[id(slot)]
+            if kind == TEMPLATE:
                 for element in node.elements:
                     element.drop = True
-            if id(slot) in self.content:
+            elif kind == SLOTS:
                 tops.extend(node.elements)
         if not tops:  # the page lacks what its host's pages have: it is read by itself
-            tops = [e for node in content_nodes(page) for e in node.elements]
+            tops = [e for node in page_content(page, self.hints) for e in node.elements]
         return " ".join(block for top in tops for block in dom.blocks(top))
 
 
@@ -277,7 +358,7 @@ def _merged(kind: StructType, trees: dict[str, Node]) -> pa.RecordBatch:
     )
 
 
-def induce_wrappers(pages: DataFrame) -> DataFrame:
+def induce_wrappers(pages: DataFrame, hints: Hints = Hints()) -> DataFrame:
     """``(host, wrapper)`` from ``pages`` (host, html): every page counts."""
     kind = StructType.fromDDL("host string, wrapper string")
 
@@ -285,7 +366,7 @@ def induce_wrappers(pages: DataFrame) -> DataFrame:
         trees: dict[str, Node] = {}
         for batch in batches:
             for host, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                page = voted(skeleton(dom.parse(html or "")))
+                page = voted(skeleton(dom.parse(html or ""), hints), hints)
                 for node, _ in _mapped(page, page):
                     node.elements = []
                 trees[host] = merge(trees[host], page) if host in trees else page
@@ -294,34 +375,47 @@ def induce_wrappers(pages: DataFrame) -> DataFrame:
                 trees = {}
         yield _merged(kind, trees)
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees: dict[str, Node] = {}
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Node]]:
+        """One tree per host; rows come sorted by host."""
+        last, tree = None, None
         for batch in batches:
             for host, plain in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                tree = Node.read(json.loads(plain))
-                if host not in trees and len(trees) > 0:  # rows come sorted by host
-                    yield _merged(kind, trees)
-                    trees = {}
-                trees[host] = merge(trees[host], tree) if host in trees else tree
-        yield _merged(kind, trees)
+                new = Node.read(json.loads(plain))
+                if tree is not None and host == last:
+                    tree = merge(tree, new)
+                    continue
+                if tree is not None:
+                    yield last, tree
+                last, tree = host, new
+        if tree is not None:
+            yield last, tree
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for host, tree in joined(batches):
+            yield _merged(kind, {host: tree})
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for host, tree in joined(batches):
+            yield record_batch([[host], [json.dumps(decided(tree, hints))]], to_arrow_schema(kind))
 
     parts = pages.select("host", "html").mapInArrow(read, kind)
     some = parts.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(64))).repartition("host", "part")
     some = some.sortWithinPartitions("host", "wrapper").select("host", "wrapper").mapInArrow(join, kind)
-    return some.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(join, kind)
+    return some.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(decide, kind)
 
 
-def extract_main_text(pages: DataFrame) -> DataFrame:
+def extract_main_text(pages: DataFrame, hints: Hints = Hints()) -> DataFrame:
     """``page_id, url, text, n_chars`` per row of ``pages`` (page_id, url, html).
 
     A null or empty html gives an empty text, as does a page without any. Pages without a host in their url,
     null urls too, are taken as pages of one nameless host. Repeated rows give repeated results; other columns
     are ignored; an empty table gives an empty result. Elements nested deeper than ``dom.DEPTH`` are read as
     text of the element around them. Wrappers are joined by host: a hot host has one wrapper row, and its
-    pages are split between tasks where the join isn't a broadcast one.
+    pages are split between tasks where the join isn't a broadcast one. Beside a page goes the decided wrapper,
+    without the samples it was decided by.
     """
     rows = pages.select("page_id", "url", "html", page_host(F.col("url")).alias("host"))
-    wrappers = stage(induce_wrappers(rows), "wrappers")
+    wrappers = stage(induce_wrappers(rows, hints), "wrappers")
     kind = StructType.fromDDL("page_id long, url string, text string, n_chars long")
     arrow = to_arrow_schema(kind)
 
@@ -334,7 +428,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
                 if plain not in known:
                     if len(known) > MOST_HOSTS:
                         known.clear()
-                    known[plain] = Extractor(Node.read(json.loads(plain)))
+                    known[plain] = Extractor(json.loads(plain), hints)
                 texts.append(known[plain].text(html))
             yield record_batch([ids, urls, texts, [len(one) for one in texts]], arrow)
 

@@ -1,20 +1,108 @@
 import html
+import random
 import re
+from functools import cache
+from itertools import combinations
 
 from plantmetrics.llm import dom
 from plantmetrics.llm.queries import QUERIES
-from plantmetrics.llm.wrappers import Node, extract_main_text, matching
+from plantmetrics.llm.wrappers import NO_HINTS, VOTES, Node, extract_main_text, matching, merge
 
 SF = "/root/testdata/sf0.01"
+LARGE = "/root/testdata/sf0.1"
 PAGES = "page_id long, url string, html string"
 
 
+def articles(spark, sf_dir):
+    """The text of each page's article, by regular expressions."""
+    found = {}
+    for row in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        article = re.search(r"<article>(.*)</article>", row.html, re.S)[1]
+        found[row.page_id] = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", article))).split())
+    return found
+
+
 def test_articles_of_the_pages(spark):
-    source = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    want = articles(spark, SF)
     for row in QUERIES["op6_html_text"](spark, SF).collect():
-        article = re.search(r"<article>(.*)</article>", source[row.page_id], re.S)[1]
-        text = html.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", article)))
-        assert row.text == " ".join(text.split()) and row.n_chars == len(row.text)
+        assert row.text == want[row.page_id] and row.n_chars == len(row.text)
+
+
+def test_the_wrapper_alone_finds_the_articles(spark):
+    """Without a tag, class or id to go by, but for what the alignment of a host's pages shows."""
+    want = articles(spark, LARGE)
+    got = extract_main_text(spark.read.parquet(f"{LARGE}/pages.parquet"), NO_HINTS).collect()
+    assert len(got) == len(want) and sum(r.text == want[r.page_id] for r in got) >= 0.9 * len(want)
+
+
+def test_values_that_come_back_are_template_wherever_they_stand(spark):
+    def body(k):
+        words = " ".join(f"word{k}x{j}" for j in range(40))
+        teaser, note = f"Offer number {k % 7} of the week", f"Weather is {k % 3}"
+        return f"<div class=a>{teaser}</div><div class=b><h2>Same heading</h2><p>{words}</p></div><div class=c>{note}</div>"
+
+    rows = [(k, "http://h/", body(k)) for k in range(60)] + [(k, "http://small/", body(k)) for k in range(4)]
+    rows += [(3, "http://h/", body(3))]  # a repeated row
+    got = extract_main_text(spark.createDataFrame(rows, PAGES), NO_HINTS).collect()
+    assert len(got) == 65
+    for row in got:
+        if "small" in row.url:  # too few pages to tell: the block that is over half of the words
+            assert f"word{row.page_id}x0" in row.text
+        else:
+            assert row.text.startswith(f"Same heading word{row.page_id}x0") and row.text.endswith("x39")
+
+
+def test_an_author_who_comes_back_stays_in_an_article(spark):
+    def body(k):
+        words = " ".join(f"word{k}x{j}" for j in range(40))
+        return f"<div class=x>Buy {k % 4} now</div><article><div class=by>By Ann {k % 5}</div><p>{words}</p></article>"
+
+    rows = [(k, "http://h/", body(k)) for k in range(50)]
+    for row in extract_main_text(spark.createDataFrame(rows, PAGES)).collect():
+        assert row.text.startswith(f"By Ann {row.page_id % 5} word{row.page_id}x0")
+
+
+def test_samples_do_not_depend_on_the_order_of_merging():
+    def page(k):
+        return Node("a", votes={k * 7919 % 1009: k % 5})
+
+    def merged(order):
+        top = page(order[0])
+        for k in order[1:]:
+            top = merge(top, page(k))
+        return sorted(top.votes.items())
+
+    forward = merged(range(300))
+    assert forward == merged(range(299, -1, -1)) and len(forward) == VOTES
+    assert forward == sorted((k * 7919 % 1009, k % 5) for k in range(300))[:VOTES]
+
+
+def test_matching_against_all_alignments():
+    """The largest matching of trees, by trying every order-preserving choice of children."""
+
+    def tree(random_, depth):
+        inside = [tree(random_, depth - 1) for _ in range(random_.randrange(4))] if depth else []
+        return (random_.choice("ab"), tuple(inside))
+
+    @cache
+    def largest(left, right):
+        best = 0
+        for n in range(1, min(len(left), len(right)) + 1):
+            for some in combinations(left, n):
+                for others in combinations(right, n):
+                    if all(a[0] == b[0] for a, b in zip(some, others)):
+                        best = max(best, sum(1 + largest(a[1], b[1]) for a, b in zip(some, others)))
+        return best
+
+    def node(plain):
+        return Node(plain[0], children=[node(one) for one in plain[1]])
+
+    random_ = random.Random(5)
+    for _ in range(200):
+        left, right = ([tree(random_, 2) for _ in range(random_.randrange(5))] for _ in range(2))
+        size, pairs = matching([node(one) for one in left], [node(one) for one in right])
+        assert size == largest(tuple(left), tuple(right))
+        assert sum(1 + largest(left[i][1], right[j][1]) for i, j in pairs) == size
 
 
 def page(k, extra=""):
