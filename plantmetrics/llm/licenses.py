@@ -6,7 +6,8 @@ of whose terms could reach a notice are passed over. SPDX tags are read as they
 notices' terms are counted over all files. A file that is a licence as a whole, or is named like one, licenses its
 directory. A file without a notice of its own inherits from the nearest directory above it that has a licence: the
 directories' ancestors are joined with the licensed ones. Of long licences (GNU, Apache, Mozilla, Creative Commons)
-only what they begin with is known, which takes a file's name to tell that it is the licence itself.
+the template is what they begin with: a file that begins so, and not as a comment, is the licence itself, whatever
+its name and however long it is.
 """
 
 from __future__ import annotations
@@ -152,6 +153,12 @@ TEXTS = [
 SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([^\n]+)", re.I)
 SPDX_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9.-]*")
 LICENCE_NAME = r"(?i)^(licen[cs]e|copying|unlicense|notice)([.-].*)?$"
+# How comments begin.
+COMMENT = re.compile(r"\s*(?:#|//|/\*|--|;|%|\"\"\"|'''|<!--|\(\*|\.\. )")
+#: What long licences begin with, of ``TEXTS``.
+OPENINGS = re.compile(
+    r"GNU [A-Z ]+LICENSE Version|Apache License Version|CC0 1\.0 Universal|Mozilla Public License Version|Creative Commons .* Public License By"
+)
 TERM = re.compile(r"\d+(?:\.\d+)*|[^\W\d_]+(?:\d+)?")
 
 
@@ -162,6 +169,9 @@ class LicenseSettings:
     min_file: float = 0.7
     #: Different terms that a line shares with a notice before their cosine is taken.
     min_shared: int = 2
+    #: Directories that inherit, up to which their table is broadcast; beyond, it is joined in as many parts as ``salts``.
+    broadcast_rows: int = 100_000
+    salts: int = 32
 
 
 def terms(text: str | None) -> list[str]:
@@ -175,28 +185,40 @@ class Notices:
         self.files, self.frequencies = files, frequencies
         self.postings: dict[str, list[tuple[tuple[str, int], float]]] = {}
         self.vectors: list[tuple[str, int, dict[str, float]]] = []
+        self.openings: set[int] = set()
         for k, (name, text) in enumerate(sorted(notices)):
             found = terms(text)
             weights = {term: n * self.idf(term) for term, n in Counter(found).items()}
             norm = math.sqrt(sum(w * w for w in weights.values()))
+            if OPENINGS.match(text):
+                self.openings.add(k)
             self.vectors.append((name, len(found), {term: weight / norm for term, weight in weights.items()}))
             for term, weight in weights.items():
                 self.postings.setdefault(term, []).append(((name, k), weight / norm))
         self.names = {name.lower(): name for name, _ in notices}
 
-    def possible(self, present: set[str], least: float) -> list[tuple[str, int, dict[str, float]]]:
-        """The notices that some text of these terms can reach a cosine of ``least`` with."""
+    def possible(self, present: set[str], least: float) -> list[int]:
+        """Places of the notices that some text of these terms can reach a cosine of ``least`` with."""
         bounds = [0.0] * len(self.vectors)
         for term in present.intersection(self.postings):
             for (_, k), weight in self.postings[term]:
                 bounds[k] += weight * weight
-        return [one for one, bound in zip(self.vectors, bounds, strict=True) if bound >= least * least - 1e-9]
+        return [k for k, bound in enumerate(bounds) if bound >= least * least - 1e-9]
+
+    def head(self, found: list[str], possible: list[int], least: float, min_shared: int) -> tuple[float, str | None]:
+        """(cosine, licence) of the opening of a long licence that the terms begin with: of the most similar run of
+        its length among twice as many terms, so that a title may stand before it."""
+        best = (0.0, None)
+        for k in self.openings.intersection(possible):
+            score = self.window(found[: 2 * self.vectors[k][1]], [k], least, min_shared)
+            best = max(best, score, key=lambda x: (round(x[0], 9), x[1] or ""))
+        return best
 
     def window(self, found: list[str], possible, least: float, min_shared: int) -> tuple[float, str | None]:
         """(cosine, notice) of the most similar run of terms as long as the notice, if it reaches ``least``."""
         idf = np.array([self.idf(term) for term in found])
         squares, best = np.concatenate([[0], np.cumsum(idf * idf)]), (0.0, None)
-        for name, length, vector in possible:
+        for name, length, vector in (self.vectors[k] for k in possible):
             size = min(length, len(found))
             dots = np.concatenate([[0], np.cumsum(idf * [vector.get(term, 0.0) for term in found])])
             dots = dots[size:] - dots[:-size]
@@ -254,7 +276,8 @@ def term_frequencies(files: DataFrame, notices: list[tuple[str, str]]) -> tuple[
 
 def scan_notices(files: DataFrame, notices: list[tuple[str, str]], settings: LicenseSettings) -> DataFrame:
     """``(path, line_license, line_score, file_license, file_score)`` per row of ``files``: the best line, window
-    of terms or SPDX tag, and the file as a whole; scores that settings don't reach may be 0."""
+    of terms or SPDX tag, and the file as a whole or, if that reaches nothing, its head; scores that settings don't
+    reach may be 0."""
     frequencies, count = term_frequencies(files, notices)
 
     def work(paths, texts):
@@ -276,6 +299,9 @@ def scan_notices(files: DataFrame, notices: list[tuple[str, str]], settings: Lic
             elif window[0] > lines[-1][0] + 1e-9:
                 lines[-1] = window
             wholes.append(known.best(Counter(found), settings.min_shared))
+            if wholes[-1][0] < settings.min_file and not COMMENT.match(text):
+                head = known.head(found, possible, settings.min_line, settings.min_shared)
+                wholes[-1] = max(wholes[-1], head, key=lambda x: x[0])
         line_scores, line_names = zip(*lines, strict=True)
         file_scores, file_names = zip(*wholes, strict=True)
         return paths, line_names, line_scores, file_names, file_scores
@@ -293,7 +319,8 @@ def resolve_licenses(
     directory ``origin_path``) or ``none``. Where several licence files lie in a directory, the one with the
     highest score counts, the first by path among equals. A null text has no notice; a null path has no
     directory and inherits nothing. Repeated rows give repeated results; other columns are ignored; an empty
-    table gives an empty result.
+    table gives an empty result. A directory may hold any share of all files: its files are joined with the licence
+    above them by broadcast, where these tables were counted small, else in ``salts`` parts.
     """
     known = list(notices.items()) if notices else [*NOTICES.items(), *TEXTS]
     scanned = stage(scan_notices(files, known, settings), "notices")
@@ -323,7 +350,13 @@ def resolve_licenses(
         .groupBy("directory")
         .agg(F.max_by(F.struct("above", "ancestor"), "depth").alias("given"))
     )
-    joined = scanned.join(nearest, "directory", "left")
+    nearest = stage(nearest, "nearest")
+    if nearest.count() <= settings.broadcast_rows:
+        joined = scanned.join(F.broadcast(nearest), "directory", "left")
+    else:
+        parts = F.explode(F.sequence(F.lit(0), F.lit(settings.salts - 1)))
+        salted = scanned.withColumn("part", F.pmod(F.xxhash64("path"), F.lit(settings.salts)).cast("int"))
+        joined = salted.join(nearest.withColumn("part", parts), ["directory", "part"], "left")
     header = F.col("line_score") >= settings.min_line
     return joined.select(
         "path",
