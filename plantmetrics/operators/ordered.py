@@ -25,6 +25,10 @@ from plantmetrics.operators.cuts import CHUNK, Cut, cut_groups
 from plantmetrics.operators.sizing import GroupSizes, group_sizes
 
 
+#: Rows that a task takes at least before more tasks are asked for: small chunks share one.
+_TASK_ROWS = 250_000
+
+
 @dataclass(frozen=True)
 class OrderedRows:
     df: DataFrame
@@ -86,8 +90,11 @@ def order_rows(
 
 
 def _moved(df: DataFrame, keys: Sequence[str], rows: int, limits: SizeLimits) -> DataFrame:
-    """Rows in the partition of their keys; more partitions than configured if the counted rows call for it."""
-    wanted = -(-rows // limits.chunk_rows)
+    """Rows in the partition of their keys; more partitions than configured if the counted rows call for it.
+
+    A chunk is whole in a partition, and a partition holds as many chunks as make ``_TASK_ROWS``.
+    """
+    wanted = -(-rows // max(limits.chunk_rows, _TASK_ROWS))
     if wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         return df.repartition(*keys)
     return df.repartition(wanted, *keys)

@@ -80,6 +80,16 @@ def test_chunks_are_even_although_one_group_is_hot(spark):
     assert len(counts) > 20 and max(counts) < 400 and sum(counts) == 3000
 
 
+def test_small_chunks_share_tasks(spark):
+    """The number of tasks follows from rows, not from chunks."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for limits in (TINY, SizeLimits(max_group_rows=10, chunk_rows=2)):
+        ordered = order_rows(skewed(spark), ["m"], ["ts", "row_id"], "chunked", limits)
+        assert ordered.chunked and ordered.df.rdd.getNumPartitions() <= tasks
+        unique = order_unique(skewed(spark), ["m"], ["ts"], ["ts", "row_id"], "chunked", limits)
+        assert unique.chunked and unique.df.rdd.getNumPartitions() <= tasks
+
+
 def test_chunks_follow_the_order_whatever_the_values_are(spark):
     """One instant and unknown times with many rows, values far apart, texts, and copies of the whole order."""
     i = F.col("id")
