@@ -26,6 +26,8 @@ SETTINGS = replace(DEFAULTS, kpi=KPI)
 #: The machines of the test tables have some 80 readings: cut them all, or the one that gets a third of the feed.
 SMALL_CHUNKS = SizeLimits(chunk_rows=40)
 HOT_LIMITS = SizeLimits(max_group_rows=300, chunk_rows=300)
+#: How raw feeds come.
+PART_FILES = {"compression": "gzip", "rows_per_file": 500_000}
 ALARM_CODES = [f"ALM_{i}" for i in range(10)]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -756,12 +758,12 @@ def gold_production_summary(spark, sf):
 
 
 def write_feeds(spark, sf):
-    """The four feeds as raw files, as the plant would deliver them."""
+    """The four feeds as raw files, as the plant would deliver them: compressed part files of bounded size."""
     raw_dir = scratch.scratch_path(spark, "raw")
-    io.export_csv(tables.sensors(spark, sf).drop("_row_id"), f"{raw_dir}/sensors_data.csv")
-    tables.write_json_arrays(tables.scada(spark, sf).drop("_row_id"), f"{raw_dir}/scada_logs.json")
-    io.export_csv(tables.mes(spark, sf), f"{raw_dir}/mes_orders.csv")
-    io.export_csv(tables.maintenance(spark, sf), f"{raw_dir}/maintenance_logs.csv")
+    io.export_csv(tables.sensors(spark, sf).drop("_row_id"), f"{raw_dir}/sensors_data.csv", **PART_FILES)
+    tables.write_json_arrays(tables.scada(spark, sf).drop("_row_id"), f"{raw_dir}/scada_logs.json", "gzip")
+    io.export_csv(tables.mes(spark, sf), f"{raw_dir}/mes_orders.csv", **PART_FILES)
+    io.export_csv(tables.maintenance(spark, sf), f"{raw_dir}/maintenance_logs.csv", **PART_FILES)
     return raw_dir
 
 

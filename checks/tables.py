@@ -153,27 +153,21 @@ def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_json_arrays(df: DataFrame, path: str) -> None:
-    """One JSON array per part file, streamed row by row."""
+def write_json_arrays(df: DataFrame, path: str, compression: str = "none", most: int = 50_000) -> None:
+    """JSON arrays of up to ``most`` rows, a file each: an array is read as one text, so its size is bounded."""
 
-    def lines(batches):
-        separator = "["
-        for batch in batches:
-            for value in batch["value"]:
-                yield separator + value
-                separator = ","
-        yield "[]" if separator == "[" else "]"
-
-    def as_array(batches):
+    def arrays(batches):
         import pandas as pd
 
-        held = []
-        for line in lines(batches):
-            held.append(line)
-            if len(held) == 4096:
-                yield pd.DataFrame({"value": held})
-                held = []
-        yield pd.DataFrame({"value": held})
-
-    packed = df.select(F.to_json(F.struct("*")).alias("value"))
-    packed.mapInPandas(as_array, "value string").write.mode("overwrite").text(path)
+        held, some = [], False
+        for batch in batches:
+            for value in batch["value"]:
+                held.append(value)
+                if len(held) == most:
+                    yield pd.DataFrame({"value": ["[" + "\n,".join(held) + "\n]"]})
+                    held, some = [], True
+        if held or not some:
+            yield pd.DataFrame({"value": ["[" + "\n,".join(held) + "\n]"]})
+
+    packed = df.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(arrays, "value string")
+    packed.write.mode("overwrite").option("compression", compression).option("maxRecordsPerFile", 1).text(path)

@@ -18,6 +18,8 @@ from plantmetrics.operators.sizing import group_sizes
 
 BAD_RECORD = "_bad_record"
 _STRINGS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+#: Of layer tables, which are written once and read by several jobs.
+_CODEC = "zstd"
 #: Outside strings: what follows the end of an array or object where that isn't the end of the text.
 _MORE_VALUES = r"[\]}]\s*[^\s,\]}]"
 
@@ -98,6 +100,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Replace the table at ``path`` including its schema. ``path`` must not be an input of ``df``."""
     writer = df.write.format(fmt).mode("overwrite")
+    if fmt == "parquet":
+        writer = writer.option("compression", _CODEC)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
@@ -199,9 +203,13 @@ def delete_marker(spark: SparkSession, path: str) -> None:
     files.delete(target, False)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with a header each, written by the executors."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def export_csv(df: DataFrame, path: str, compression: str = "none", rows_per_file: int = 0) -> None:
+    """CSV part files with a header each, written by the executors.
+
+    A compressed file is read by one task: ``rows_per_file`` makes more of them (0: one per task that writes).
+    """
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("compression", compression).option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
 def preview(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:

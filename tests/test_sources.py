@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks import tables
 from plantmetrics import schemas
 from plantmetrics.config import SizeLimits
 from plantmetrics.operators.cleaning import keep_first
@@ -298,3 +299,24 @@ def test_scratch_is_required_on_a_cluster():
 
     with pytest.raises(ValueError):
         scratch_path(Session(), "x")
+
+
+def test_raw_feeds_are_compressed_and_bounded(spark, tmp_path, same_rows):
+    """Arrays of bounded size, each a file; compressed feeds read like plain ones, in the same order."""
+    df = spark.range(1000, numPartitions=2).select(F.col("id").cast("string").alias("event_id"), F.lit("é\"[,").alias("etat"))
+    tables.write_json_arrays(df, str(tmp_path / "j"), "gzip", 150)
+    files = sorted(p.name for p in (tmp_path / "j").glob("part-*"))
+    assert len(files) == 8 and all(name.endswith(".gz") for name in files)
+    same_rows(df, read_json(spark, str(tmp_path / "j"), df.schema))
+    tables.write_json_arrays(df.limit(0), str(tmp_path / "none"), "gzip")
+    assert read_json(spark, str(tmp_path / "none"), df.schema).isEmpty()
+    export_csv(df, str(tmp_path / "c"), "gzip", 150)
+    assert len(list((tmp_path / "c").glob("part-*.csv.gz"))) == 8
+    same_rows(df, read_csv(spark, str(tmp_path / "c"), df.schema))
+
+
+def test_layer_tables_are_packed(spark, tmp_path, same_rows):
+    df = spark.range(100).selectExpr("id", "cast(id AS string) AS name")
+    write_table(df, str(tmp_path / "t"))
+    assert list((tmp_path / "t").glob("*.zstd.parquet"))
+    same_rows(df, read_table(spark, str(tmp_path / "t")))
