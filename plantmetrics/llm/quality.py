@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantmetrics.llm.arrow import map_columns
-from plantmetrics.llm.labelled import Adagrad, prior_shift, sample_labelled, sigmoid
+from plantmetrics.llm.labelled import Adagrad, all_labelled, sigmoid, train_by_parts
+from plantmetrics.sources import stage
 
 STRIDE = 4
 
@@ -29,9 +30,8 @@ class QualitySettings:
     epochs: int = 12
     rate: float = 0.05
     decay: float = 1e-5
-    #: The sample to learn from: documents of each label at most, and bytes of each at most.
-    per_class: int = 2000
-    max_bytes: int = 16_384
+    #: Documents that a task learns from in a round.
+    per_part: int = 4000
     seed: int = 11
 
 
@@ -45,7 +45,6 @@ def _cells(data: bytes) -> np.ndarray:
 class QualityModel:
     settings: QualitySettings
     parameters: dict[str, np.ndarray]
-    shift: float = 0.0
 
     def blocks(self, cells: np.ndarray) -> np.ndarray:
         """Maxima of the filters in each block of positions."""
@@ -74,7 +73,7 @@ class QualityModel:
             return np.empty(0)
         features = np.array([self.features(one) for one in texts])
         hidden = np.tanh(features @ p["hidden"] + p["h_bias"])
-        return sigmoid(hidden @ p["out"] + p["bias"][0] + self.shift)
+        return sigmoid(hidden @ p["out"] + p["bias"][0])
 
 
 def new_model(settings: QualitySettings) -> QualityModel:
@@ -87,23 +86,23 @@ def new_model(settings: QualitySettings) -> QualityModel:
     return QualityModel(settings, p)
 
 
-def train(texts: list[bytes], labels: np.ndarray, settings: QualitySettings) -> QualityModel:
-    """Fit on whole texts; the same texts in the same order give the same model."""
-    model, rng = new_model(settings), np.random.default_rng(settings.seed + 1)
-    optimiser, cells = Adagrad(model.parameters, settings.rate, settings.decay), [_cells(one) for one in texts]
-    for _ in range(settings.epochs):
-        order = rng.permutation(len(texts))
-        for at in range(0, len(order), 16):
-            _step(model, optimiser, [cells[k] for k in order[at : at + 16]], labels[order[at : at + 16]])
-    return model
+def learn(optimiser: Adagrad, texts: list[bytes], labels: np.ndarray, rng, settings: QualitySettings) -> None:
+    """Go once through whole texts, 16 together."""
+    model, order = QualityModel(settings, optimiser.p), rng.permutation(len(texts))
+    for at in range(0, len(order), 16):
+        some = order[at : at + 16]
+        _step(model, optimiser, [_cells(texts[k]) for k in some], labels[some])
 
 
 def _pool(model: QualityModel, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(maximum, its position) of each filter in each chunk of a text."""
-    value, block = model._values(cells), model.settings.block
-    starts = range(0, len(value), block)
-    own = np.array([a + value[a : a + block].argmax(axis=0) for a in starts])
-    top = np.take_along_axis(value, own, axis=0)
+    """(maximum, its position) of each filter in each chunk of a text; a long text is worked through in pieces."""
+    block, own, top = model.settings.block, [], []
+    for start in range(0, len(cells) - 1, block * 512):
+        value = model._values(cells[start : start + block * 512 + 1])
+        best = np.array([a + value[a : a + block].argmax(axis=0) for a in range(0, len(value), block)])
+        top.append(np.take_along_axis(value, best, axis=0))
+        own.append(best + start)
+    own, top = np.concatenate(own), np.concatenate(top)
     if len(top) == 1:
         return top, own
     later = top[1:] > top[:-1]
@@ -143,13 +142,13 @@ def _step(model: QualityModel, optimiser: Adagrad, texts: list[np.ndarray], labe
 def fit_quality(
     docs: DataFrame, labels: DataFrame, settings: QualitySettings = QualitySettings(), label: str = "quality"
 ) -> QualityModel:
-    """Learn from a bounded sample (see ``sample_labelled``). With labels of one kind only, or none, the model
-    still scores: near the share of ones, or a half."""
-    sample, totals = sample_labelled(docs, labels, label, settings.per_class, settings.max_bytes)
-    rows = sample.toPandas().sort_values("doc_id")
-    y = rows["y"].to_numpy(np.float32)
-    model = train([one.encode() for one in rows["text"]], y, settings)
-    model.shift = prior_shift(totals, y)
+    """Learn from all labelled documents of the learning folds (see ``train_by_parts``). With labels of one kind only,
+    or none, the model still scores."""
+    rows = all_labelled(docs, labels, label).select("doc_id", F.encode("text", "UTF-8").alias("data"), "y")
+    model = new_model(settings)
+    train_by_parts(
+        stage(rows, "quality-texts"), model.parameters, lambda optimiser, texts, ys, rng: learn(optimiser, texts, ys, rng, settings), settings
+    )
     return model
 
 

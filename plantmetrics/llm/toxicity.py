@@ -18,10 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantmetrics.llm.arrow import begin_task, map_columns
-from plantmetrics.llm.labelled import Adagrad, fold, prior_shift, sample_labelled, sigmoid
+from plantmetrics.llm.labelled import Adagrad, all_labelled, fold, sigmoid, train_by_parts
+from plantmetrics.sources import stage
 
 WORD = re.compile(r"\w+")
 SEGMENT = 4096
+#: Words of a text that training looks at together.
+LONG = 65_536
+#: Steps of the scores that thresholds lie between.
+STEPS = 1 << 16
 CACHE_WORDS = 300_000
 
 
@@ -34,9 +39,8 @@ class ToxicitySettings:
     epochs: int = 8
     rate: float = 0.08
     decay: float = 1e-5
-    #: The sample to learn from: documents of each label at most, and bytes of each at most.
-    per_class: int = 2500
-    max_bytes: int = 32_768
+    #: Documents that a task learns from in a round.
+    per_part: int = 2500
     #: The learning fold that thresholds are calibrated on, and documents of either label that a language
     #: needs there for a threshold of its own.
     calibration_fold: int = 1
@@ -66,7 +70,6 @@ def word_ids(text: str | None, ids: _Ids) -> np.ndarray:
 class ToxicityModel:
     settings: ToxicitySettings
     parameters: dict[str, np.ndarray]
-    shift: float = 0.0
     thresholds: dict[str, float] = field(default_factory=dict)
 
     def tables(self) -> dict[tuple[int, int], np.ndarray]:
@@ -98,7 +101,7 @@ class ToxicityModel:
         starts = np.searchsorted(np.array(owner), np.arange(len(texts)))
         pooled = np.maximum.reduceat(np.concatenate(pooled), starts, axis=0)
         p = self.parameters
-        return sigmoid(np.maximum(pooled, 0) @ p["out"] + p["bias"][0] + self.shift)
+        return sigmoid(np.maximum(pooled, 0) @ p["out"] + p["bias"][0])
 
     def _pool(self, segments, tables) -> np.ndarray:
         most = max(self.settings.widths) - 1
@@ -118,8 +121,7 @@ class ToxicityModel:
         return np.concatenate(pooled, axis=1)
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, settings: ToxicitySettings) -> ToxicityModel:
-    """Fit on texts given as word rows; the same texts in the same order give the same model."""
+def new_model(settings: ToxicitySettings) -> ToxicityModel:
     rng = np.random.default_rng(settings.seed)
     d, f, widths = settings.dimensions, settings.filters, settings.widths
     p = {"words": rng.normal(0, 0.1, (settings.buckets, d)).astype(np.float32)}
@@ -129,14 +131,35 @@ def train(texts: list[np.ndarray], labels: np.ndarray, settings: ToxicitySetting
         p[f"b{w}"] = np.zeros(f, np.float32)
     p["out"] = rng.normal(0, 0.3, f * len(widths)).astype(np.float32)
     p["bias"] = np.zeros(1, np.float32)
-    model, optimiser = ToxicityModel(settings, p), Adagrad(p, settings.rate, settings.decay)
-    most = max(widths) - 1
-    padded = [np.concatenate([one, np.zeros(most + 1, np.int32)]) for one in texts]
-    for _ in range(settings.epochs if len(texts) else 0):
-        order = rng.permutation(len(texts))
-        for at in range(0, len(order), 16):
-            _step(optimiser, [padded[k] for k in order[at : at + 16]], labels[order[at : at + 16]], settings)
-    return model
+    return ToxicityModel(settings, p)
+
+
+def _condensed(text: np.ndarray, p: dict[str, np.ndarray], settings: ToxicitySettings) -> np.ndarray:
+    """A text of more than ``LONG`` words as the windows that are the best of a filter in some stretch of it, with
+    blanks between: the whole text is looked at, and its best windows are among them."""
+    if len(text) <= LONG:
+        return text
+    d, most, kept = settings.dimensions, max(settings.widths) - 1, []
+    for start in range(0, len(text), LONG):
+        stretch = text[start : start + LONG + most]
+        vectors = p["words"][stretch]
+        for w in settings.widths:
+            size = len(stretch) - w + 1
+            if size > 0:
+                value = sum(vectors[k : k + size] @ p[f"w{w}"][k * d : (k + 1) * d] for k in range(w))
+                windows = stretch[np.unique(value.argmax(axis=0))[:, None] + np.arange(w)]
+                kept.append(np.pad(windows, ((0, 0), (0, most))).ravel())
+    return np.concatenate(kept)
+
+
+def learn(optimiser: Adagrad, texts: list[bytes], labels: np.ndarray, rng, settings: ToxicitySettings) -> None:
+    """Go once through texts given as word rows, 16 together."""
+    blank = np.zeros(max(settings.widths), np.int32)
+    order = rng.permutation(len(texts))
+    for at in range(0, len(order), 16):
+        some = order[at : at + 16]
+        words = [_condensed(np.frombuffer(texts[k], np.int32), optimiser.p, settings) for k in some]
+        _step(optimiser, [np.concatenate([one, blank]) for one in words], labels[some], settings)
 
 
 def _step(optimiser: Adagrad, texts: list[np.ndarray], labels: np.ndarray, settings: ToxicitySettings) -> None:
@@ -188,37 +211,50 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray)
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, settings: ToxicitySettings = ToxicitySettings(), label: str = "toxic"
 ) -> ToxicityModel:
-    """Learn from a bounded sample (see ``sample_labelled``); one fold of it calibrates the thresholds.
+    """Learn from all labelled documents of the learning folds (see ``train_by_parts``) but one fold, whose documents
+    all calibrate the thresholds: scores are counted in ``STEPS`` steps, and thresholds lie between steps.
 
-    With labels of one kind only, or none, the model still scores: near the share of ones, or a half. A
-    language with fewer than ``min_calibration`` calibration documents of either label takes the threshold of
-    all languages together, and that is 0.5 if they have too few as well.
+    With labels of one kind only, or none, the model still scores. A language with fewer than ``min_calibration``
+    calibration documents of either label takes the threshold of all languages together, and that is 0.5 if they
+    have too few as well.
     """
-    sample, totals = sample_labelled(docs, labels, label, settings.per_class, settings.max_bytes)
-    langs = docs.select("doc_id", "lang").groupBy("doc_id").agg(F.max("lang").alias("lang"))
-    rows = sample.withColumn("fold", fold("doc_id"))
+    rows = all_labelled(docs, labels, label).withColumn("fold", fold("doc_id"))
     buckets = settings.buckets
 
-    def ids(doc_ids, texts, ys, folds):
+    def ids(doc_ids, texts, langs, ys, folds):
         known = _Ids(buckets)
-        return doc_ids, [word_ids(text, known).tobytes() for text in texts], ys, folds
-
-    found = map_columns(rows.select("doc_id", "text", "y", "fold"), ids, "doc_id long, words binary, y int, fold long")
-    found = found.join(langs, "doc_id", "left").toPandas().sort_values("doc_id")
-    texts = [np.frombuffer(one, np.int32) for one in found["words"]]
-    y, held = found["y"].to_numpy(np.float32), (found["fold"] == settings.calibration_fold).to_numpy()
-    learn = np.flatnonzero(~held)
-    model = train([texts[k] for k in learn], y[learn], settings)
-    model.shift = prior_shift(totals, y[learn])
-    scores = model.score([texts[k] for k in np.flatnonzero(held)], model.tables())
-    # ones and zeros were picked apart: weights restore their mix
-    shares = {one: totals.get(one, 0) / max(1, int((y == one).sum())) for one in (0, 1)}
-    own, tongue = y[held], found["lang"].to_numpy()[held]
-    weights = np.where(own == 1, shares[1], shares[0])
-    groups = {one: tongue == one for one in sorted({x for x in tongue if isinstance(x, str) and x})}
-    for name, rows_of in [("", np.ones(len(own), bool)), *groups.items()]:
-        if min(own[rows_of].sum(), (1 - own[rows_of]).sum()) >= settings.min_calibration:
-            model.thresholds[name] = best_threshold(scores[rows_of], own[rows_of], weights[rows_of])
+        return doc_ids, [word_ids(text, known).tobytes() for text in texts], langs, ys, folds
+
+    rows = rows.select("doc_id", "text", "lang", "y", "fold")
+    found = stage(map_columns(rows, ids, "doc_id long, data binary, lang string, y int, fold long"), "toxicity-words")
+    model = new_model(settings)
+    held = F.col("fold") == settings.calibration_fold
+    train_by_parts(
+        found.where(~held), model.parameters, lambda optimiser, texts, ys, rng: learn(optimiser, texts, ys, rng, settings), settings
+    )
+    shared = docs.sparkSession.sparkContext.broadcast((model, model.tables()))
+
+    def steps(data, langs, ys):
+        own, tables = shared.value
+        scores = []
+        for at in range(0, len(data), 256):
+            scores.append(own.score([np.frombuffer(one, np.int32) for one in data[at : at + 256]], tables))
+        step = np.minimum(STEPS - 1, np.floor(np.concatenate(scores) * STEPS)).astype(np.int64)
+        return [("", one) if one else ("",) for one in langs], step.tolist(), ys
+
+    scored = map_columns(found.where(held).select("data", "lang", "y"), steps, "langs array<string>, step long, y int")
+    counted = scored.select(F.explode("langs").alias("lang"), "step", "y").groupBy("lang", "step", "y").count()
+
+    def threshold(group):
+        import pandas as pd
+
+        ys, n = group["y"].to_numpy(np.float64), group["count"].to_numpy(np.float64)
+        enough = min((ys * n).sum(), ((1 - ys) * n).sum()) >= settings.min_calibration
+        best = best_threshold((group["step"].to_numpy() + 0.5) / STEPS, ys, n) if enough else float("nan")
+        return pd.DataFrame({"lang": group["lang"].iloc[:1], "cut": [best]})
+
+    cuts = counted.groupBy("lang").applyInPandas(threshold, "lang string, cut double").where("NOT isnan(cut)")
+    model.thresholds = dict(sorted((row["lang"], row["cut"]) for row in cuts.collect()))
     return model
 
 

@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from plantmetrics.llm.labelled import all_labelled, fold, train_by_parts
 from plantmetrics.llm.quality import QualitySettings, fit_quality, score_quality
 from plantmetrics.llm.queries import QUERIES
 from plantmetrics.llm.toxicity import ToxicityModel, ToxicitySettings, best_threshold, fit_toxicity, score_toxicity
@@ -57,3 +59,25 @@ def test_score_is_the_same_beside_any_neighbour():
 def test_threshold():
     scores, labels = np.array([0.9, 0.8, 0.3, 0.2]), np.array([1, 1, 0, 0])
     assert 0.3 < best_threshold(scores, labels, np.ones(4)) < 0.8
+
+
+def test_every_labelled_document_is_learned_from(spark, documents):
+    """No label is left out for its number or length, and each text is learned from in one part at least."""
+    docs = documents([(k, "long " * 20_000 if k % 50 == 0 else f"w{k}") for k in range(400)])
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(400)], LABELS)
+    rows = all_labelled(docs, labels, "toxic")
+    wanted = {r.doc_id for r in labels.where(fold("doc_id") != 0).collect()}
+    assert {r.doc_id for r in rows.collect()} == wanted
+    data = rows.select("doc_id", F.encode(F.col("doc_id").cast("string"), "UTF-8").alias("data"), "y")
+
+    class Settings:
+        epochs, per_part, seed, rate, decay = 3, 20, 5, 0.1, 0.0
+
+    def learn(optimiser, texts, ys, rng):
+        for one in texts:
+            optimiser.p["seen"][int(one)] += 1
+
+    for Settings.per_part in (20, 150, 1000):
+        p = {"seen": np.zeros(400, np.float32)}
+        train_by_parts(data, p, learn, Settings)
+        assert {int(k) for k in np.flatnonzero(p["seen"])} == wanted
