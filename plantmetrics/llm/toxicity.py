@@ -253,7 +253,7 @@ def fit_toxicity(
         best = best_threshold((group["step"].to_numpy() + 0.5) / STEPS, ys, n) if enough else float("nan")
         return pd.DataFrame({"lang": group["lang"].iloc[:1], "cut": [best]})
 
-    cuts = counted.groupBy("lang").applyInPandas(threshold, "lang string, cut double").where("NOT isnan(cut)")
+    cuts = counted.groupBy("lang").applyInPandas(threshold, "lang string, cut double").where("cut IS NOT NULL AND NOT isnan(cut)")
     model.thresholds = dict(sorted((row["lang"], row["cut"]) for row in cuts.collect()))
     return model
 
