@@ -18,6 +18,8 @@ from plantmetrics.llm.labelled import Adagrad, all_labelled, sigmoid, train_by_p
 from plantmetrics.sources import stage
 
 STRIDE = 4
+#: Steps of log odds, a unit, that calibration counts.
+STEPS = 20
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,8 @@ def _cells(data: bytes) -> np.ndarray:
 class QualityModel:
     settings: QualitySettings
     parameters: dict[str, np.ndarray]
+    scale: float = 1.0
+    shift: float = 0.0
 
     def blocks(self, cells: np.ndarray) -> np.ndarray:
         """Maxima of the filters in each block of positions."""
@@ -73,7 +77,7 @@ class QualityModel:
             return np.empty(0)
         features = np.array([self.features(one) for one in texts])
         hidden = np.tanh(features @ p["hidden"] + p["h_bias"])
-        return sigmoid(hidden @ p["out"] + p["bias"][0])
+        return sigmoid(self.scale * (hidden @ p["out"] + p["bias"][0]) + self.shift)
 
 
 def new_model(settings: QualitySettings) -> QualityModel:
@@ -86,12 +90,12 @@ def new_model(settings: QualitySettings) -> QualityModel:
     return QualityModel(settings, p)
 
 
-def learn(optimiser: Adagrad, texts: list[bytes], labels: np.ndarray, rng, settings: QualitySettings) -> None:
-    """Go once through whole texts, 16 together."""
+def learn(optimiser: Adagrad, texts: list[bytes], labels: np.ndarray, rng, settings: QualitySettings, weights) -> None:
+    """Go once through whole texts, 16 together; ``weights`` of label 0 and of label 1."""
     model, order = QualityModel(settings, optimiser.p), rng.permutation(len(texts))
     for at in range(0, len(order), 16):
         some = order[at : at + 16]
-        _step(model, optimiser, [_cells(texts[k]) for k in some], labels[some])
+        _step(model, optimiser, [_cells(texts[k]) for k in some], labels[some], weights)
 
 
 def _pool(model: QualityModel, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,13 +113,13 @@ def _pool(model: QualityModel, cells: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.where(later, top[1:], top[:-1]), np.where(later, own[1:], own[:-1])
 
 
-def _step(model: QualityModel, optimiser: Adagrad, texts: list[np.ndarray], labels: np.ndarray) -> None:
+def _step(model: QualityModel, optimiser: Adagrad, texts: list[np.ndarray], labels: np.ndarray, weights=(1.0, 1.0)) -> None:
     p, f, d = model.parameters, model.settings.filters, model.settings.dimensions
     pools = [_pool(model, cells) for cells in texts]
     chunks = [np.maximum(top + p["offset"], 0) for top, _ in pools]
     features = np.array([np.concatenate([one.mean(axis=0), one.max(axis=0)]) for one in chunks])
     hidden = np.tanh(features @ p["hidden"] + p["h_bias"])
-    error = ((sigmoid(hidden @ p["out"] + p["bias"]) - labels) / len(texts)).astype(np.float32)
+    error = ((sigmoid(hidden @ p["out"] + p["bias"]) - labels) / len(texts) * np.where(labels == 1, weights[1], weights[0])).astype(np.float32)
     down_hidden = np.outer(error, p["out"]) * (1 - hidden**2)
     down = down_hidden @ p["hidden"].T
     both, byte_slopes, offset = np.zeros_like(p["both"]), np.zeros_like(p["bytes"]), np.zeros_like(p["offset"])
@@ -143,15 +147,45 @@ def fit_quality(
     docs: DataFrame, labels: DataFrame, settings: QualitySettings = QualitySettings(), label: str = "quality"
 ) -> QualityModel:
     """Learn from all labelled documents of the learning folds (see ``train_by_parts``). With labels of one kind only,
-    or none, the model still scores."""
+    or none, the model still scores. Both labels weigh the same in learning; the log odds of all these documents,
+    counted in steps of 1 / ``STEPS``, then give the scale and shift with which scores are shares of label 1.
+    """
     rows = all_labelled(docs, labels, label).select("doc_id", F.encode("text", "UTF-8").alias("data"), "y")
-    model = new_model(settings)
+    rows, model = stage(rows, "quality-texts"), new_model(settings)
+    totals = {row["y"]: row["count"] for row in rows.groupBy("y").count().collect()}
+    weights = (1.0, 1.0)
+    if len(totals) == 2:
+        weights = tuple(sum(totals.values()) / (2 * totals[y]) for y in (0, 1))
     train_by_parts(
-        stage(rows, "quality-texts"), model.parameters, lambda optimiser, texts, ys, rng: learn(optimiser, texts, ys, rng, settings), settings
+        rows, model.parameters, lambda optimiser, texts, ys, rng: learn(optimiser, texts, ys, rng, settings, weights), settings
     )
+    if len(totals) == 2:
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+
+        def steps(data, ys):
+            scores = np.clip(shared.value.score(data), 1e-9, 1 - 1e-9)
+            return np.rint(np.log(scores / (1 - scores)) * STEPS).astype(np.int64).tolist(), ys
+
+        scored = map_columns(rows.select("data", "y"), steps, "step long, y int")
+        counted = scored.groupBy("step", "y").count().orderBy("step", "y").toPandas()  # log odds are within 21
+        model.scale, model.shift = calibrate(*(counted[name].to_numpy(np.float64) for name in ("step", "y", "count")))
     return model
 
 
+def calibrate(steps: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
+    """Scale and shift of log odds that fit the labels best (logistic regression by Newton's method); a weak pull
+    to 1 and 0 keeps them finite."""
+    x = np.column_stack([steps / STEPS, np.ones(len(steps))])
+    start = found = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = sigmoid(x @ found)
+        slope = x.T @ (counts * (p - labels)) + (found - start)
+        bend = (x * (counts * p * (1 - p))[:, None]).T @ x + np.eye(2)
+        step = np.linalg.solve(bend, slope)
+        found = found - step * min(1.0, 2.0 / max(1e-9, np.abs(step).max()))
+    return float(max(found[0], 1e-3)), float(found[1])
+
+
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
     """``doc_id`` and ``score`` for every row: the probability of label 1 from the whole text.
 

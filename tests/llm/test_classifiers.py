@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantmetrics.llm.labelled import all_labelled, fold, train_by_parts
-from plantmetrics.llm.quality import QualitySettings, fit_quality, score_quality
+from plantmetrics.llm.quality import STEPS, QualitySettings, calibrate, fit_quality, score_quality
 from plantmetrics.llm.queries import QUERIES
 from plantmetrics.llm.toxicity import ToxicityModel, ToxicitySettings, best_threshold, fit_toxicity, score_toxicity
 
@@ -91,3 +91,10 @@ def test_too_few_labels_for_a_threshold(spark, documents):
     assert model.thresholds == {}
     rows = score_toxicity(docs, model).collect()
     assert all(r._toxic == (r._score >= 0.5) for r in rows) and len(rows) == 60
+
+
+def test_calibration_restores_the_shares():
+    """Nine of ten are label 1 at log odds 0, one of ten at -2: scores become these shares."""
+    steps, labels = np.array([0, 0, -2, -2]) * STEPS, np.array([1.0, 0.0, 1.0, 0.0])
+    scale, shift = calibrate(steps.astype(float), labels, np.array([9e4, 1e4, 1e4, 9e4]))
+    assert abs(1 / (1 + np.exp(-shift)) - 0.9) < 0.01 and abs(1 / (1 + np.exp(2 * scale - shift)) - 0.1) < 0.01
