@@ -14,7 +14,7 @@ from plantmetrics.llm.jaccard_join import JoinSettings, jaccard_components
 from plantmetrics.llm.names import unused
 from plantmetrics.llm.sentence_spans import remove_repeated_spans
 from plantmetrics.llm.toxicity import fit_toxicity, score_toxicity
-from plantmetrics.sources import stage
+from plantmetrics.sources import scratch_path, scratch_scope, stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +31,13 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     Rows that share a doc_id are one document, and one of them stays. Rows without an id can't be told apart
     by it and stay. Documents without words stay.
     """
-    found = jaccard_components(docs, JoinSettings(words=5, percent=80))
     least, rank = unused(docs, "_least", "_rank")
-    kept = stage(found.where("doc_id = component_id").select(F.col("doc_id").alias(least)).distinct(), "kept")
+    path = scratch_path(spark, "kept")
+    with scratch_scope(spark):  # the tables of the join go as soon as the ids that stay are written
+        found = jaccard_components(docs, JoinSettings(words=5, percent=80))
+        ids = found.where("doc_id = component_id").select(F.col("doc_id").alias(least)).distinct()
+        ids.write.parquet(path)
+    kept = spark.read.schema(ids.schema).parquet(path)
     # of rows that share an id always the same one, also if a task is run again
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *docs.columns)
     one = docs.join(kept, F.col("doc_id") == F.col(least)).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)

@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from plantmetrics.sources import stage
 
 
-def _checked(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The edges as a written table, and a digest of them that doesn't depend on order."""
-    written = stage(edges, "edges")
-    digest = written.agg(
-        F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.hash("v", "u").cast("long"))
-    ).first()
-    return written, tuple(digest)
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v``, and no ``v`` has an edge on."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("out")))
+    nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.min("out").alias("least"))
+    return not nodes.agg(F.max((F.col("out") > 1) | (F.col("out") > F.col("least")))).first()[0]
 
 
 def _centres(edges: DataFrame) -> DataFrame:
@@ -25,30 +24,23 @@ def _centres(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, root)`` for every node of an edge; ``root`` is the least node reachable.
 
-    Each round hangs all larger neighbours of a node on its least neighbour, then the smaller ones; rounds
-    grow with the logarithm of the longest chain. Every round is written to the shared scratch folder.
-    Nulls and loops are ignored, repeated edges count once, no edges give no rows. Nodes may be of any
-    type that has an order. A hub's edges are joined with one row per node, so the join can be split.
+    Each round hangs all larger neighbours of a node on its least neighbour, then the smaller ones, until there are
+    only stars; rounds grow with the logarithm of the longest chain, and stars take none. Every round is written
+    to the shared scratch folder. Nulls and loops are ignored, repeated edges count once, no edges give no rows.
+    Nodes may be of any type that has an order. A hub's edges are joined with one row per node, so the join can be split.
     """
-    current, digest = _checked(
+    current = stage(
         edges.where((F.col(a) != F.col(b)))
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-        .distinct()
+        .distinct(),
+        "edges",
     )
-    while True:
+    while not _all_stars(current):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (
             both.join(_centres(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("centre").alias("v"))
-        )
-        large = large.where("u != v").distinct()
-        centres = _centres(large)
-        small = (
-            large.join(centres, "u")
-            .select(F.col("v").alias("u"), F.col("centre").alias("v"))
-            .unionByName(centres.select("u", F.col("centre").alias("v")))
-        )
-        following, now = _checked(small.where("u != v").distinct())
-        if now == digest:
-            nodes = following.select(F.col("u").alias("node"), F.col("v").alias("root"))
-            return nodes.unionByName(nodes.select("root", "root").distinct().toDF("node", "root"))
-        current, digest = following, now
+        )  # repeated edges do no harm, there are no more than before, and the round ends with distinct ones
+        small = large.join(_centres(large), "u").select(F.explode(F.array("v", "u")).alias("u"), F.col("centre").alias("v"))
+        current = stage(small.where("u != v").distinct(), "edges")
+    nodes = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return nodes.unionByName(nodes.select("root", "root").distinct().toDF("node", "root"))

@@ -479,15 +479,24 @@ def jaccard_components(
     roots = stage(connected_components(decided.where("linked")), "roots")
     open_pairs = stage(_apart(pairs.join(nearest, ["a", "b"], "left_anti"), roots).select("a", "b"), "open-pairs")
     more = stage(_verify(open_pairs, sets, settings), "decided-later")
-    decided = decided.union(more)
-    roots = stage(connected_components(decided.where("linked")), "roots")
-    orphans = _orphan_candidates(raw, pairs, decided.where("NOT linked"), roots, classes, settings)
-    if not orphans.isEmpty():
-        found = _verify(orphans, _needed_sets(docs, classes, orphans, settings), settings)
-        roots = connected_components(decided.union(found).where("linked"))
+    roots = _linked_further(roots, more)
+    failed = _failed_leads(raw, pairs, decided.union(more).where("NOT linked"))
+    if not failed.isEmpty():
+        orphans = _orphan_candidates(raw, failed, roots, classes, settings)
+        if not orphans.isEmpty():
+            found = stage(_verify(orphans, _needed_sets(docs, classes, orphans, settings), settings), "decided-orphans")
+            roots = _linked_further(roots, found)
     return _label(rows, classes, roots)
 
 
+def _linked_further(roots: DataFrame, decided: DataFrame) -> DataFrame:
+    """``roots`` after more links. Each component goes on as a star, so its own links are not gone through again."""
+    links = decided.where("linked").select("a", "b")
+    if links.isEmpty():
+        return roots
+    return stage(connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "roots")
+
+
 def _nearest(pairs: DataFrame) -> DataFrame:
     """For each class the pair whose parities differ least."""
     both = pairs.select("a", "b", "apart").union(pairs.select("b", "a", "apart")).toDF("a", "b", "apart")
@@ -503,21 +512,27 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where("root_a != root_b").drop("root_a", "root_b")
 
 
-def _orphan_candidates(
-    raw: DataFrame, pairs: DataFrame, failed: DataFrame, roots: DataFrame, classes: DataFrame, settings: JoinSettings
-) -> DataFrame:
-    """``(a, b)``: a member whose link with its leader proved false, with another member of the leader, where
-    they are not yet connected."""
-    leading = raw.where("a_leads OR b_leads")
+def _members(pairs: DataFrame) -> DataFrame:
+    """``(leader, member)`` of the pairs in which one leads."""
+    sides = pairs.where("a_leads").select(F.col("a").alias("leader"), F.col("b").alias("member"))
+    return sides.union(pairs.where("b_leads").select("b", "a"))
+
+
+def _failed_leads(raw: DataFrame, pairs: DataFrame, failed: DataFrame) -> DataFrame:
+    """The pairs of a leader and a member whose link proved false, on the sets or by their parities."""
+    leading = raw.where("a_leads OR b_leads").select("a", "b", "a_leads", "b_leads")
     too_far = leading.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    failed = leading.join(failed.select("a", "b"), ["a", "b"]).union(too_far)
+    return stage(leading.join(failed.select("a", "b"), ["a", "b"]).union(too_far), "failed-leads")
 
-    def members(of: DataFrame) -> DataFrame:
-        sides = of.where("a_leads").select(F.col("a").alias("leader"), F.col("b").alias("member"))
-        return sides.union(of.where("b_leads").select("b", "a"))
 
-    led = members(leading).join(members(failed).withColumn("orphan", F.lit(True)), ["leader", "member"], "left")
-    led = led.join(members(failed).select("leader").distinct(), "leader", "left_semi")
+def _orphan_candidates(
+    raw: DataFrame, failed: DataFrame, roots: DataFrame, classes: DataFrame, settings: JoinSettings
+) -> DataFrame:
+    """``(a, b)``: a member whose link with its leader proved false, with another member of the leader, where
+    they are not yet connected. ``failed`` are pairs of the first kind with their leaders."""
+    failed = _members(failed)
+    led = _members(raw).join(failed.select("leader").distinct(), "leader", "left_semi")
+    led = led.join(failed.withColumn("orphan", F.lit(True)), ["leader", "member"], "left")
     entries = (
         led.withColumnRenamed("member", "class")
         .join(classes, "class")

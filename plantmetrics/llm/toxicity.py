@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from plantmetrics.llm.arrow import begin_task, map_columns
 from plantmetrics.llm.labelled import Adagrad, all_labelled, fold, sigmoid, train_by_parts
-from plantmetrics.sources import stage
+from plantmetrics.sources import scratch_scope, stage
 
 WORD = re.compile(r"\w+")
 SEGMENT = 4096
@@ -226,35 +226,36 @@ def fit_toxicity(
         return doc_ids, [word_ids(text, known).tobytes() for text in texts], langs, ys, folds
 
     rows = rows.select("doc_id", "text", "lang", "y", "fold")
-    found = stage(map_columns(rows, ids, "doc_id long, data binary, lang string, y int, fold long"), "toxicity-words")
-    model = new_model(settings)
-    held = F.col("fold") == settings.calibration_fold
-    train_by_parts(
-        found.where(~held), model.parameters, lambda optimiser, texts, ys, rng: learn(optimiser, texts, ys, rng, settings), settings
-    )
-    shared = docs.sparkSession.sparkContext.broadcast((model, model.tables()))
-
-    def steps(data, langs, ys):
-        own, tables = shared.value
-        scores = []
-        for at in range(0, len(data), 256):
-            scores.append(own.score([np.frombuffer(one, np.int32) for one in data[at : at + 256]], tables))
-        step = np.minimum(STEPS - 1, np.floor(np.concatenate(scores) * STEPS)).astype(np.int64)
-        return [("", one) if one else ("",) for one in langs], step.tolist(), ys
-
-    scored = map_columns(found.where(held).select("data", "lang", "y"), steps, "langs array<string>, step long, y int")
-    counted = scored.select(F.explode("langs").alias("lang"), "step", "y").groupBy("lang", "step", "y").count()
-
-    def threshold(group):
-        import pandas as pd
-
-        ys, n = group["y"].to_numpy(np.float64), group["count"].to_numpy(np.float64)
-        enough = min((ys * n).sum(), ((1 - ys) * n).sum()) >= settings.min_calibration
-        best = best_threshold((group["step"].to_numpy() + 0.5) / STEPS, ys, n) if enough else float("nan")
-        return pd.DataFrame({"lang": group["lang"].iloc[:1], "cut": [best]})
-
-    cuts = counted.groupBy("lang").applyInPandas(threshold, "lang string, cut double").where("cut IS NOT NULL AND NOT isnan(cut)")
-    model.thresholds = dict(sorted((row["lang"], row["cut"]) for row in cuts.collect()))
+    with scratch_scope(docs.sparkSession):  # the model needs no table any more
+        found = stage(map_columns(rows, ids, "doc_id long, data binary, lang string, y int, fold long"), "toxicity-words")
+        model = new_model(settings)
+        held = F.col("fold") == settings.calibration_fold
+        train_by_parts(
+            found.where(~held), model.parameters, lambda optimiser, texts, ys, rng: learn(optimiser, texts, ys, rng, settings), settings
+        )
+        shared = docs.sparkSession.sparkContext.broadcast((model, model.tables()))
+
+        def steps(data, langs, ys):
+            own, tables = shared.value
+            scores = []
+            for at in range(0, len(data), 256):
+                scores.append(own.score([np.frombuffer(one, np.int32) for one in data[at : at + 256]], tables))
+            step = np.minimum(STEPS - 1, np.floor(np.concatenate(scores) * STEPS)).astype(np.int64)
+            return [("", one) if one else ("",) for one in langs], step.tolist(), ys
+
+        scored = map_columns(found.where(held).select("data", "lang", "y"), steps, "langs array<string>, step long, y int")
+        counted = scored.select(F.explode("langs").alias("lang"), "step", "y").groupBy("lang", "step", "y").count()
+
+        def threshold(group):
+            import pandas as pd
+
+            ys, n = group["y"].to_numpy(np.float64), group["count"].to_numpy(np.float64)
+            enough = min((ys * n).sum(), ((1 - ys) * n).sum()) >= settings.min_calibration
+            best = best_threshold((group["step"].to_numpy() + 0.5) / STEPS, ys, n) if enough else float("nan")
+            return pd.DataFrame({"lang": group["lang"].iloc[:1], "cut": [best]})
+
+        cuts = counted.groupBy("lang").applyInPandas(threshold, "lang string, cut double").where("cut IS NOT NULL AND NOT isnan(cut)")
+        model.thresholds = dict(sorted((row["lang"], row["cut"]) for row in cuts.collect()))
     return model
 
 

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 from plantmetrics.llm.components import connected_components
-from plantmetrics.llm.jaccard_join import JoinSettings, _List, _parity, _sketch, jaccard_components
+from plantmetrics.llm.jaccard_join import JoinSettings, _linked_further, _List, _parity, _sketch, jaccard_components
+from plantmetrics.sources.scratch import written
 
 
 def brute(rows, words, percent):
@@ -117,3 +118,17 @@ def test_members_take_their_answers_from_their_leader():
         for b in own.partners(a, rest).tolist():
             assert (a, b) in found or leaders[a] == leaders[b]
     assert len(set(leaders)) < 100 and own.scans == 2 * len(set(leaders))
+
+
+def test_stars_take_no_round_and_links_only_the_rounds_they_need(spark):
+    kind, stars = "a long, b long", [(1, k) for k in range(2, 30)] + [(40, 50), (60, 50 + 11), (61, 60)]
+    before = written(spark)
+    roots = connected_components(spark.createDataFrame(stars, kind))
+    assert written(spark) == before + 1  # the edges alone
+    want = {(1, k) for k in range(1, 30)} | {(40, 40), (40, 50), (60, 60), (60, 61)}
+    assert {(r.root, r.node) for r in roots.collect()} == want
+    decided = spark.createDataFrame([(2, 3, False), (50, 61, False)], f"{kind}, linked boolean")
+    assert _linked_further(roots, decided) is roots
+    more = spark.createDataFrame([(50, 61, True), (70, 71, True), (5, 40, False)], f"{kind}, linked boolean")
+    want = {(1, k) for k in range(1, 30)} | {(40, k) for k in (40, 50, 60, 61)} | {(70, 70), (70, 71)}
+    assert {(r.root, r.node) for r in _linked_further(roots, more).collect()} == want

@@ -6,6 +6,7 @@ from checks.compare import difference, duck
 from plantmetrics.llm.oracle import ORACLE_SQL
 from plantmetrics.llm.queries import QUERIES
 from plantmetrics.sources import stage
+from plantmetrics.sources.scratch import scratch_base, written
 
 SF = "/root/testdata/sf0.01"
 
@@ -60,3 +61,17 @@ def test_stages_take_odd_rows(spark, documents):
         for _, function in corpus_pipeline.STAGES:
             docs = function(spark, docs, SF)
         assert docs.count() <= rows.count()
+
+
+def test_stages_leave_only_the_scratch_tables_that_their_result_reads(spark, documents):
+    """What fitting and the join of near copies write is gone before the next stage writes."""
+    from pathlib import Path
+
+    folder = Path(scratch_base(spark).removeprefix("file:"), "plantmetrics")
+    docs = documents([(k, f"some {k % 7} words that near copies share in any document and number {k % 3}") for k in range(40)])
+    for function, left in zip((corpus_pipeline.drop_toxic, corpus_pipeline.keep_one_of_near_copies), ([], ["kept"]), strict=True):
+        count, before = written(spark), set(folder.iterdir()) if folder.exists() else set()
+        result = function(spark, docs, SF)
+        new = set(folder.iterdir()) - before if folder.exists() else set()
+        assert sorted(path.name.rsplit("-", 1)[0] for path in new) == left
+        assert written(spark) == count + len(left) and 0 < result.count() <= 40
