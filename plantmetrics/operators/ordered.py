@@ -89,12 +89,9 @@ def order_rows(
     return _chunked(df, cut_groups(df, by, order, sizes.rows, limits), by, order, sizes, limits)
 
 
-def _moved(df: DataFrame, keys: Sequence[str], rows: int, limits: SizeLimits) -> DataFrame:
-    """Rows in the partition of their keys; more partitions than configured if the counted rows call for it.
-
-    A chunk is whole in a partition, and a partition holds as many chunks as make ``_TASK_ROWS``.
-    """
-    wanted = -(-rows // max(limits.chunk_rows, _TASK_ROWS))
+def _moved(df: DataFrame, keys: Sequence[str], rows: int, task_rows: int) -> DataFrame:
+    """Rows in the partition of their keys; more partitions than configured if the counted rows call for it."""
+    wanted = -(-rows // task_rows)
     if wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         return df.repartition(*keys)
     return df.repartition(wanted, *keys)
@@ -104,8 +101,9 @@ def _chunked(
     df: DataFrame, cut: Cut, by: tuple[str, ...], order: tuple[str, ...], sizes: GroupSizes, limits: SizeLimits
 ) -> OrderedRows:
     if cut.chunks is None:  # no group has more rows than a chunk
-        return OrderedRows(_moved(df, by, sizes.rows, limits), by, order, False, 0, limits)
-    moved = _moved(cut.apply(df), (*by, CHUNK), sizes.rows, limits)
+        return OrderedRows(_moved(df, by, sizes.rows, limits.chunk_rows), by, order, False, 0, limits)
+    # a chunk is whole in a partition, and a partition holds as many chunks as make _TASK_ROWS
+    moved = _moved(cut.apply(df), (*by, CHUNK), sizes.rows, max(limits.chunk_rows, _TASK_ROWS))
     return OrderedRows(moved, by, order, True, sizes.groups + cut.n_ranges, limits)
 
 
@@ -127,7 +125,7 @@ def order_unique(
     by, order = tuple(by), tuple(order)
     sizes = None if strategy == "window" else group_sizes(df, by)
     if strategy == "window" or (strategy == "auto" and sizes.largest <= limits.max_group_rows):
-        moved = df.repartition(*by) if sizes is None else _moved(df, by, sizes.rows, limits)
+        moved = df.repartition(*by) if sizes is None else _moved(df, by, sizes.rows, limits.chunk_rows)
         return order_rows(keep_first(moved, [*by, *keys], order[-1:]), by, order, "window", limits)
     cut = cut_groups(df, by, order, sizes.rows, limits)
     if cut.axes > 1:
