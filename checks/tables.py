@@ -157,17 +157,20 @@ def write_json_arrays(df: DataFrame, path: str, compression: str = "none", most:
     """JSON arrays of up to ``most`` rows, a file each: an array is read as one text, so its size is bounded."""
 
     def arrays(batches):
-        import pandas as pd
+        import pyarrow as pa
+
+        def array(rows):
+            return pa.RecordBatch.from_pydict({"value": pa.array(["[" + "\n,".join(rows) + "\n]"], pa.string())})
 
         held, some = [], False
         for batch in batches:
-            for value in batch["value"]:
-                held.append(value)
-                if len(held) == most:
-                    yield pd.DataFrame({"value": ["[" + "\n,".join(held) + "\n]"]})
-                    held, some = [], True
+            held += batch.column(0).to_pylist()
+            while len(held) >= most:
+                yield array(held[:most])
+                held, some = held[most:], True
         if held or not some:
-            yield pd.DataFrame({"value": ["[" + "\n,".join(held) + "\n]"]})
+            yield array(held)
 
-    packed = df.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(arrays, "value string")
-    packed.write.mode("overwrite").option("compression", compression).option("maxRecordsPerFile", 1).text(path)
+    packed = df.select(F.to_json(F.struct("*")).alias("value")).mapInArrow(arrays, "value string")
+    writer = packed.write.mode("overwrite").option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+    writer.option("maxRecordsPerFile", 1).text(path)

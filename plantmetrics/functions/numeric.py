@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import operator
 from collections.abc import Sequence
 from functools import reduce
@@ -57,12 +58,30 @@ def count_if(condition: Column) -> Column:
     return F.sum(F.when(condition, F.lit(1)).otherwise(F.lit(0)))
 
 
+#: Most places after the point that a total of 2^37 units parted in two longs can have as a decimal.
+_SCALES = 6
+#: Bits of the lower of the two longs.
+_LOW_BITS = 26
+
+
 def stable_sum(value: ColumnLike, scale: int | None) -> Column:
     """Sum of doubles; with a ``scale``, each is rounded to it and summed as a decimal, so the row order
     cannot change the result."""
     if scale is None:
         return F.sum(_col(value))
-    return F.sum(_col(value).cast(f"decimal(28,{scale})")).cast("double")
+    if not 1 <= scale <= _SCALES:
+        return F.sum(_col(value).cast(f"decimal(28,{scale})")).cast("double")
+    # Most doubles are whole units of the scale, which are summed as two longs; decimals are for the rest.
+    number, unit = _col(value), float(10**scale)
+    # below this bound a double's digits lie within a third of a unit, so such a number is what the decimal rounds to
+    bound = 2.0 ** math.floor(math.log2(0.3 * 2**52 / unit))
+    rounded = F.when(F.abs(number) < bound, F.rint(number * F.lit(unit)).cast("bigint"))
+    units = F.when(rounded / F.lit(unit) == number, rounded)
+    high, low = F.sum(F.shiftright(units, _LOW_BITS)), F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    rest = F.sum(F.when(units.isNull(), number.cast(f"decimal(28,{scale})")))
+    whole = high.cast("decimal(20,0)") * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low.cast("decimal(20,0)")
+    exact = whole * F.lit(f"{10**-scale:.{scale}f}").cast(f"decimal({scale},{scale})")
+    return F.when(high.isNull(), rest).when(rest.isNull(), exact).otherwise(exact + rest).cast("double")
 
 
 def stable_avg(value: ColumnLike, scale: int | None) -> Column:

@@ -104,21 +104,26 @@ def bad_rows(feed: DataFrame) -> DataFrame:
     return feed.where(F.col(BAD_RECORD).isNotNull())
 
 
-def store_feed(feed: DataFrame, path: str, bad_path: str, fmt: str = "parquet", keep_bad: bool = True) -> dict[str, int]:
+def store_feed(
+    feed: DataFrame, path: str, bad_path: str, fmt: str = "parquet", keep_bad: bool = True, system: str | None = None
+) -> dict[str, int]:
     """Write a feed's bronze table and its bad records; return how many ``rows`` and ``bad`` ones there are.
 
     Both are counted while the table is written. Only a feed that has bad records is read once more, for these. With
     ``keep_bad`` they are in both tables, as far as they could be read, else in that of the bad records alone.
+    ``system`` is the feed's ``_source_system`` where known: its rows then need no sort before they are written.
     """
     wrong = F.col(BAD_RECORD).isNotNull()
     counts = {"bad": F.count(F.when(wrong, 1))}
     partition = ["_source_system"]
+    one = {"_source_system": system} if system else None
     if keep_bad:
-        found = write_counted(feed, path, fmt, partition, without=BAD_RECORD, **counts)
+        found = write_counted(feed, path, fmt, partition, without=BAD_RECORD, constant=one, **counts)
     else:
         seen = Observation()
         kept = feed.observe(seen, counts["bad"].alias("bad")).where(~wrong)
-        found = write_counted(kept, path, fmt, partition, without=BAD_RECORD) | {"bad": seen.get.get("bad") or 0}
+        found = write_counted(kept, path, fmt, partition, without=BAD_RECORD, constant=one)
+        found |= {"bad": seen.get.get("bad") or 0}
     if found["bad"]:
         write_table(bad_rows(feed), bad_path, fmt)
     else:

@@ -149,7 +149,7 @@ def _run_job(spark: SparkSession, layout: Layout, job: Job, pool: str, done: str
             frame = job.build()
             if job.source:
                 bad_path = layout.table("bronze_bad", job.table)
-                found = bronze.store_feed(frame, path, bad_path, layout.fmt, layout.keep_bad_rows)
+                found = bronze.store_feed(frame, path, bad_path, layout.fmt, layout.keep_bad_rows, job.source.system)
             else:
                 found = write_counted(frame, path, layout.fmt)
             if job.stage == "gold" and layout.export_gold_csv:

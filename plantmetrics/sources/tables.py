@@ -6,7 +6,8 @@ where their jars are installed).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,6 +23,8 @@ _STRINGS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _CODEC = "zstd"
 #: Outside strings: what follows the end of an array or object where that isn't the end of the text.
 _MORE_VALUES = r"[\]}]\s*[^\s,\]}]"
+#: Values that name the folder of their partition as they are.
+_PLAIN_VALUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 
 
 def read_csv(
@@ -75,7 +78,10 @@ def read_json(
         schema = T.StructType([*schema, T.StructField(bad_record, T.StringType())])
     options = {"columnNameOfCorruptRecord": bad_record} if bad_record else {}
     text, file = F.col("value"), F.col("_metadata.file_path")
+    # what holds outside strings holds in the text too, where a string's quote stands for it: only texts that may have
+    # more values are looked at without their strings
     bare = F.regexp_replace(text, _STRINGS, "0")
+    more = F.when(text.rlike(_MORE_VALUES), bare.rlike(_MORE_VALUES)).otherwise(False)
     if lines:
         refused = F.raise_error(F.concat(file, F.lit(" is not JSON Lines"))).cast("boolean")
         # in the filter, which is evaluated whatever columns are asked for
@@ -83,10 +89,10 @@ def read_json(
         # of several values on a line the parser would take the first
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name != bad_record]
         unread = F.struct(*nothing, *([text.alias(bad_record)] if bad_record else []))
-        parsed = F.when(bare.rlike(_MORE_VALUES), unread).otherwise(F.from_json(text, schema, options))
+        parsed = F.when(more, unread).otherwise(F.from_json(text, schema, options))
         return rows.select(parsed.alias("_row")).select("_row.*")
     files = spark.read.text(path, wholetext=True).where(text.rlike(r"\S"))
-    wrong = ~text.rlike(r"^\s*\[") | bare.rlike(_MORE_VALUES)
+    wrong = ~text.rlike(r"^\s*\[") | more
     checked = F.when(wrong, F.raise_error(F.concat(file, F.lit(" is not a JSON array")))).otherwise(text)
     array = F.from_json(checked, T.ArrayType(schema), options)
     unread = F.raise_error(F.concat(file, F.lit(" is broken: not an array of objects")))
@@ -97,8 +103,25 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Replace the table at ``path`` including its schema. ``path`` must not be an input of ``df``."""
+def write_table(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    constant: Mapping[str, str] | None = None,
+) -> None:
+    """Replace the table at ``path`` including its schema. ``path`` must not be an input of ``df``.
+
+    ``constant`` gives the value of partition columns that are the same in all rows. Parquet files then go to the folder
+    of that partition; a writer that looks for it row by row sorts each task's rows first, which spills.
+    """
+    known = constant or {}
+    if fmt == "parquet" and partition_by and all(_PLAIN_VALUE.fullmatch(known.get(name, "")) for name in partition_by):
+        files, target = _file(df.sparkSession, path)
+        files.delete(target, True)
+        folders = "/".join(f"{name}={known[name]}" for name in partition_by)
+        write_table(df.drop(*partition_by), f"{path}/{folders}")
+        return
     writer = df.write.format(fmt).mode("overwrite")
     if fmt == "parquet":
         writer = writer.option("compression", _CODEC)
@@ -115,6 +138,7 @@ def write_counted(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     without: str | None = None,
+    constant: Mapping[str, str] | None = None,
     **metrics: Column,
 ) -> dict[str, int]:
     """``write_table`` that also returns ``rows`` and ``metrics`` (aggregates), gathered while the rows are written.
@@ -123,7 +147,7 @@ def write_counted(
     """
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(m.alias(name) for name, m in metrics.items()))
-    write_table(observed.drop(without) if without else observed, path, fmt, partition_by)
+    write_table(observed.drop(without) if without else observed, path, fmt, partition_by, constant)
     found = seen.get
     return {name: found.get(name) or 0 for name in ("rows", *metrics)}
 
@@ -206,9 +230,10 @@ def delete_marker(spark: SparkSession, path: str) -> None:
 def export_csv(df: DataFrame, path: str, compression: str = "none", rows_per_file: int = 0) -> None:
     """CSV part files with a header each, written by the executors.
 
-    A compressed file is read by one task: ``rows_per_file`` makes more of them (0: one per task that writes).
+    A compressed file is read by one task: ``rows_per_file`` makes more of them (0: one per task that writes). They
+    are packed fast rather than small.
     """
-    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"').option("zlib.compress.level", "BEST_SPEED")
     writer.option("compression", compression).option("maxRecordsPerFile", rows_per_file).csv(path)
 
 

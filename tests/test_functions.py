@@ -129,3 +129,16 @@ def test_a_text_is_matched_and_cast_but_never_searched(spark):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract") == plan.count("regexp_replace") == 0
     assert plan.count("RLIKE") <= 4 and plan.count("cast(") <= 1
+
+
+def test_whole_units_are_summed_as_longs_like_decimals(spark):
+    values = [0.1, 0.2, -0.3, 1e-7, 5e-7, 1.5e-6, -2.5e-6, 2.0000005, 123456.789, 84197.04, -0.0, 0.0, 2.0**29 + 0.1, 2.0**30, 3e9 + 0.5]
+    values += [1.1e15, -7.3e18, 1 / 3, 2 / 3, 1e-300, 0.0020, 99999999.999999, 536870911.123457, -1073741823.999999, None]
+    values += [i / 1e6 * 997 for i in range(-300, 300)] + [i * 0.1 + i * 1e-7 for i in range(300)]
+    df = spark.createDataFrame([(i, i % 40, 0, v) for i, v in enumerate(values)], "i int, g int, one int, v double")
+    for scale in (1, 2, 4, 6):
+        plain = F.sum(F.col("v").cast(f"decimal(28,{scale})")).cast("double").alias("d")
+        for by in ("i", "g", "one"):
+            summed = df.groupBy(by).agg(stable_sum("v", scale).alias("s"), plain)
+            assert summed.where("NOT (s <=> d)").collect() == [] and summed.count() > 0
+    assert "shiftright" in df.agg(stable_sum("v", 6))._jdf.queryExecution().analyzed().toString()

@@ -106,6 +106,26 @@ def test_bad_csv_records_are_kept_and_counted(spark, tmp_path):
     assert again == {"rows": 1, "bad": 0} and read_table(spark, bad).count() == 0
 
 
+def test_rows_of_a_known_system_go_straight_to_its_folder(spark, tmp_path):
+    """No sort by the system before the write; a feed without rows has a table as well, and what was there is gone."""
+    source, path, bad = bronze.SOURCES[0], str(tmp_path / "b"), str(tmp_path / "bad")
+    csv = tmp_path / "sensors_data.csv"
+    for lines, old in ((["2024-01-01T00:00:00,M1,1.5,1,2,3,OK", "2024-01-01T00:00:01,M2,x,1,2,3,OK"], "OLD"), ([], "IOT")):
+        write_table(spark.createDataFrame([(1, old)], "a int, _source_system string"), path, partition_by=["_source_system"])
+        csv.write_text(HEADER + "".join(f"{line}\n" for line in lines))
+        feed = bronze.read_feed(spark, source, str(tmp_path))
+        found = bronze.store_feed(feed, path, bad, system=source.system)
+        assert found == {"rows": len(lines), "bad": len(lines) // 2}
+        assert os.listdir(path) == ["_source_system=IOT"]
+        assert os.path.exists(f"{path}/_source_system=IOT/_SUCCESS")
+        stored = read_table(spark, path)
+        assert [r._source_system for r in stored.collect()] == ["IOT"] * len(lines)
+        assert stored.columns == [*[c for c in feed.columns if c not in ("_source_system", BAD_RECORD)], "_source_system"]
+    odd = "a b=c/é"
+    write_table(spark.range(2).withColumn("s", F.lit(odd)), path, partition_by=["s"], constant={"s": odd})
+    assert [r.s for r in read_table(spark, path).collect()] == [odd] * 2
+
+
 def test_feed_is_scanned_once(spark, tmp_path):
     (tmp_path / "sensors_data.csv").write_text(HEADER + "2024-01-01T00:00:00,M1,1.5,1,2,3,OK\n")
     (tmp_path / "scada_logs.json").write_text('[{"event_id": "E1"}]')
