@@ -1,4 +1,4 @@
-"""All layers on one session: each table as soon as those it reads are there, and none twice."""
+"""All layers on one session: layer by layer, each table as soon as those it reads are there, and none twice."""
 
 from __future__ import annotations
 
@@ -16,7 +16,15 @@ from plantmetrics.config import DEFAULTS, Settings
 from plantmetrics.operators.ordered import with_position
 from plantmetrics.plans import bronze, dashboards, gold, silver
 from plantmetrics.sources.scratch import scratch_scope
-from plantmetrics.sources.tables import delete_marker, export_csv, read_marker, read_table, write_counted, write_marker
+from plantmetrics.sources.tables import (
+    delete_marker,
+    export_csv,
+    make_folder,
+    read_marker,
+    read_table,
+    write_counted,
+    write_marker,
+)
 
 
 @dataclass(frozen=True)
@@ -146,6 +154,7 @@ def _run_job(spark: SparkSession, layout: Layout, job: Job, pool: str, done: str
     try:
         with scratch_scope(spark):
             delete_marker(spark, marker)
+            make_folder(spark, f"{layout.base_dir}/{job.stage}")
             frame = job.build()
             if job.source:
                 bad_path = layout.table("bronze_bad", job.table)
@@ -168,7 +177,8 @@ def run_layers(
     """Build every table and report rows, seconds, status and, for feeds, records that could not be read as declared.
 
     Up to ``workers`` tables are written at the same time, each in a scheduler pool of its own, as soon as the tables
-    they read are there. After a failure nothing new is begun. Rows are counted as they are written.
+    they read are there and all of the layers before have been begun. After a failure nothing new is begun; a layer whose
+    folder can't be made fails before its tables are computed. Rows are counted as they are written.
 
     A table gets a marker once it is whole, with a digest of what it was made from: settings, the names, sizes and
     times of the feed's files, and the digests of the tables it reads. With ``resume``, tables whose marker still
@@ -194,7 +204,8 @@ def run_layers(
     running: dict[Future, Job] = {}
     with ThreadPoolExecutor(max_workers=workers) as pool:
         while waiting or running:
-            ready = [one for one in waiting if all(need in report for need in one.needs)]
+            # of the first layer that has tables not begun, so that a failure leaves no gap in the layers before its own
+            ready = [one for one in waiting if one.stage == waiting[0].stage and all(need in report for need in one.needs)]
             for one in ready[: workers - len(running)]:
                 waiting.remove(one)
                 running[pool.submit(_run_job, spark, layout, one, one.table, prints[one.name])] = one

@@ -200,6 +200,13 @@ def _file(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """The folder at ``path``, if it isn't there; an error where it can't be, as before a write that would find out last."""
+    files, target = _file(spark, path)
+    if not files.mkdirs(target):
+        raise OSError(f"no folder can be made at {path}")
+
+
 def write_marker(spark: SparkSession, path: str, text: str) -> None:
     """A small file, replaced if it is there."""
     files, target = _file(spark, path)

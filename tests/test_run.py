@@ -61,6 +61,19 @@ def test_command_line(spark, raw_dir, tmp_path, capsys):
     assert main([str(tmp_path / "nothing"), str(tmp_path / "out2")]) == 1
 
 
+def test_a_layer_that_can_not_be_written_is_not_computed(spark, raw_dir, tmp_path, monkeypatch):
+    layout, built = Layout(raw_dir, str(tmp_path)), []
+    for name in ("gold_kpis_machines", "gold_oee", "gold_maintenance_cost", "gold_production_summary"):
+        monkeypatch.setattr(f"plantmetrics.plans.gold.{name}", lambda *frames, name=name: built.append(name) or frames[0])
+    (tmp_path / "gold").write_text("in the way")
+    broken = {r.table: (r.stage, r.status) for r in run_layers(spark, layout, workers=2).collect()}
+    assert built == []
+    failed = {stage for stage, status in broken.values() if status != "OK"}
+    assert failed == {"gold"} and all(status.startswith("FAILED") for stage, status in broken.values() if stage == "gold")
+    # whatever is slow, the layers before are whole
+    assert sum(stage in ("bronze", "silver") for stage, _ in broken.values()) == 9
+
+
 def test_a_broken_run_is_taken_up(spark, raw_dir, tmp_path):
     layout, settings = Layout(raw_dir, str(tmp_path)), replace(DEFAULTS, kpi=KpiSettings(sum_scale=6))
     (tmp_path / "dashboards").write_text("in the way")
